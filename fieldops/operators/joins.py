@@ -78,10 +78,12 @@ def flag_in(df: DataFrame, col: str, other: DataFrame, other_col: str, name: str
 
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str] | str, left_ts: str, right_ts: str,
               payload: Sequence[str], right_tiebreak: Sequence[str] = (), left_tiebreak: Sequence[str] = (),
-              strict: bool = True, bucket_micros: int = 86_400_000_000, prefix: str = "") -> DataFrame:
+              strict: bool = True, bucket_micros: int = 86_400_000_000, prefix: str = "",
+              forward: bool = False) -> DataFrame:
     """For every left row, the latest right row with the same ``by`` key
     and an earlier time (``strict``: right_ts < left_ts, else <=).  Left rows
-    are all kept; payload columns are NULL when nothing matches.
+    are all kept; payload columns are NULL when nothing matches.  With
+    ``forward`` it is the earliest right row at a later time instead.
 
     Ties among right rows at the same time are broken by ``right_tiebreak``
     (greatest wins).  With ``left_tiebreak`` the comparison is on the tuple
@@ -107,9 +109,10 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str] | str, left_t
     rkeys = right.where(F.col(right_ts).isNotNull())
     for k in by:
         rkeys = rkeys.where(F.col(k).isNotNull())
+    sign = -1 if forward else 1
     r = rkeys.select(
         *[F.col(k).alias(f"_by{i}") for i, k in enumerate(by)],
-        F.col(right_ts).alias("_ts"),
+        (_micros(F.col(right_ts)) * F.lit(sign)).alias("_ts"),
         F.struct(*[F.col(c) for c in rtb]).alias("_tb") if rtb else F.lit(0).alias("_tb"),
         F.lit(rside).alias("_side"),
         rstruct.alias("_r"),
@@ -120,7 +123,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str] | str, left_t
     lid = "_lrow"
     l = left.select(
         *[F.col(k).alias(f"_by{i}") for i, k in enumerate(by)],
-        F.col(left_ts).alias("_ts"),
+        (_micros(F.col(left_ts)) * F.lit(sign)).alias("_ts"),
         (F.struct(*[F.col(c) for c in ltb]) if ltb else F.lit(None if rtb else 0)).cast(tbtype).alias("_tb"),
         F.lit(lside).alias("_side"),
         F.lit(None).cast(rtype).alias("_r"),
@@ -130,7 +133,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str] | str, left_t
     byc = [f"_by{i}" for i in range(len(by))]
     width = int(bucket_micros)
 
-    u = l.unionByName(r).withColumn("_b", _bucket(F.col("_ts"), width))
+    u = l.unionByName(r).withColumn("_b", F.floor(F.col("_ts") / F.lit(float(width))).cast("bigint"))
     order = [F.col("_ts").asc_nulls_first()]
     order += [F.col("_tb").asc_nulls_first(), F.col("_side")] if ltb else [F.col("_side"), F.col("_tb").asc_nulls_first()]
     w_in = Window.partitionBy(*byc, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -138,7 +141,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str] | str, left_t
            .where(F.col(lid).isNotNull()))
 
     # last right row of every (key, bucket)
-    per_bucket = (r.withColumn("_b", _bucket(F.col("_ts"), width))
+    per_bucket = (r.withColumn("_b", F.floor(F.col("_ts") / F.lit(float(width))).cast("bigint"))
                   .groupBy(*byc, "_b")
                   .agg(F.max_by("_r", F.struct("_ts", "_tb")).alias("_r"))
                   .withColumn("_side", F.lit(1)))

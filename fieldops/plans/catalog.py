@@ -230,3 +230,359 @@ def q_interval_collect(spark: SparkSession, d: str) -> DataFrame:
     return (out.withColumn("supply_list", F.array_join(F.transform("_lst", lambda x: x.cast("string")), ","))
             .withColumn("hubo_abastecimiento", F.when(F.col("n_supply") > 0, F.lit("Si")).otherwise(F.lit("No")))
             .drop("_lst"))
+
+
+# J6 / J9 ------------------------------------------------------------------------
+
+@register("fallback_match", """
+WITH o AS (SELECT o_orderkey, o_custkey, o_orderstatus FROM orders),
+a AS (SELECT o.*, c.c_custkey AS a_custkey, c.c_name AS a_name, c.c_nationkey AS a_nation,
+             c.c_mktsegment AS a_segment, c.c_custkey IS NOT NULL AS hit1
+      FROM o LEFT JOIN customer c ON (CASE WHEN o.o_orderstatus = 'F' THEN o.o_custkey END) = c.c_custkey),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY c_name ORDER BY c_custkey) AS rn
+                     FROM customer WHERE c_name IS NOT NULL) t WHERE rn = 1)
+SELECT a.o_orderkey, a.o_custkey,
+  CASE WHEN hit1 THEN a_custkey ELSE b.c_custkey END AS c_custkey,
+  CASE WHEN hit1 THEN a_name ELSE b.c_name END AS c_name,
+  CASE WHEN hit1 THEN a_nation ELSE b.c_nationkey END AS c_nationkey,
+  CASE WHEN hit1 THEN a_segment ELSE b.c_mktsegment END AS c_mktsegment,
+  CASE WHEN hit1 THEN 'first' WHEN b.c_custkey IS NOT NULL THEN 'second' END AS match_source,
+  coalesce(CASE WHEN hit1 THEN a_custkey ELSE b.c_custkey END, a.o_custkey) AS site_id
+FROM a LEFT JOIN b
+  ON (CASE WHEN NOT hit1 THEN 'Customer#' || lpad(CAST(a.o_custkey AS VARCHAR), 9, '0') END) = b.c_name""")
+def q_fallback_match(spark: SparkSession, d: str) -> DataFrame:
+    """Completed orders carry a usable customer reference (key A); the rest
+    are matched through the customer name written from the number (key B)."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    o = o.withColumn("_ka", F.when(F.col("o_orderstatus") == "F", F.col("o_custkey")))
+    o = o.withColumn("_kb", F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")))
+    c = table(spark, d, "customer")
+    out = joins.coalesce_join(o, c, ("_ka", "c_custkey"), ("_kb", "c_name"),
+                              ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"], ["c_custkey"])
+    return (out.withColumn("site_id", F.coalesce(F.col("c_custkey"), F.col("o_custkey")))
+            .select("o_orderkey", "o_custkey", "c_custkey", "c_name", "c_nationkey", "c_mktsegment",
+                    "match_source", "site_id"))
+
+
+# J7 -----------------------------------------------------------------------------
+
+@register("join_slots", f"""
+WITH p AS ({SQL_PIVOT})
+SELECT p.l_orderkey, p.l_partkey_1, p.l_partkey_2, p.l_partkey_3,
+  a.p_name AS p_name_1, a.p_brand AS p_brand_1, b.p_name AS p_name_2, b.p_brand AS p_brand_2,
+  c.p_name AS p_name_3, c.p_brand AS p_brand_3
+FROM p LEFT JOIN part a ON p.l_partkey_1 = a.p_partkey LEFT JOIN part b ON p.l_partkey_2 = b.p_partkey
+LEFT JOIN part c ON p.l_partkey_3 = c.p_partkey""")
+def q_join_slots(spark: SparkSession, d: str) -> DataFrame:
+    p = pivot3(spark, d).select("l_orderkey", "l_partkey_1", "l_partkey_2", "l_partkey_3")
+    return slots.join_slots(p, "l_orderkey", ["l_partkey_1", "l_partkey_2", "l_partkey_3"],
+                            table(spark, d, "part"), "p_partkey", ["p_name", "p_brand"])
+
+
+# T4 / J8 / O5 -------------------------------------------------------------------
+
+def site_code(c):
+    return F.concat(F.lit("CU"), F.lpad(c.cast("string"), 5, "0"))
+
+
+def notes_with_codes(spark: SparkSession, d: str) -> DataFrame:
+    """Document text followed by a site line built from the document id: an
+    excluded prefix (NC), an unknown code (ZZ), a code glued to a letter (XCU)
+    and a customer site code (CU) that may or may not exist."""
+    doc = table(spark, d, "documents").select("doc_id", "text")
+    k = F.col("doc_id")
+    line = F.concat_ws(" ", F.lit("Sitio"), F.concat(F.lit("NC"), F.lpad(k.cast("string"), 5, "0")),
+                       F.concat(F.lit("ZZ"), F.lpad((k * 7).cast("string"), 5, "0")),
+                       F.concat(F.lit("X"), site_code(k * 3)), site_code(k * 2))
+    return doc.withColumn("notas", F.concat_ws("\n", F.col("text"), line)).drop("text")
+
+
+SQL_NOTES_CODES = """
+SELECT doc_id, concat_ws(chr(10), text, concat_ws(' ', 'Sitio', 'NC' || lpad(CAST(doc_id AS VARCHAR), 5, '0'),
+   'ZZ' || lpad(CAST(doc_id * 7 AS VARCHAR), 5, '0'), 'XCU' || lpad(CAST(doc_id * 3 AS VARCHAR), 5, '0'),
+   'CU' || lpad(CAST(doc_id * 2 AS VARCHAR), 5, '0'))) AS notas
+FROM documents"""
+
+
+@register("first_known_code", f"""
+WITH n AS ({SQL_NOTES_CODES}),
+x AS (SELECT doc_id, list_filter(regexp_extract_all(notas, '[A-Z]{{2}}[0-9]{{5}}'),
+                                 lambda c: NOT (c[1:2] IN ('NC', 'CD', 'CR'))) AS codes FROM n),
+e AS (SELECT doc_id, unnest(codes) AS code, generate_subscripts(codes, 1) AS pos FROM x),
+s AS (SELECT 'CU' || lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS code FROM customer),
+f AS (SELECT doc_id, arg_min(code, pos) AS ID_Sitio FROM e WHERE code IN (SELECT code FROM s) GROUP BY doc_id)
+SELECT x.doc_id, CAST(len(list_distinct(codes)) AS BIGINT) AS n_codes, f.ID_Sitio
+FROM x LEFT JOIN f ON x.doc_id = f.doc_id""")
+def q_first_known_code(spark: SparkSession, d: str) -> DataFrame:
+    from fieldops.functions.text import site_codes
+    n = notes_with_codes(spark, d).withColumn("_codes", site_codes("notas"))
+    sites = table(spark, d, "customer").select(site_code(F.col("c_custkey")).alias("code"))
+    out = joins.first_known(n, "doc_id", "_codes", sites, "code", "ID_Sitio")
+    return out.select("doc_id", F.size("_codes").cast("bigint").alias("n_codes"), "ID_Sitio")
+
+
+# J1 / J2 / S5 --------------------------------------------------------------------
+
+def sites_table(spark: SparkSession, d: str) -> DataFrame:
+    """Site table from three feeds: base (customer, nation as province, region
+    as department), swap feed (latest purchase per user) and TSS feed (latest
+    signup per user)."""
+    from fieldops.sources.sites import build_sites
+    c = table(spark, d, "customer")
+    n = table(spark, d, "nation")
+    r = table(spark, d, "region")
+    base = (c.join(n, c.c_nationkey == n.n_nationkey, "left").join(r, n.n_regionkey == r.r_regionkey, "left")
+            .select(F.col("c_custkey").alias("Codigo_Unico"), "c_name", F.col("n_name").alias("Provincia"),
+                    F.col("r_name").alias("Departamento"), "c_mktsegment", "c_acctbal"))
+    ev = table(spark, d, "events")
+
+    def latest(kind: str, ts_name: str) -> DataFrame:
+        last = state.latest_by_key(ev.where(F.col("event_type") == kind).select("user_id", "ts", "event_id", "value"),
+                                   "user_id", ["ts", "event_id"])
+        return last.select(F.col("user_id").alias("Codigo_Unico"), F.col("ts").alias(ts_name), "value")
+
+    return build_sites(base, latest("purchase", "Fecha_Fin_Swap"), latest("signup", "Fecha_TSS"), tss_suffix=None)
+
+
+SQL_SITES = """
+WITH sw AS (SELECT user_id, ts AS Fecha_Fin_Swap, value FROM (
+              SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+              FROM events WHERE event_type = 'purchase') t WHERE rn = 1),
+     tss AS (SELECT user_id, ts AS Fecha_TSS, value AS value_tss FROM (
+              SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+              FROM events WHERE event_type = 'signup') t WHERE rn = 1)
+SELECT c.c_custkey AS Codigo_Unico, c.c_name, n.n_name AS Provincia, r.r_name AS Departamento, c.c_mktsegment,
+       c.c_acctbal, sw.Fecha_Fin_Swap, sw.value, tss.Fecha_TSS, tss.value_tss
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+LEFT JOIN sw ON sw.user_id = c.c_custkey LEFT JOIN tss ON tss.user_id = c.c_custkey"""
+
+
+@register("site_enrich", f"""
+WITH s AS ({SQL_SITES})
+SELECT o.o_orderkey, o.o_custkey AS Codigo_Unico, o.o_orderdate, o.o_totalprice AS value,
+  s.c_name, s.Provincia, s.Departamento, s.c_mktsegment, s.c_acctbal, s.Fecha_Fin_Swap, s.value AS value_sitios,
+  s.Fecha_TSS, s.value_tss
+FROM orders o LEFT JOIN s ON o.o_custkey = s.Codigo_Unico""")
+def q_site_enrich(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("Codigo_Unico"), "o_orderdate",
+                                         F.col("o_totalprice").alias("value"))
+    return joins.join_suffix(o, sites_table(spark, d), "Codigo_Unico", suffix="_sitios")
+
+
+# P12 / P13 / A8 -------------------------------------------------------------------
+
+@register("membership_range", """
+SELECT o_orderkey, o_orderdate,
+  CASE WHEN EXISTS (SELECT 1 FROM lineitem l WHERE l.l_returnflag = 'R' AND l.l_orderkey = o.o_orderkey)
+       THEN 'SI' ELSE 'NO' END AS EN_TDE,
+  CASE WHEN o_orderdate BETWEEN (SELECT min(l_shipdate) FROM lineitem WHERE l_returnflag = 'R')
+                            AND (SELECT max(l_shipdate) FROM lineitem WHERE l_returnflag = 'R')
+       THEN 'en_rango' ELSE '' END AS en_rango
+FROM orders o""")
+def q_membership_range(spark: SparkSession, d: str) -> DataFrame:
+    """External activity list = returned lines: is the order in it, and was
+    it created inside the list's booking period (scalar subqueries)."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    ext = table(spark, d, "lineitem").where(F.col("l_returnflag") == "R")
+    o = joins.flag_in(o, "o_orderkey", ext, "l_orderkey", "EN_TDE")
+    lo = ext.agg(F.min("l_shipdate")).scalar()
+    hi = ext.agg(F.max("l_shipdate")).scalar()
+    return o.withColumn("en_rango", rules.in_range_flag("o_orderdate", lo, hi))
+
+
+# P10 ----------------------------------------------------------------------------
+
+def _sql_case(col: str, mapping: dict[str, str]) -> str:
+    return "CASE " + col + " " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items()) + " END"
+
+
+def _sql_conflict(o: str, t: str) -> str:
+    parts = []
+    for ostat, tstats, label in config.STATUS_CONFLICT_RULES:
+        lst = ", ".join(f"'{x}'" for x in tstats)
+        parts.append(f"WHEN {o} = '{ostat}' AND {t} IN ({lst}) THEN '{label}'")
+    return "CASE " + " ".join(parts) + " ELSE '' END"
+
+
+@register("status_conflict", f"""
+WITH t1 AS (SELECT * FROM ({SQL_TOP3}) s WHERE Orden = 1),
+x AS (SELECT o.o_orderkey, {_sql_case('o.o_orderstatus', config.ORDER_STATUS_ROLE)} AS Estado_TOA,
+             {_sql_case('t1.l_returnflag', config.TASK_STATUS_ROLE)} AS Estado_1
+      FROM orders o LEFT JOIN t1 ON o.o_orderkey = t1.l_orderkey)
+SELECT o_orderkey, Estado_TOA, Estado_1, {_sql_conflict('Estado_TOA', 'Estado_1')} AS Etiqueta FROM x""")
+def q_status_conflict(spark: SparkSession, d: str) -> DataFrame:
+    t1 = top3(spark, d).where(F.col("Orden") == 1).select("l_orderkey", "l_returnflag")
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    x = o.join(t1, o.o_orderkey == t1.l_orderkey, "left")
+    x = x.select("o_orderkey", roles.order_status(F.col("o_orderstatus")).alias("Estado_TOA"),
+                 roles.task_status(F.col("l_returnflag")).alias("Estado_1"))
+    return x.withColumn("Etiqueta", rules.status_conflict("Estado_TOA", "Estado_1"))
+
+
+# S9 / P6 / P9 / C14 / C8 ------------------------------------------------------------
+
+PART_VENDORS = ["bolt", "gear"]
+
+
+@register("vendor_extract", """
+WITH p AS (SELECT *, CASE WHEN p_type = 'ECONOMY' THEN upper(p_name) ELSE p_name END AS Bucket FROM part),
+v AS (SELECT * FROM (VALUES ('bolt'), ('gear')) t(vendor))
+SELECT v.vendor, p.p_partkey, p.Bucket,
+  CASE WHEN p.p_brand IS NULL OR p.p_brand IN ('nan', 'None') THEN '' ELSE p.p_brand END AS p_brand,
+  CASE WHEN p.p_size IS NULL OR p.p_size = 0 THEN '' ELSE CAST(p.p_size AS VARCHAR) END AS p_size,
+  CASE WHEN contains(lower(p.Bucket), 'bolt') THEN 'bolt' WHEN contains(lower(p.Bucket), 'gear') THEN 'gear'
+       ELSE '' END AS Empresa,
+  CASE WHEN contains(p.Bucket, 'bolt') OR contains(p.Bucket, 'gear') THEN 'FLM' ELSE 'TDP' END AS Responsable
+FROM p JOIN v ON contains(lower(p.Bucket), v.vendor)""")
+def q_vendor_extract(spark: SparkSession, d: str) -> DataFrame:
+    """One extract row per vendor named in the bucket (a row naming both
+    vendors goes to both); vendor label case-insensitive, responsible party
+    case-sensitive; placeholders blanked; internal columns dropped."""
+    from fieldops.functions.clean import blank_placeholders, drop_if
+    p = table(spark, d, "part")
+    p = p.withColumn("Bucket", F.when(F.col("p_type") == "ECONOMY", F.upper("p_name")).otherwise(F.col("p_name")))
+    p = p.withColumn("Empresa", rules.vendor("Bucket", PART_VENDORS))
+    p = p.withColumn("Responsable", rules.responsible("Bucket", PART_VENDORS))
+    vend = F.filter(F.array(*[F.lit(v) for v in PART_VENDORS]), lambda v: F.lower(F.col("Bucket")).contains(v))
+    x = p.withColumn("vendor", F.explode(vend))
+    x = drop_if(x, ["p_name", "p_type", "p_retailprice", "Mes"])
+    x = blank_placeholders(x, ["p_brand", "p_size"])
+    return x.select("vendor", "p_partkey", "Bucket", "p_brand", "p_size", "Empresa", "Responsable")
+
+
+# P1-P5 ----------------------------------------------------------------------------
+
+def _orders_as_tasks(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "orders")
+    return o.select(
+        "o_orderkey",
+        F.concat(F.when(F.col("o_orderstatus") == "F", F.lit("CM")).when(F.col("o_orderstatus") == "O", F.lit("plm"))
+                 .otherwise(F.lit("XX")), F.col("o_orderkey").cast("string")).alias("Task_Id"),
+        F.when(F.col("o_totalprice") > 300000, F.lit("PROACTIVO")).when(F.col("o_totalprice") < 50000,
+                                                                         F.lit("Abastecimiento"))
+        .otherwise(F.lit("Correctivo")).alias("Task_Category"),
+        F.nullif(F.col("o_orderpriority"), F.lit("3-MEDIUM")).alias("Cancel_Reason"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("canceled")).when(F.col("o_orderstatus") == "F", F.lit("closed"))
+        .alias("Task_Status"),
+    )
+
+
+@register("exclude_and_eligible", """
+WITH t AS (
+  SELECT o_orderkey,
+    (CASE WHEN o_orderstatus = 'F' THEN 'CM' WHEN o_orderstatus = 'O' THEN 'plm' ELSE 'XX' END)
+      || CAST(o_orderkey AS VARCHAR) AS Task_Id,
+    CASE WHEN o_totalprice > 300000 THEN 'PROACTIVO' WHEN o_totalprice < 50000 THEN 'Abastecimiento'
+         ELSE 'Correctivo' END AS Task_Category,
+    nullif(o_orderpriority, '3-MEDIUM') AS Cancel_Reason,
+    CASE WHEN o_orderstatus = 'P' THEN 'canceled' WHEN o_orderstatus = 'F' THEN 'closed' END AS Task_Status
+  FROM orders)
+SELECT *, CASE WHEN contains(lower(Task_Category), 'abastecimiento')
+                AND NOT coalesce(Task_Status = 'canceled', false) THEN 'SI' ELSE 'NO' END AS supply
+FROM t
+WHERE NOT coalesce(Cancel_Reason IN ('1-URGENT', '5-LOW'), false)
+  AND (contains(lower(Task_Id), 'cm') OR (contains(lower(Task_Id), 'plm') AND coalesce(Task_Category = 'PROACTIVO', false)))""")
+def q_exclude_and_eligible(spark: SparkSession, d: str) -> DataFrame:
+    t = _orders_as_tasks(spark, d)
+    t = t.where(rules.exclude_values("Cancel_Reason", ["1-URGENT", "5-LOW"]))
+    t = t.where(rules.eligible_task("Task_Id", "Task_Category"))
+    return t.withColumn("supply", rules.yes_no(rules.supply_task("Task_Category", "Task_Status")))
+
+
+# P7 / P8 / P14 / P15 / C15 ------------------------------------------------------------
+
+@register("flags_any", f"""
+WITH p AS ({SQL_PIVOT}),
+x AS (
+  SELECT o.o_orderkey, r.r_name, n.n_name,
+    CASE WHEN o.o_orderpriority = '1-URGENT' THEN 'Mantenimiento PROACTIVO' ELSE o.o_orderpriority END AS notas,
+    p.l_returnflag_1, p.l_returnflag_2, p.l_returnflag_3, p.l_shipdate_1, p.l_shipdate_2, p.l_shipdate_3,
+    a.p_name AS n1, b.p_name AS n2, c.p_name AS n3
+  FROM orders o LEFT JOIN customer cu ON o.o_custkey = cu.c_custkey
+  LEFT JOIN nation n ON cu.c_nationkey = n.n_nationkey LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+  LEFT JOIN p ON o.o_orderkey = p.l_orderkey
+  LEFT JOIN part a ON p.l_partkey_1 = a.p_partkey LEFT JOIN part b ON p.l_partkey_2 = b.p_partkey
+  LEFT JOIN part c ON p.l_partkey_3 = c.p_partkey),
+y AS (
+  SELECT o_orderkey,
+    CASE WHEN coalesce(r_name = 'AMERICA', false) OR coalesce(n_name = 'PERU', false) THEN 'MB' ELSE '' END
+      AS Marcha_Blanca,
+    CASE WHEN contains(lower(coalesce(notas, '')), 'proactivo') THEN 'Proactivo' ELSE '' END AS Proactivo,
+    CASE WHEN (coalesce(l_returnflag_1 = 'R', false) AND contains(upper(coalesce(n1, '')), 'AC'))
+           OR (coalesce(l_returnflag_2 = 'R', false) AND contains(upper(coalesce(n2, '')), 'AC'))
+           OR (coalesce(l_returnflag_3 = 'R', false) AND contains(upper(coalesce(n3, '')), 'AC'))
+         THEN 'Si' ELSE 'No' END AS Fallo_AC,
+    CASE WHEN coalesce(l_shipdate_1, l_shipdate_2, l_shipdate_3) IS NOT NULL THEN 'Si' ELSE 'No' END AS Tecnico_llego
+  FROM x)
+SELECT *, CASE WHEN Fallo_AC = 'Si' OR Tecnico_llego = 'Si' OR Proactivo = 'Proactivo' THEN 'Si' ELSE 'No' END
+  AS Atencion FROM y""")
+def q_flags_any(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "orders")
+    cu = table(spark, d, "customer")
+    n = table(spark, d, "nation")
+    r = table(spark, d, "region")
+    p = pivot3(spark, d)
+    p = slots.join_slots(p, "l_orderkey", ["l_partkey_1", "l_partkey_2", "l_partkey_3"], table(spark, d, "part"),
+                         "p_partkey", ["p_name"])
+    x = (o.join(cu, o.o_custkey == cu.c_custkey, "left").join(n, cu.c_nationkey == n.n_nationkey, "left")
+         .join(r, n.n_regionkey == r.r_regionkey, "left").join(p, o.o_orderkey == p.l_orderkey, "left"))
+    notas = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Mantenimiento PROACTIVO")).otherwise(
+        F.col("o_orderpriority"))
+    spec = [F.when(F.col(f"l_returnflag_{i}") == "R", F.lit(config.AC_SPECIALITY)) for i in (1, 2, 3)]
+    y = x.select(
+        "o_orderkey",
+        rules.soft_launch("r_name", "n_name", dept_value="AMERICA", prov_value="PERU").alias("Marcha_Blanca"),
+        rules.proactive(notas).alias("Proactivo"),
+        rules.ac_fault(spec, [F.col(f"p_name_{i}") for i in (1, 2, 3)]).alias("Fallo_AC"),
+        rules.any_present("l_shipdate_1", "l_shipdate_2", "l_shipdate_3").alias("Tecnico_llego"),
+    )
+    return y.withColumn("Atencion", rules.any_true(F.col("Fallo_AC") == "Si", F.col("Tecnico_llego") == "Si",
+                                                   F.col("Proactivo") == config.L_PROACTIVE))
+
+
+# D1 / D3 / D4 ---------------------------------------------------------------------
+
+@register("days_since", """
+WITH x AS (SELECT l.l_orderkey, l.l_linenumber, l.l_partkey,
+             date_diff('microsecond', o.o_orderdate, l.l_shipdate) AS us
+           FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
+SELECT l_orderkey, l_linenumber, l_partkey,
+  CASE WHEN floor(us / 86400000000.0::DOUBLE) > 0 THEN CAST(floor(us / 86400000000.0::DOUBLE) AS BIGINT) END AS dias,
+  us / 60000000.0::DOUBLE AS minutos, us / 3600000000.0::DOUBLE AS horas
+FROM x""")
+def q_days_since(spark: SparkSession, d: str) -> DataFrame:
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    x = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    return x.select("l_orderkey", "l_linenumber", "l_partkey",
+                    rules.days_since("o_orderdate", "l_shipdate").alias("dias"),
+                    rules.minutes_between("o_orderdate", "l_shipdate").alias("minutos"),
+                    rules.hours_between("o_orderdate", "l_shipdate").alias("horas"))
+
+
+# D5 / D6 ---------------------------------------------------------------------------
+
+AS_OF = "2024-01-31 00:00:00"
+
+
+@register("open_age_band", f"""
+WITH x AS (SELECT event_id,
+             CASE event_type WHEN 'purchase' THEN 'Completado' WHEN 'signup' THEN 'Cancelado' ELSE 'Pendiente' END
+               AS Estado_TOA, ts FROM events),
+y AS (SELECT event_id, Estado_TOA,
+        CASE WHEN Estado_TOA NOT IN ('Completado', 'Cancelado')
+             THEN date_diff('microsecond', ts, TIMESTAMP '{AS_OF}') / 3600000000.0::DOUBLE END AS horas_abierto
+      FROM x)
+SELECT *, CASE WHEN horas_abierto BETWEEN 0.000001 AND 3 THEN 'verde'
+               WHEN horas_abierto > 3 AND horas_abierto <= 6 THEN 'amarillo'
+               WHEN horas_abierto > 6 THEN 'rojo' ELSE '' END AS semaforo
+FROM y""")
+def q_open_age_band(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events")
+    status = (F.when(F.col("event_type") == "purchase", F.lit("Completado"))
+              .when(F.col("event_type") == "signup", F.lit("Cancelado")).otherwise(F.lit("Pendiente")))
+    x = e.select("event_id", status.alias("Estado_TOA"), "ts")
+    as_of = F.lit(AS_OF).cast("timestamp_ntz")
+    x = x.withColumn("horas_abierto", rules.open_age_hours("ts", "Estado_TOA", as_of))
+    return x.select("event_id", "Estado_TOA", "horas_abierto", rules.age_band("horas_abierto").alias("semaforo"))
