@@ -40,7 +40,7 @@ def parse_ts(c: Column | str, formats: Iterable[tuple[str, str]] = config.DATETI
     for _py, pattern in formats:
         parsed = F.try_to_timestamp(s, F.lit(pattern)).cast("timestamp_ntz")
         if "yyyy" not in pattern and "yy" in pattern:
-            parsed = F.when(F.year(parsed) >= 2069, F.add_months(parsed, -1200).cast("timestamp_ntz")).otherwise(parsed)
+            parsed = F.when(F.year(parsed) >= 2069, F.timestamp_add("YEAR", F.lit(-100), parsed)).otherwise(parsed)
         tries.append(parsed)
     return F.coalesce(*tries) if len(tries) > 1 else tries[0]
 

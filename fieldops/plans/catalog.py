@@ -586,3 +586,234 @@ def q_open_age_band(spark: SparkSession, d: str) -> DataFrame:
     as_of = F.lit(AS_OF).cast("timestamp_ntz")
     x = x.withColumn("horas_abierto", rules.open_age_hours("ts", "Estado_TOA", as_of))
     return x.select("event_id", "Estado_TOA", "horas_abierto", rules.age_band("horas_abierto").alias("semaforo"))
+
+
+# C1 / C2 / C5 / C6 ------------------------------------------------------------------
+
+# Spark rendering patterns matching the fixed input formats, in the same order.
+RENDER_PATTERNS = ["dd/MM/yy hh:mm a", "yyyy-MM-dd HH:mm:ss", "dd/MM/yy HH:mm:ss", "dd/MM/yy", "yyyy-MM-dd HH:mm",
+                   "dd/MM/yyyy hh:mm a", "dd/MM/yyyy HH:mm"]
+
+
+def rendered_dates(spark: SparkSession, d: str) -> DataFrame:
+    """Order dates (plus a time of day taken from the key) written as text in
+    one of the seven feed formats, a null token or junk, chosen by key."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    t = F.timestamp_add("MINUTE", F.col("o_orderkey") % 1440, F.col("o_orderdate"))
+    sel = F.col("o_orderkey") % 9
+    raw = F.when(sel == 7, F.lit("-")).when(sel == 8, F.concat(F.lit("junk "), F.col("o_orderkey").cast("string")))
+    for i, pat in enumerate(RENDER_PATTERNS):
+        raw = raw.when(sel == i, F.date_format(t, pat))
+    return o.select("o_orderkey", raw.alias("raw"),
+                    F.date_format(F.col("o_orderdate"), "yyyy/MM/dd").alias("raw_slash"))
+
+
+def _sql_rendered() -> str:
+    fmts = [py for py, _ in config.DATETIME_FORMATS]
+    whens = " ".join(f"WHEN o_orderkey % 9 = {i} THEN strftime(t, '{f}')" for i, f in enumerate(fmts))
+    return f"""
+SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 7 THEN '-' WHEN o_orderkey % 9 = 8 THEN 'junk ' || CAST(o_orderkey AS VARCHAR)
+  {whens} END AS raw, strftime(o_orderdate, '%Y/%m/%d') AS raw_slash
+FROM (SELECT o_orderkey, o_orderdate, o_orderdate + to_minutes(CAST(o_orderkey % 1440 AS BIGINT)) AS t FROM orders) s"""
+
+
+SQL_RENDERED = _sql_rendered()
+SQL_FORMATS = "[" + ", ".join(f"'{py}'" for py, _ in config.DATETIME_FORMATS) + "]"
+SQL_PARSE = ("try_strptime(regexp_replace(CASE WHEN {c} IN ('', '-', 'no se registro ?') THEN NULL ELSE {c} END,"
+             " '^\\s+|\\s+$', '', 'g'), " + SQL_FORMATS + ")")
+
+
+@register("parse_dates", f"""
+WITH r AS ({SQL_RENDERED})
+SELECT o_orderkey, raw, {SQL_PARSE.format(c='raw')} AS parsed,
+  strftime({SQL_PARSE.format(c='raw')}, '%Y-%m-%d %H:%M:%S') AS parsed_text
+FROM r""")
+def q_parse_dates(spark: SparkSession, d: str) -> DataFrame:
+    from fieldops.functions.clean import fmt_ts, parse_ts
+    r = rendered_dates(spark, d)
+    return r.select("o_orderkey", "raw", parse_ts("raw").alias("parsed"), fmt_ts(parse_ts("raw")).alias("parsed_text"))
+
+
+# C3 / O3 ----------------------------------------------------------------------------
+
+@register("unparsed_report", f"""
+WITH r AS ({SQL_RENDERED}),
+f AS (SELECT 'raw' AS "column", raw AS raw, o_orderkey FROM r
+      WHERE CASE WHEN raw IN ('', '-', 'no se registro ?') THEN NULL ELSE raw END IS NOT NULL
+        AND {SQL_PARSE.format(c='raw')} IS NULL
+      UNION ALL
+      SELECT 'raw_slash', raw_slash, o_orderkey FROM r
+      WHERE CASE WHEN raw_slash IN ('', '-', 'no se registro ?') THEN NULL ELSE raw_slash END IS NOT NULL
+        AND {SQL_PARSE.format(c='raw_slash')} IS NULL)
+SELECT "column", raw, rn FROM (
+  SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY o_orderkey, raw) AS rn FROM f) t
+WHERE rn <= 20""")
+def q_unparsed_report(spark: SparkSession, d: str) -> DataFrame:
+    from fieldops.functions.clean import unparsed_report
+    return unparsed_report(rendered_dates(spark, d), ["raw", "raw_slash"], "o_orderkey", limit=20)
+
+
+# C4 ----------------------------------------------------------------------------------
+
+CONTRACT = {"qty": "INTEGER", "price": "REAL", "ship_day": "DATE", "flag": "TEXT", "ship_ts": "DATETIME"}
+
+
+@register("contract_cast", f"""
+WITH t AS (
+  SELECT l_orderkey, l_linenumber, CAST(l_quantity / 2 AS VARCHAR) AS qty,
+    CASE WHEN l_linenumber = 3 THEN CAST(l_extendedprice AS VARCHAR) || 'd' ELSE CAST(l_extendedprice AS VARCHAR) END
+      AS price,
+    strftime(l_shipdate, '%Y-%m-%d') AS ship_day, l_returnflag AS flag,
+    strftime(l_shipdate + to_minutes(CAST(l_partkey % 1440 AS BIGINT)), '%d/%m/%Y %H:%M') AS ship_ts
+  FROM lineitem)
+SELECT l_orderkey, l_linenumber, CAST(round_even(TRY_CAST(qty AS DOUBLE), 0) AS BIGINT) AS qty,
+  TRY_CAST(price AS DOUBLE) AS price, TRY_CAST(ship_day AS DATE) AS ship_day, flag,
+  {SQL_PARSE.format(c='ship_ts')} AS ship_ts
+FROM t""")
+def q_contract_cast(spark: SparkSession, d: str) -> DataFrame:
+    """Lines rendered to text as a feed delivers them, then typed by contract
+    (half-even integer rounding, junk numbers to NULL)."""
+    from fieldops.functions.clean import apply_contract
+    li = table(spark, d, "lineitem")
+    txt = li.select(
+        "l_orderkey", "l_linenumber",
+        (F.col("l_quantity") / 2).cast("string").alias("qty"),
+        F.when(F.col("l_linenumber") == 3, F.concat(F.col("l_extendedprice").cast("string"), F.lit("d")))
+        .otherwise(F.col("l_extendedprice").cast("string")).alias("price"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("ship_day"),
+        F.col("l_returnflag").alias("flag"),
+        F.date_format(F.timestamp_add("MINUTE", F.col("l_partkey") % 1440, F.col("l_shipdate")),
+                      "dd/MM/yyyy HH:mm").alias("ship_ts"))
+    return apply_contract(txt, CONTRACT)
+
+
+# C9 - C13 / C16 ---------------------------------------------------------------------
+
+@register("canon_ids", """
+WITH t AS (
+  SELECT o_orderkey,
+    CASE o_orderkey % 4 WHEN 0 THEN CAST(o_orderkey AS VARCHAR) || '.0'
+                        WHEN 1 THEN CAST(o_orderkey * 100003 AS VARCHAR)
+                        WHEN 2 THEN 'SIOM-' || CAST(o_orderkey AS VARCHAR) ELSE '' END AS raw_id,
+    ' PET' || CAST(o_orderkey AS VARCHAR) || '-01 ' AS peticion,
+    CASE WHEN o_orderstatus = 'F' THEN 'INC' || lpad(CAST(o_orderkey AS VARCHAR), 7, '0')
+         ELSE 'TT' || CAST(o_orderkey AS VARCHAR) END AS ticket,
+    CASE WHEN o_orderstatus = 'P' THEN 'Cancelado (antiguo)' WHEN o_orderstatus = 'F' THEN 'Completado'
+         ELSE 'Pendiente' END AS estado_raw,
+    o_custkey, o_orderdate
+  FROM orders),
+c AS (
+  SELECT *,
+    CASE WHEN raw_id IS NULL OR raw_id = '' THEN NULL
+         WHEN regexp_matches(raw_id, '^\\s*[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?\\s*$')
+           THEN (CASE WHEN length(CAST(CAST(TRY_CAST(raw_id AS DOUBLE) AS BIGINT) AS VARCHAR)) < 8
+                      THEN lpad(CAST(CAST(TRY_CAST(raw_id AS DOUBLE) AS BIGINT) AS VARCHAR), 8, '0')
+                      ELSE CAST(CAST(TRY_CAST(raw_id AS DOUBLE) AS BIGINT) AS VARCHAR) END)
+         ELSE raw_id END AS Nro_TOA,
+    regexp_replace(trim(peticion), '-\\d{2}$', '') AS Numero_Peticion
+  FROM t)
+SELECT o_orderkey, raw_id, Nro_TOA, coalesce(length(Nro_TOA) = 8, false) AS largo_8, Numero_Peticion,
+  CASE WHEN regexp_matches(ticket, '^INC\\d{7}') THEN ticket ELSE Numero_Peticion END AS Clave_Remedy,
+  trim(replace(estado_raw, '(antiguo)', '')) AS Estado_TOA,
+  coalesce(CAST(o_custkey AS VARCHAR), '') || '_' || coalesce(CAST(o_orderdate AS VARCHAR), '') AS Index
+FROM c""")
+def q_canon_ids(spark: SparkSession, d: str) -> DataFrame:
+    from fieldops.functions import clean
+    o = table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    raw = (F.when(k % 4 == 0, F.concat(k.cast("string"), F.lit(".0"))).when(k % 4 == 1, (k * 100003).cast("string"))
+           .when(k % 4 == 2, F.concat(F.lit("SIOM-"), k.cast("string"))).otherwise(F.lit("")))
+    t = o.select(
+        "o_orderkey", raw.alias("raw_id"),
+        F.concat(F.lit(" PET"), k.cast("string"), F.lit("-01 ")).alias("peticion"),
+        F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("INC"), F.lpad(k.cast("string"), 7, "0")))
+        .otherwise(F.concat(F.lit("TT"), k.cast("string"))).alias("ticket"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("Cancelado (antiguo)"))
+        .when(F.col("o_orderstatus") == "F", F.lit("Completado")).otherwise(F.lit("Pendiente")).alias("estado_raw"),
+        "o_custkey", "o_orderdate")
+    t = t.withColumns({"Nro_TOA": clean.canon_id("raw_id"), "Numero_Peticion": clean.strip_suffix("peticion")})
+    return t.select(
+        "o_orderkey", "raw_id", "Nro_TOA", F.coalesce(clean.fixed_length("Nro_TOA", 8), F.lit(False)).alias("largo_8"),
+        "Numero_Peticion", clean.incident_key("ticket", "Numero_Peticion").alias("Clave_Remedy"),
+        clean.strip_literal("estado_raw", "(antiguo)").alias("Estado_TOA"),
+        clean.composite_key("o_custkey", "o_orderdate").alias("Index"))
+
+
+# C7 / C8 / O1 -----------------------------------------------------------------------
+
+REPORT_MAP = {"o_orderkey": "ID_TOA", "o_orderdate": "Creacion_TOA", "o_orderstatus": "Estado_TOA",
+              "o_custkey": "Site_ID", "Prioridad_TOA": "Prioridad", "o_totalprice": "Monto"}
+
+
+@register("project_report", """
+SELECT o_orderkey AS ID_TOA, o_orderdate AS Creacion_TOA, o_orderstatus AS Estado_TOA, o_custkey AS Site_ID,
+  o_orderpriority AS Prioridad, o_totalprice AS Monto
+FROM orders ORDER BY Creacion_TOA DESC NULLS LAST, ID_TOA""")
+def q_project_report(spark: SparkSession, d: str) -> DataFrame:
+    from fieldops.functions.clean import drop_if, normalize_names, project_as
+    o = table(spark, d, "orders").withColumnRenamed("o_orderpriority", "Prioridad TOA").withColumn("Mes", F.lit(1))
+    o = drop_if(normalize_names(o), ["Mes"])
+    return project_as(o, REPORT_MAP).orderBy(F.col("Creacion_TOA").desc_nulls_last(), F.col("ID_TOA"))
+
+
+# A9 / S11 / A10 ---------------------------------------------------------------------
+
+@register("duplicate_keys", """
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
+def q_duplicate_keys(spark: SparkSession, d: str) -> DataFrame:
+    return state.duplicate_keys(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("table_counts", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in
+    ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+     "pages", "benchmark", "labels", "conversations"]))
+def q_table_counts(spark: SparkSession, d: str) -> DataFrame:
+    from fieldops.sources.io import table_counts
+    return table_counts(spark, d)
+
+
+@register("stage_metrics", """
+SELECT 'raw' AS stage, count(*) AS rows, count(user_id) AS nonnull_user_id, count(value) AS nonnull_value FROM events
+UNION ALL
+SELECT 'incidents', count(*), count(user_id), count(value) FROM events WHERE event_type = 'error'
+UNION ALL
+SELECT 'since_cutoff', count(*), count(user_id), count(value) FROM events
+WHERE event_type = 'error' AND ts >= TIMESTAMP '2024-01-08 00:00:00'""")
+def q_stage_metrics(spark: SparkSession, d: str) -> DataFrame:
+    ev = table(spark, d, "events")
+    inc = ev.where(F.col("event_type") == "error")
+    cut = inc.where(rules.since("ts", "2024-01-08 00:00:00"))
+    cols = ["user_id", "value"]
+    return state.union_all(state.stage_metrics(ev, "raw", cols), state.stage_metrics(inc, "incidents", cols),
+                           state.stage_metrics(cut, "since_cutoff", cols))
+
+
+# A12 / P1 -----------------------------------------------------------------------------
+
+@register("review_queue", """
+WITH s AS (SELECT doc_id AS Nro_TOA, text AS Notas, CAST(NULL AS VARCHAR) AS Confirmado, 1 AS fuente FROM documents
+           WHERE lower(text) LIKE '%test%' OR lower(text) LIKE '%ticket de prueba%'),
+h AS (SELECT doc_id, NULL, CASE WHEN quality = 1 THEN 'SI' ELSE 'NO' END, 2 FROM labels),
+e AS (SELECT doc_id, 'Error al pasar de Autin', 'SI', 3 FROM labels WHERE toxic = 1),
+u AS (SELECT * FROM s UNION ALL SELECT * FROM h UNION ALL SELECT * FROM e)
+SELECT Nro_TOA, Notas, Confirmado, fuente FROM (
+  SELECT *, row_number() OVER (PARTITION BY Nro_TOA ORDER BY fuente DESC) AS rn FROM u) t WHERE rn = 1""")
+def q_review_queue(spark: SparkSession, d: str) -> DataFrame:
+    """Test tickets: suspects from notes, the confirmation sheet (labels) and
+    the error list (toxic labels); a later source wins per ticket."""
+    from fieldops.functions.rules import icontains
+    doc = table(spark, d, "documents")
+    lab = table(spark, d, "labels")
+    sus_cond = F.lit(False)
+    for m in config.TEST_MARKERS:
+        sus_cond = sus_cond | icontains("text", m)
+    suspects = doc.where(sus_cond).select(F.col("doc_id").alias("Nro_TOA"), F.col("text").alias("Notas"),
+                                          F.lit(None).cast("string").alias("Confirmado"))
+    sheet = lab.select(F.col("doc_id").alias("Nro_TOA"), F.lit(None).cast("string").alias("Notas"),
+                       F.when(F.col("quality") == 1, F.lit("SI")).otherwise(F.lit("NO")).alias("Confirmado"))
+    errors = lab.where(F.col("toxic") == 1).select(F.col("doc_id").alias("Nro_TOA"),
+                                                   F.lit(config.ERROR_LIST_NOTE).alias("Notas"),
+                                                   F.lit("SI").alias("Confirmado"))
+    merged, _confirmed, _pending = state.review_queue(suspects, sheet, errors, "Nro_TOA")
+    return merged.withColumnRenamed("_src", "fuente")
