@@ -817,3 +817,297 @@ def q_review_queue(spark: SparkSession, d: str) -> DataFrame:
                                                    F.lit("SI").alias("Confirmado"))
     merged, _confirmed, _pending = state.review_queue(suspects, sheet, errors, "Nro_TOA")
     return merged.withColumnRenamed("_src", "fuente")
+
+
+# T1 - T3 ------------------------------------------------------------------------------
+
+def alarm_inputs(spark: SparkSession, d: str):
+    """Incident summaries and notes written from part rows (the driver text has
+    no alarms): a padded pipe segment (rejected untrimmed), a tight segment, an
+    AC-failure segment, or no pipe; every second row has an 'Alarma:' line
+    ending in CRLF.  Catalogue = names of the larger parts with their type."""
+    p = table(spark, d, "part")
+    k = F.col("p_size") % 4
+    resumen = (F.when(k == 0, F.concat(F.lit("INC"), F.col("p_partkey").cast("string"), F.lit(" | "), F.col("p_name"),
+                                       F.lit(" | "), F.col("p_type")))
+               .when(k == 1, F.concat(F.lit("INC|"), F.col("p_name"), F.lit("|"), F.col("p_type")))
+               .when(k == 2, F.concat(F.col("p_name"), F.lit(" | falla ac "), F.lower("p_type")))
+               .otherwise(F.col("p_name")))
+    notas = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("Alarma: "), F.upper("p_name"), F.lit("\r\nfin"))) \
+        .otherwise(F.lit("sin alarma"))
+    inc = p.select("p_partkey", resumen.alias("Resumen"), notas.alias("Notas"))
+    cat = p.where(F.col("p_size") > 25).select(F.col("p_name").alias("Alarma"), F.col("p_type").alias("Tipo"))
+    return inc, cat
+
+
+@register("alarm_rule", """
+WITH p AS (
+  SELECT p_partkey,
+    CASE p_size % 4 WHEN 0 THEN 'INC' || CAST(p_partkey AS VARCHAR) || ' | ' || p_name || ' | ' || p_type
+                    WHEN 1 THEN 'INC|' || p_name || '|' || p_type
+                    WHEN 2 THEN p_name || ' | falla ac ' || lower(p_type) ELSE p_name END AS resumen,
+    CASE WHEN p_size % 2 = 0 THEN 'Alarma: ' || upper(p_name) || chr(13) || chr(10) || 'fin' ELSE 'sin alarma' END
+      AS notas
+  FROM part),
+cat AS (SELECT lower(regexp_replace(p_name, '^\\s+|\\s+$', '', 'g')) AS k, min(p_type) AS tipo
+        FROM part WHERE p_size > 25 GROUP BY 1),
+s AS (SELECT *, lower(nullif(regexp_extract(resumen, '\\|([^|]+)', 1), '')) AS seg FROM p),
+a AS (SELECT p_partkey, notas,
+        CASE WHEN seg IN (SELECT k FROM cat)
+               OR (contains(seg, 'ac') AND (contains(seg, 'failure') OR contains(seg, 'fallo') OR contains(seg, 'falla')))
+             THEN seg END AS acc FROM s),
+b AS (SELECT p_partkey,
+        coalesce(regexp_replace(lower(coalesce(acc, nullif(regexp_extract(notas, 'Alarma: ([^\\n]*?)\\n', 1), ''))),
+                                '^\\s+|\\s+$', '', 'g'), '') AS alarma FROM a)
+SELECT b.p_partkey,
+  CASE WHEN alarma = '' THEN 'alarma no identificada' ELSE alarma END AS Alarma,
+  CASE WHEN alarma = '' THEN 'alarma no identificada'
+       WHEN contains(alarma, 'ac') AND (contains(alarma, 'failure') OR contains(alarma, 'fallo') OR contains(alarma, 'falla'))
+         THEN 'TOTAL'
+       WHEN cat.tipo IS NULL THEN 'tipo no identificado' ELSE cat.tipo END AS Tipo
+FROM b LEFT JOIN cat ON b.alarma = cat.k""")
+def q_alarm_rule(spark: SparkSession, d: str) -> DataFrame:
+    from fieldops.functions.text import alarm_catalogue, identify_alarms
+    inc, cat = alarm_inputs(spark, d)
+    out = identify_alarms(inc, "Resumen", "Notas", alarm_catalogue(cat))
+    return out.select("p_partkey", "Alarma", "Tipo")
+
+
+# T5 / T6 / L6 ----------------------------------------------------------------------------
+
+def notes_with_orders(spark: SparkSession, d: str) -> DataFrame:
+    doc = table(spark, d, "documents").select("doc_id", "text")
+    k = F.col("doc_id")
+    sel = k % 5
+    suffix = (F.when(sel == 0, F.concat(F.lit("TOA: "), F.lpad(((k * 13) % 20000).cast("string"), 8, "0")))
+              .when(sel == 1, F.concat(F.lit("Siom:"), F.lpad(((k * 7) % 20000).cast("string"), 9, "9")))
+              .when(sel == 2, F.concat(F.lit("Circuito: "), k.cast("string")))
+              .when(sel == 3, F.concat(F.lit("CD"), F.lpad(k.cast("string"), 6, "0"), F.lit(" TOA: "),
+                                       F.lpad((k % 15000).cast("string"), 8, "0")))
+              .otherwise(F.lit("")))
+    return doc.select("doc_id", F.concat(F.col("text"), F.lit("\n"), suffix).alias("Notas"))
+
+
+@register("notes_rules", f"""
+WITH n AS (
+  SELECT doc_id, text || chr(10) || CASE doc_id % 5
+      WHEN 0 THEN 'TOA: ' || lpad(CAST((doc_id * 13) % 20000 AS VARCHAR), 8, '0')
+      WHEN 1 THEN 'Siom:' || lpad(CAST((doc_id * 7) % 20000 AS VARCHAR), 9, '9')
+      WHEN 2 THEN 'Circuito: ' || CAST(doc_id AS VARCHAR)
+      WHEN 3 THEN 'CD' || lpad(CAST(doc_id AS VARCHAR), 6, '0') || ' TOA: ' || lpad(CAST(doc_id % 15000 AS VARCHAR), 8, '0')
+      ELSE '' END AS notas
+  FROM documents),
+t AS (SELECT doc_id,
+        coalesce(nullif(regexp_extract(regexp_replace(regexp_extract(notas, '(?i)(?:TOA:|SIOM:)([^\\n]*?)(?:\\n|$)', 1),
+                 '^\\s+|\\s+$', '', 'g'), '(\\d{{8}})', 1), ''), 'sin TOA en notas') AS TOA_notas,
+        coalesce(regexp_matches(notas, 'CD\\d{{6}}|CR\\d{{5}}|Circuito:|CIRCUITO:'), false) AS corp
+      FROM n),
+m AS (SELECT t.*, o.o_orderkey AS Nro_TOA, o.o_custkey AS site,
+        {_sql_case('c.c_mktsegment', config.SEGMENT_PROVIDER_ROLE)} AS prov
+      FROM t LEFT JOIN orders o ON lpad(CAST(o.o_orderkey AS VARCHAR), 8, '0') = t.TOA_notas
+      LEFT JOIN customer c ON o.o_custkey = c.c_custkey),
+r AS (SELECT *, CASE WHEN corp THEN 'Caso Empresa' WHEN Nro_TOA IS NOT NULL THEN 'Si tiene TOA'
+                     ELSE 'TOA no identificado' END AS r1 FROM m)
+SELECT doc_id, CASE WHEN corp THEN 'SI' ELSE 'NO' END AS Caso_Empresa, TOA_notas, Nro_TOA,
+  CASE WHEN NOT coalesce(prov IN ('HUAWEI', 'COMFICA'), false) AND site IS NOT NULL AND r1 <> 'Si tiene TOA'
+       THEN 'Sitio corresponde a Telefonica' ELSE r1 END AS Razones_Sin_TOA
+FROM r""")
+def q_notes_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Notes name an order after 'TOA:'/'SIOM:' or look like a corporate
+    case; the order is looked up (8-digit zero-filled key) and the reason for
+    a missing order decided, with the site's provider override."""
+    from fieldops.functions.text import corporate_case, order_in_notes
+    n = notes_with_orders(spark, d)
+    n = n.withColumns({"TOA_notas": order_in_notes("Notas"), "_corp": corporate_case("Notas")})
+    o = table(spark, d, "orders").select(F.lpad(F.col("o_orderkey").cast("string"), 8, "0").alias("_k"),
+                                         F.col("o_orderkey").alias("Nro_TOA"), F.col("o_custkey").alias("_site"))
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("_site"),
+                                           roles.provider(F.col("c_mktsegment")).alias("_prov"))
+    x = n.join(o, n.TOA_notas == o._k, "left").join(c, "_site", "left")
+    return x.select("doc_id", rules.yes_no(F.col("_corp")).alias("Caso_Empresa"), "TOA_notas", "Nro_TOA",
+                    rules.no_order_reason("_corp", "Nro_TOA", "_prov", "_site").alias("Razones_Sin_TOA"))
+
+
+# T7 - T11 ---------------------------------------------------------------------------------
+
+# Field-report phrases appended to the documents (the driver text has no
+# repair vocabulary); chosen by doc_id % 8.
+FIELD_PHRASES = [
+    "Se instaló el grupo electrógeno y quedó operativo",
+    "No tiene grupo electrógeno, se revisó el rectificador",
+    "Técnico cambió las baterías del banco",
+    "Se ajustó el ITM principal",
+    "Se levanta el breaker de la fase R",
+    "Se arregló breakers del tablero",
+    "Sin GE en sitio, se encendió grupo portátil",
+    "Se coloca g.e. y se recargó batería",
+]
+
+
+def field_texts(spark: SparkSession, d: str) -> DataFrame:
+    from fieldops.functions.text import combined_text
+    doc = table(spark, d, "documents").select("doc_id", "text")
+    phrase = F.element_at(F.array(*[F.lit(p) for p in FIELD_PHRASES]), (F.col("doc_id") % 8 + 1).cast("int"))
+    empty = F.lit(None).cast("string")
+    return doc.select("doc_id", combined_text([F.col("text"), phrase, empty, empty, empty, empty]).alias("Texto_Comb"))
+
+
+_W = r"[\p{L}\p{M}\p{Nd}\p{Pc}]"
+_NW = r"[^\p{L}\p{M}\p{Nd}\p{Pc}]"
+_B = f"(?:^|{_NW})"
+_E = f"(?:$|{_NW})"
+SQL_DETECT = {
+    "ge": (_B + r"(?:no\s+(?:tiene|hay|existe)|sin|ningún(?:a)?|no\s*cuenta\s+con)\s+"
+           r"(?:grupo\s+electr[oó]geno|grupo|ge|g\.e)" + _E,
+           _B + r"(?:instal|encend|cambi|coloc|dej(?:a|o)|oper|funcion)",
+           _B + r"(?:grupo\s+electr[oó]geno|ge|g\.e|grupo)" + _E),
+    "baterias": (None, _B + r"(?:coloc|cambi|instal|mid|recarg|carg|respald|revis|verific)",
+                 _B + r"(?:b{1,2}[aá]ter[ií]a(?:s)?)" + _E),
+    "itm": (None, _B + r"(?:cambi|ajust|reajust|reposicion)", _B + r"(?:itm)" + _E),
+    "breakers": (None, _B + r"(?:sub[ií]o|levant(?:o|a)|ajust(?:o|ó)|activ|arregl(?:o|ó))",
+                 _B + r"(?:breaker|breacker|breackers|braker|bracker|brackers|breker|breckers)" + _E),
+}
+
+
+def _sql_detector(name: str, col: str) -> str:
+    neg, verb, noun = SQL_DETECT[name]
+    cond = f"regexp_matches(lower({col}), '{verb}') AND regexp_matches(lower({col}), '{noun}')"
+    if neg:
+        cond += f" AND NOT regexp_matches(lower({col}), '{neg}')"
+    return f"CASE WHEN coalesce({col}, '') = '' THEN 'NO' WHEN {cond} THEN 'SI' ELSE 'NO' END"
+
+
+def _sql_field_texts() -> str:
+    arr = "[" + ", ".join("'" + p.replace("'", "''") + "'" for p in FIELD_PHRASES) + "]"
+    return (f"SELECT doc_id, concat_ws('. ', coalesce(text, ''), {arr}[doc_id % 8 + 1], '', '', '', '') AS Texto_Comb "
+            f"FROM documents")
+
+
+@register("text_detectors", f"""
+WITH t AS ({_sql_field_texts()})
+SELECT doc_id, {_sql_detector('ge', 'Texto_Comb')} AS accion_ge, {_sql_detector('baterias', 'Texto_Comb')} AS accion_baterias,
+  {_sql_detector('itm', 'Texto_Comb')} AS accion_itm, {_sql_detector('breakers', 'Texto_Comb')} AS accion_breakers,
+  length(Texto_Comb) AS largo
+FROM t""")
+def q_text_detectors(spark: SparkSession, d: str) -> DataFrame:
+    from fieldops.functions.text import detector
+    t = field_texts(spark, d)
+    return t.select("doc_id", detector("ge", "Texto_Comb").alias("accion_ge"),
+                    detector("baterias", "Texto_Comb").alias("accion_baterias"),
+                    detector("itm", "Texto_Comb").alias("accion_itm"),
+                    detector("breakers", "Texto_Comb").alias("accion_breakers"),
+                    F.length("Texto_Comb").cast("bigint").alias("largo"))
+
+
+# L1 / L2 / D4 -----------------------------------------------------------------------------
+
+SQL_TIER = _sql_case("c.c_mktsegment", config.SEGMENT_TIER_ROLE)
+SQL_TARGET = ("CASE trim(priorizacion) " + " ".join(f"WHEN '{k}' THEN {float(v)}::DOUBLE"
+                                                      for k, v in config.TIER_TARGET_HOURS.items()) + " END")
+
+
+def incidents_with_tier(spark: SparkSession, d: str) -> DataFrame:
+    inc = roles.incidents(spark, d).select("event_id", "user_id", "ts", "value")
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"),
+                                           roles.tier(F.col("c_mktsegment")).alias("priorizacion"),
+                                           "c_mktsegment", "c_acctbal")
+    return inc.join(c, "user_id", "left")
+
+
+@register("sla_compliance", f"""
+WITH e AS ({SQL_ERR}), p AS ({SQL_PUR}),
+a AS (SELECT e.event_id, e.user_id, e.ts, p.ts AS reg_ts FROM e ASOF LEFT JOIN p ON e.user_id = p.user_id AND e.ts <= p.ts),
+t AS (SELECT a.*, {SQL_TIER} AS priorizacion FROM a LEFT JOIN customer c ON a.user_id = c.c_custkey),
+u AS (SELECT *, {SQL_TARGET} AS objetivo_h, date_diff('microsecond', ts, reg_ts) AS us FROM t)
+SELECT event_id, user_id, ts, reg_ts, priorizacion, objetivo_h, us / 3600000000.0::DOUBLE AS envio_h,
+  CASE WHEN objetivo_h IS NULL THEN 'Sin información Site ID'
+       WHEN ts IS NULL OR reg_ts IS NULL THEN 'Sin información TOA'
+       WHEN us / 60000000.0::DOUBLE < (objetivo_h + 0.25::DOUBLE) * 60.0::DOUBLE THEN '< del tiempo esperado'
+       WHEN us / 60000000.0::DOUBLE > (objetivo_h + 0.75::DOUBLE) * 60.0::DOUBLE THEN '> del tiempo esperado'
+       ELSE 'rango correcto' END AS cumplimiento
+FROM u""")
+def q_sla_compliance(spark: SparkSession, d: str) -> DataFrame:
+    """Registration = first purchase of the site at or after the incident
+    (forward as-of); target by site tier; compliance band."""
+    inc = incidents_with_tier(spark, d).select("event_id", "user_id", "ts", "priorizacion")
+    pur = roles.purchases(spark, d).select("user_id", F.col("event_id").alias("reg_id"), F.col("ts").alias("reg_ts"))
+    x = joins.asof_join(inc, pur, "user_id", "ts", "reg_ts", ["reg_ts"], right_tiebreak=["reg_id"], strict=False,
+                        forward=True)
+    x = x.withColumn("objetivo_h", rules.target_hours("priorizacion"))
+    return x.select("event_id", "user_id", "ts", "reg_ts", "priorizacion", "objetivo_h",
+                    rules.hours_between("ts", "reg_ts").alias("envio_h"),
+                    rules.compliance("objetivo_h", "ts", "reg_ts").alias("cumplimiento"))
+
+
+# A11 / L3 / L4 / P11 ---------------------------------------------------------------------
+
+CUTOFF = "2024-01-08 00:00:00"
+
+
+def _sql_bins(col: str, outcome: str) -> str:
+    parts = [f"WHEN {outcome} = 'Cancelamiento Outlier' THEN 'Cancelamiento Outlier'", f"WHEN {col} IS NULL THEN NULL"]
+    parts += [f"WHEN {col} >= {lo} AND {col} < {hi} THEN '{label}'" for lo, hi, label in config.CANCEL_BINS]
+    return "CASE " + " ".join(parts) + " ELSE '72+' END"
+
+
+@register("cancel_outcome", f"""
+WITH e AS ({SQL_ERR} AND ts >= TIMESTAMP '{CUTOFF}'), p AS ({SQL_PUR}),
+f AS (SELECT e.event_id, e.user_id, e.ts, e.value, p.ts AS next_ts
+      FROM e ASOF LEFT JOIN p ON e.user_id = p.user_id AND e.ts < p.ts),
+b AS (SELECT f.*, p.ts AS prev_ts FROM f ASOF LEFT JOIN p ON f.user_id = p.user_id AND f.ts > p.ts),
+c AS (SELECT b.event_id, b.ts,
+        date_diff('microsecond', b.ts, b.next_ts) / 3600000000.0::DOUBLE AS t_autin_1,
+        date_diff('microsecond', b.ts, b.prev_ts) / 3600000000.0::DOUBLE AS t_autin_2,
+        b.value AS t_autin_3,
+        CASE WHEN cu.c_mktsegment = 'BUILDING' THEN cu.c_acctbal / 100.0::DOUBLE END AS t_toa,
+        {SQL_TIER.replace('c.c_mktsegment', 'cu.c_mktsegment')} AS priorizacion
+      FROM b LEFT JOIN customer cu ON b.user_id = cu.c_custkey),
+m AS (SELECT *, list_min(list_filter([t_autin_1, t_autin_2, t_autin_3, t_toa], lambda x: x < 96)) AS t_min,
+        {SQL_TARGET} AS objetivo_h FROM c),
+o AS (SELECT *, CASE WHEN objetivo_h IS NULL THEN 'Sin información Site ID'
+                     WHEN t_min IS NULL AND coalesce(t_autin_1, t_autin_2, t_autin_3, t_toa) IS NULL THEN 'Ticket no cancelado'
+                     WHEN t_min IS NULL THEN 'Cancelamiento Outlier'
+                     WHEN t_min * 60.0::DOUBLE < (objetivo_h + 0.25::DOUBLE) * 60.0::DOUBLE THEN 'Cancelado antes de rango contención'
+                     WHEN t_min * 60.0::DOUBLE > (objetivo_h + 0.75::DOUBLE) * 60.0::DOUBLE THEN 'Cancelado fuera de rango contención'
+                     ELSE 'Cancelado en rango contención' END AS error_contencion FROM m)
+SELECT event_id, t_autin_1, t_autin_2, t_autin_3, t_toa, t_min, error_contencion,
+  {_sql_bins('t_min', 'error_contencion')} AS rango_cancelacion
+FROM o""")
+def q_cancel_outcome(spark: SparkSession, d: str) -> DataFrame:
+    """Incidents since the cut-off; four cancellation gaps (next and previous
+    purchase, the event value as hours, the account balance for 'cancelled'
+    sites); bounded minimum, outcome and bin."""
+    inc = incidents_with_tier(spark, d).where(rules.since("ts", CUTOFF))
+    pur = roles.purchases(spark, d).select("user_id", F.col("event_id").alias("pid"), F.col("ts").alias("pts"))
+    nxt = joins.asof_join(inc, pur, "user_id", "ts", "pts", ["pts"], right_tiebreak=["pid"], strict=True,
+                          forward=True, prefix="next_")
+    both = joins.asof_join(nxt, pur, "user_id", "ts", "pts", ["pts"], right_tiebreak=["pid"], strict=True,
+                           prefix="prev_")
+    hours = ["t_autin_1", "t_autin_2", "t_autin_3", "t_toa"]
+    x = both.select(
+        "event_id", "priorizacion",
+        rules.hours_between("ts", "next_pts").alias("t_autin_1"),
+        rules.hours_between("ts", "prev_pts").alias("t_autin_2"),
+        F.col("value").alias("t_autin_3"),
+        F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_acctbal") / F.lit(100.0)).alias("t_toa"))
+    x = x.withColumns({"t_min": rules.bounded_min(hours), "_target": rules.target_hours("priorizacion")})
+    x = x.withColumn("error_contencion", rules.cancel_outcome("_target", "t_min", hours))
+    return x.select("event_id", *hours, "t_min", "error_contencion",
+                    rules.cancel_bin("t_min", "error_contencion").alias("rango_cancelacion"))
+
+
+# L5 ------------------------------------------------------------------------------------
+
+@register("swap_relation", f"""
+WITH e AS ({SQL_ERR}), s AS ({SQL_SITES})
+SELECT e.event_id, e.user_id, e.ts, s.Codigo_Unico AS ID_Sitio, s.Fecha_Fin_Swap,
+  CASE WHEN s.Codigo_Unico IS NULL THEN 'Sin info de Sitio'
+       WHEN s.Fecha_Fin_Swap IS NOT NULL AND e.ts > s.Fecha_Fin_Swap THEN 'Incidente post SWAP'
+       ELSE 'Incidente no relacionado a SWAP' END AS Clasificacion_SWAP
+FROM e LEFT JOIN s ON e.user_id = s.Codigo_Unico""")
+def q_swap_relation(spark: SparkSession, d: str) -> DataFrame:
+    inc = roles.incidents(spark, d).select("event_id", "user_id", "ts")
+    s = sites_table(spark, d).select(F.col("Codigo_Unico").alias("ID_Sitio"), "Fecha_Fin_Swap")
+    x = inc.join(s, inc.user_id == s.ID_Sitio, "left")
+    return x.select("event_id", "user_id", "ts", "ID_Sitio", "Fecha_Fin_Swap",
+                    rules.swap_relation("ID_Sitio", "ts", "Fecha_Fin_Swap").alias("Clasificacion_SWAP"))
