@@ -1111,3 +1111,44 @@ def q_swap_relation(spark: SparkSession, d: str) -> DataFrame:
     x = inc.join(s, inc.user_id == s.ID_Sitio, "left")
     return x.select("event_id", "user_id", "ts", "ID_Sitio", "Fecha_Fin_Swap",
                     rules.swap_relation("ID_Sitio", "ts", "Fecha_Fin_Swap").alias("Clasificacion_SWAP"))
+
+
+# Consolidated report ------------------------------------------------------
+
+def consolidated(spark: SparkSession, d: str) -> DataFrame:
+    from fieldops.plans import reports
+    return reports.consolidate(roles.work_orders(spark, d), roles.tasks(spark, d), roles.pauses(spark, d),
+                               roles.sites(spark, d), roles.confirmed_tests(spark, d), roles.external_activity(spark, d))
+
+
+register("consolidated_report")(consolidated)
+
+
+PUBLISH_AS_OF = "1998-08-03 00:00:00"
+
+
+@register("published_report")
+def q_published_report(spark: SparkSession, d: str) -> DataFrame:
+    from fieldops.plans import reports
+    pub = reports.published_report(consolidated(spark, d), F.lit(PUBLISH_AS_OF).cast("timestamp_ntz"))
+    return pub.select("ID_TOA", "Estado_TOA", "Creacion_TOA", "Semaforo_horas", "Semaforo", "alerta_rechazos",
+                      "alerta_swap", "alerta_tss", "alerta_pausa")
+
+
+@register("vendor_extracts")
+def q_vendor_extracts(spark: SparkSession, d: str) -> DataFrame:
+    from fieldops.plans import reports
+    return reports.vendor_extracts(consolidated(spark, d))
+
+
+# Incident report -------------------------------------------------------------------------
+
+INCIDENT_CUTOFF = "2024-01-03 00:00:00"
+
+
+@register("incident_report")
+def q_incident_report(spark: SparkSession, d: str) -> DataFrame:
+    from fieldops.plans import reports
+    return reports.incident_report(roles.incident_feed(spark, d), roles.work_orders(spark, d), roles.tasks(spark, d),
+                                   roles.sites(spark, d), roles.alarm_catalogue(spark, d), consolidated(spark, d),
+                                   INCIDENT_CUTOFF)

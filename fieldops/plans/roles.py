@@ -50,3 +50,183 @@ def lineitem_order():
     these are identical in every column that is published)."""
     return ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
             "l_linestatus"]
+
+
+# --------------------------------------------------------------------------- feeds for the reports
+
+TOA_OFFSET = 10_000_000  # order keys become 8-digit work-order numbers
+
+# Field-report phrases used as task observations (our fixture text).
+FIELD_PHRASES = [
+    "Se instaló el grupo electrógeno y quedó operativo",
+    "No tiene grupo electrógeno, se revisó el rectificador",
+    "Técnico cambió las baterías del banco",
+    "Se ajustó el ITM principal",
+    "Se levanta el breaker de la fase R",
+    "Se arregló breakers del tablero",
+    "Sin GE en sitio, se encendió grupo portátil",
+    "Se coloca g.e. y se recargó batería",
+]
+
+
+def site_code(c):
+    """Site code 'S' + letter + 5 digits from an integer key (the shape the
+    notes pattern recognises; unique for keys below 2.6 million)."""
+    letter = F.substring(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), (F.floor(c / 100000) % 26 + 1).cast("int"), 1)
+    return F.concat(F.lit("S"), letter, F.lpad((c % 100000).cast("string"), 5, "0"))
+
+
+def toa_number(c):
+    return (c + F.lit(TOA_OFFSET)).cast("string")
+
+
+def bucket(priority):
+    return (F.when(priority == "1-URGENT", F.lit("Bucket COMFICA Lima"))
+            .when(priority == "2-HIGH", F.lit("bucket huawei norte"))
+            .when(priority == "3-MEDIUM", F.lit("FLM comfica sur"))
+            .otherwise(F.lit("TDP central")))
+
+
+def work_orders(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "orders")
+    created = F.timestamp_add("MINUTE", F.col("o_orderkey") % 1440, F.col("o_orderdate"))
+    return o.select(
+        toa_number(F.col("o_orderkey")).alias("Nro_TOA"),
+        created.alias("Fecha_de_Registro_de_actividad_TOA"),
+        F.when(F.col("o_orderstatus") == "P", F.timestamp_add("HOUR", F.col("o_orderkey") % 50 + 30, created))
+        .alias("Fecha_Hora_de_Cancelación"),
+        F.col("o_orderpriority").alias("Subtipo_de_Actividad"),
+        F.concat(F.lit("PET"), F.col("o_orderkey").cast("string"), F.lit("-01")).alias("Número_de_Petición"),
+        F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("INC"), F.lpad(F.col("o_orderkey").cast("string"), 7, "0")))
+        .otherwise(F.concat(F.lit("TT"), F.col("o_orderkey").cast("string"))).alias("ID_del_Ticket"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Mantenimiento proactivo"))
+        .when(F.col("o_totalprice") < 2000, F.lit("Ticket de prueba")).alias("Notas"),
+        site_code(F.col("o_custkey")).alias("Código_de_Cliente"),
+        bucket(F.col("o_orderpriority")).alias("Bucket_Inicial"),
+        order_status(F.col("o_orderstatus")).alias("Estado_TOA"),
+    )
+
+
+def _task_id():
+    return F.concat(F.when(F.col("l_linenumber") % 3 == 0, F.lit("PLM")).otherwise(F.lit("CM")), F.lit("-"),
+                    F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+
+
+def _createtime():
+    return F.timestamp_add("MINUTE", F.col("l_partkey") % 1440, F.col("l_shipdate"))
+
+
+def tasks(spark: SparkSession, d: str) -> DataFrame:
+    """Task state table: one row per Task_Id (lines repeating an id are later
+    drops of the same task; the greatest line wins)."""
+    from fieldops.operators.state import latest_by_key
+    li = table(spark, d, "lineitem")
+    created = _createtime()
+    phrases = F.array(*[F.lit(p) for p in FIELD_PHRASES])
+    t = li.select(
+        _task_id().alias("Task_Id"),
+        F.when((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "N"), F.lit("Abastecimiento"))
+        .when((F.col("l_linenumber") % 3 == 0) & (F.col("l_discount") >= 0.05), F.lit("PROACTIVO"))
+        .otherwise(F.lit("Correctivo")).alias("Task_Category"),
+        created.alias("Createtime"),
+        F.when(F.col("l_discount") == 0.0, F.lit("Duplicado")).when(F.col("l_discount") == 0.01, F.lit("Acceso denegado"))
+        .alias("Cancel_Reason"),
+        task_status(F.col("l_returnflag")).alias("Task_Status"),
+        site_code(F.col("l_suppkey")).alias("Site_Id"),
+        F.concat(F.lit("EQ"), (F.col("l_partkey") % 20).cast("string")).alias("Com_Level_1_Aff_Equip"),
+        F.when(F.col("l_linenumber") % 2 == 0, F.concat(toa_number(F.col("l_orderkey")), F.lit(".0")))
+        .otherwise(toa_number(F.col("l_orderkey"))).alias("Number_OS_SIOM"),
+        (F.col("l_quantity").cast("int") % 3).alias("Reject_Counter"),
+        F.when(F.col("l_returnflag").isin("R", "A"), F.timestamp_add("HOUR", F.col("l_quantity").cast("int"), created))
+        .alias("Complete_Time"),
+        F.when(F.col("l_returnflag") == "N", F.timestamp_add("HOUR", F.col("l_partkey") % 100, created)).alias("Cancel_Time"),
+        F.when(F.col("l_tax") > 0.02, F.timestamp_add("MINUTE", F.lit(90), created)).alias("Arrive_Time"),
+        F.when(F.col("l_linestatus") == "F", F.lit("ENERGIA")).otherwise(F.lit("TRANSMISION")).alias("Com_Fault_Speciality"),
+        F.when(F.col("l_quantity") > 25, F.lit("Falla AC")).otherwise(F.lit("DC")).alias("Com_Fault_Sub_Speciality"),
+        F.element_at(phrases, (F.col("l_partkey") % 8 + 1).cast("int")).alias("Leave_Observations"),
+        F.element_at(phrases, (F.col("l_suppkey") % 8 + 1).cast("int")).alias("Detalle_de_actuación_realizada"),
+        F.col("l_partkey").alias("_p"), F.col("l_suppkey").alias("_s"), F.col("l_quantity").alias("_q"),
+        F.col("l_extendedprice").alias("_e"), F.col("l_discount").alias("_d"), F.col("l_tax").alias("_t"),
+        F.col("l_returnflag").alias("_r"), F.col("l_linestatus").alias("_l"), F.col("l_shipdate").alias("_sd"),
+    )
+    last = latest_by_key(t, "Task_Id", ["_sd", "_p", "_s", "_q", "_e", "_d", "_t", "_r", "_l"])
+    return last.drop("_p", "_s", "_q", "_e", "_d", "_t", "_r", "_l", "_sd")
+
+
+def pauses(spark: SparkSession, d: str) -> DataFrame:
+    """Pause rows per task (some tasks pause twice); de-duplicated on the
+    composite key Order_ID + '_' + Operation_Time, last wins."""
+    from fieldops.functions.clean import composite_key
+    from fieldops.operators.state import latest_by_key
+    li = table(spark, d, "lineitem").where(F.col("l_tax") >= 0.04)
+    created = _createtime()
+    first = li.select(_task_id().alias("Order_ID"), F.timestamp_add("DAY", F.lit(1), created).alias("Operation_Time"),
+                      F.when(F.col("l_tax") >= 0.06, F.lit("Pause")).otherwise(F.lit("Resume")).alias("Pause_Time"),
+                      F.lit("Espera de acceso").alias("Reason"))
+    second = li.where(F.col("l_tax") >= 0.07).select(
+        _task_id().alias("Order_ID"), F.timestamp_add("DAY", F.lit(2), created).alias("Operation_Time"),
+        F.lit("Pause - cliente").alias("Pause_Time"), F.lit("Cliente ausente").alias("Reason"))
+    p = first.unionByName(second).withColumn("Index", composite_key("Order_ID", "Operation_Time"))
+    return latest_by_key(p, "Index", ["Pause_Time", "Reason"]).drop("Index")
+
+
+def confirmed_tests(spark: SparkSession, d: str) -> DataFrame:
+    """Confirmed test tickets (A12): suspects are work orders whose notes
+    mention a test; the confirmation sheet and the error list come from the
+    labels table (doc_id read as an order key)."""
+    from fieldops.functions.rules import icontains
+    from fieldops.operators.state import review_queue
+    wo = work_orders(spark, d)
+    cond = F.lit(False)
+    for m in config.TEST_MARKERS:
+        cond = cond | icontains("Notas", m)
+    suspects = wo.where(cond).select("Nro_TOA", "Notas", F.lit(None).cast("string").alias("Confirmado"))
+    lab = table(spark, d, "labels")
+    sheet = lab.select(toa_number(F.col("doc_id")).alias("Nro_TOA"), F.lit(None).cast("string").alias("Notas"),
+                       F.when(F.col("quality") == 1, F.lit("SI")).otherwise(F.lit("NO")).alias("Confirmado"))
+    errors = lab.where(F.col("toxic") == 1).select(toa_number(F.col("doc_id")).alias("Nro_TOA"),
+                                                   F.lit(config.ERROR_LIST_NOTE).alias("Notas"),
+                                                   F.lit("SI").alias("Confirmado"))
+    _merged, confirmed, _pending = review_queue(suspects, sheet, errors, "Nro_TOA")
+    return confirmed.select("Nro_TOA")
+
+
+def external_activity(spark: SparkSession, d: str) -> DataFrame:
+    li = table(spark, d, "lineitem").where(F.col("l_returnflag") == "R")
+    return li.select(toa_number(F.col("l_orderkey")).alias("activityId"), F.col("l_shipdate").alias("timeOfBooking"))
+
+
+def sites(spark: SparkSession, d: str) -> DataFrame:
+    from fieldops.plans.catalog import sites_table
+    s = sites_table(spark, d).withColumn("Codigo_Unico", site_code(F.col("Codigo_Unico")))
+    return s.withColumns({"SLA": tier(F.col("c_mktsegment")), "priorizacion": tier(F.col("c_mktsegment")),
+                          "Proveedor_FLM": provider(F.col("c_mktsegment"))})
+
+
+def incident_feed(spark: SparkSession, d: str) -> DataFrame:
+    """Incidents (error events) with summary and notes written from keys: the
+    ticket id for a third of them is an order's incident key, another third
+    names an order number in the notes, and every notes text carries a site
+    code line."""
+    e = table(spark, d, "events").where(F.col("event_type") == "error")
+    k = F.col("event_id")
+    okey = k % 15000
+    sel = k % 3
+    resumen = F.concat(F.lit("INC | "), F.when(k % 4 == 0, F.lit("ac failure")).otherwise(F.lit("alarma de energia")),
+                       F.lit(" | nodo"))
+    notas = F.concat_ws("\n", F.concat(F.lit("Alarma: "), F.when(k % 2 == 0, F.lit("Falla de energia"))
+                                       .otherwise(F.lit("Puerta abierta"))),
+                        F.when(sel == 1, F.concat(F.lit("TOA: "), toa_number(okey))),
+                        F.concat(F.lit("Sitio "), site_code(F.col("user_id"))),
+                        F.when(k % 7 == 0, F.lit("Circuito: 123")))
+    return e.select(
+        F.when(sel == 0, F.concat(F.lit("INC"), F.lpad(okey.cast("string"), 7, "0")))
+        .otherwise(F.concat(F.lit("R"), k.cast("string"))).alias("ID_incidencia"),
+        F.col("ts").alias("Fecha_inicio_incidente"),
+        F.timestamp_add("MINUTE", F.lit(20), F.col("ts")).alias("Fecha_envio"),
+        resumen.alias("Resumen"), notas.alias("Notas"), F.col("user_id"))
+
+
+def alarm_catalogue(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "part")
+    return p.select(F.lower(F.col("p_name")).alias("Alarma"), F.col("p_type").alias("Tipo"))
