@@ -68,10 +68,15 @@ def anti(df: DataFrame, used: DataFrame, on: str, used_on: str | None = None) ->
 
 def flag_in(df: DataFrame, col: str, other: DataFrame, other_col: str, name: str,
             yes: str = "SI", no: str = "NO") -> DataFrame:
-    """Membership flag as an EXISTS subquery (planned as an existence
-    join: never fans out, and no distinct is materialised)."""
-    hit = other.where(F.col(other_col) == F.col(col).outer()).exists()
-    return df.withColumn(name, F.when(hit, F.lit(yes)).otherwise(F.lit(no)))
+    """Membership flag.  The other side is reduced to its distinct keys
+    (aggregated map-side, so it never fans the left side out) and left-joined;
+    AQE broadcasts it when its measured size is small.  A join rather than a
+    correlated EXISTS, so it stays correct when both sides come from the same
+    source DataFrame."""
+    keys = other.select(F.col(other_col).alias("_fk")).where(F.col("_fk").isNotNull()).distinct()
+    keys = keys.withColumn("_fhit", F.lit(True))
+    out = df.join(keys, F.col(col) == F.col("_fk"), "left")
+    return out.withColumn(name, F.when(F.col("_fhit"), F.lit(yes)).otherwise(F.lit(no))).drop("_fk", "_fhit")
 
 
 # --------------------------------------------------------------------------- J3 as-of

@@ -1121,13 +1121,15 @@ def consolidated(spark: SparkSession, d: str) -> DataFrame:
                                roles.sites(spark, d), roles.confirmed_tests(spark, d), roles.external_activity(spark, d))
 
 
-register("consolidated_report")(consolidated)
+from fieldops.plans.report_sql import consolidated_sql, published_sql  # noqa: E402
+
+register("consolidated_report", consolidated_sql())(consolidated)
 
 
 PUBLISH_AS_OF = "1998-08-03 00:00:00"
 
 
-@register("published_report")
+@register("published_report", published_sql(PUBLISH_AS_OF))
 def q_published_report(spark: SparkSession, d: str) -> DataFrame:
     from fieldops.plans import reports
     pub = reports.published_report(consolidated(spark, d), F.lit(PUBLISH_AS_OF).cast("timestamp_ntz"))
