@@ -150,7 +150,11 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str] | str, left_t
                   .groupBy(*byc, "_b")
                   .agg(F.max_by("_r", F.struct("_ts", "_tb")).alias("_r"))
                   .withColumn("_side", F.lit(1)))
-    need = inb.where(F.col("_m").isNull()).select(*byc, "_b").distinct().withColumn("_side", F.lit(0))
+    # (key, bucket) pairs of the left side; derived from the input, not from
+    # the window output, so that output is computed once and keeps its
+    # (key, bucket) partitioning for the final join
+    need = (l.select(*byc, F.floor(F.col("_ts") / F.lit(float(width))).cast("bigint").alias("_b"))
+            .distinct().withColumn("_side", F.lit(0)))
     need = need.withColumn("_r", F.lit(None).cast(rtype))
     w_prev = Window.partitionBy(*byc).orderBy(F.col("_b").asc_nulls_first(), "_side").rowsBetween(
         Window.unboundedPreceding, -1)
