@@ -1154,3 +1154,29 @@ def q_incident_report(spark: SparkSession, d: str) -> DataFrame:
     return reports.incident_report(roles.incident_feed(spark, d), roles.work_orders(spark, d), roles.tasks(spark, d),
                                    roles.sites(spark, d), roles.alarm_catalogue(spark, d), consolidated(spark, d),
                                    INCIDENT_CUTOFF)
+
+
+# Incremental ingest ------------------------------------------
+
+@register("incremental_ingest", """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) t WHERE rn = 1""")
+def q_incremental_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """The events table lands as two dated drops (first and second half of the
+    month) in a fresh folder on the shared checkpoint storage; an
+    ``availableNow`` stream consumes each drop once and upserts it into the
+    state table keyed by (user_id, event_type).  Result = the state table."""
+    from fieldops.session import scratch_path
+    from fieldops.streaming.ingest import ingest_stream
+    from fieldops.sources.io import read_table
+    ev = table(spark, d, "events")
+    base = scratch_path(spark, "ingest")
+    src, root, ckpt = f"{base}/landing", f"{base}/tables", f"{base}/checkpoint"
+    split = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    for i, part in enumerate([ev.where(F.col("ts") < split), ev.where(F.col("ts") >= split)], start=1):
+        part.write.mode("overwrite").parquet(f"{src}/{i}.{i}.drop")
+        q = ingest_stream(spark, f"{src}/*", ev.schema, ["user_id", "event_type"], ["ts", "event_id"],
+                          root, "events_state", ckpt)
+        q.awaitTermination()
+    return read_table(spark, root, "events_state").select(*ev.columns)
