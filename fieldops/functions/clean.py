@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from fieldops import config
 
 _NUMERIC_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-_EDGE_SPACE = r"(?U)^\s+|\s+$"
+# Characters Python's str.strip() removes (Unicode whitespace), derived by rule.
+_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 
 def _col(c: Column | str) -> Column:
@@ -18,8 +20,8 @@ def _col(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """Trim any whitespace (tabs and line breaks too) at both ends."""
-    return F.regexp_replace(_col(c), _EDGE_SPACE, "")
+    """Trim any whitespace (tabs, line breaks, no-break spaces) at both ends."""
+    return F.btrim(_col(c), F.lit(_WHITESPACE))
 
 
 def null_tokens(c: Column | str, tokens: Iterable[str] = config.NULL_TOKENS) -> Column:
@@ -28,12 +30,36 @@ def null_tokens(c: Column | str, tokens: Iterable[str] = config.NULL_TOKENS) ->
     return F.when(c.isin(list(tokens)), F.lit(None)).otherwise(c)
 
 
+def pattern_shape(pattern: str) -> str:
+    """Regex for the text shape a Spark datetime pattern can parse (digits
+    per field, literal separators).  Used as a cheap guard: a failed parse
+    costs an exception inside the JVM, a failed regex match does not."""
+    out, i = [], 0
+    while i < len(pattern):
+        ch = pattern[i]
+        j = i
+        while j < len(pattern) and pattern[j] == ch:
+            j += 1
+        run = j - i
+        if ch == "y":
+            out.append(r"\d{4}" if run >= 4 else r"\d{2}")
+        elif ch in "dMHhms":
+            out.append(r"\d{1,2}")
+        elif ch == "a":
+            out.append("[AaPp][Mm]")
+        else:
+            out.append(re.escape(ch) * run)
+        i = j
+    return "^" + "".join(out) + "$"
+
+
 def parse_ts(c: Column | str, formats: Iterable[tuple[str, str]] = config.DATETIME_FORMATS) -> Column:
     """Trim, then the first format that parses wins; otherwise NULL.
 
     Two-digit years follow the C library rule (69-99 -> 19xx, 00-68 -> 20xx);
     Spark reads ``yy`` as 20xx, so those branches move 70-99 back a century.
-    Result type is TIMESTAMP_NTZ (wall clock, no zone)."""
+    Each format is tried only when the text has its shape, so a row costs at
+    most one real parse attempt.  Result type is TIMESTAMP_NTZ."""
     raw = null_tokens(_col(c).cast("string"))
     s = strip(raw)
     tries = []
@@ -41,7 +67,7 @@ def parse_ts(c: Column | str, formats: Iterable[tuple[str, str]] = config.DATETI
         parsed = F.try_to_timestamp(s, F.lit(pattern)).cast("timestamp_ntz")
         if "yyyy" not in pattern and "yy" in pattern:
             parsed = F.when(F.year(parsed) >= 2069, F.timestamp_add("YEAR", F.lit(-100), parsed)).otherwise(parsed)
-        tries.append(parsed)
+        tries.append(F.when(s.rlike(pattern_shape(pattern)), parsed))
     return F.coalesce(*tries) if len(tries) > 1 else tries[0]
 
 
@@ -82,10 +108,8 @@ def cast_to(c: Column | str, kind: str) -> Column:
 def parse_date_text(c: Column) -> Column:
     """DATE contract: ISO date (optionally with a time part) -> DATE, else NULL."""
     s = strip(c.cast("string"))
-    return F.coalesce(
-        F.try_to_timestamp(s, F.lit("yyyy-M-d H:m:s")),
-        F.try_to_timestamp(s, F.lit("yyyy-M-d")),
-    )
+    return F.coalesce(*[F.when(s.rlike(pattern_shape(p)), F.try_to_timestamp(s, F.lit(p)))
+                        for p in ("yyyy-M-d H:m:s", "yyyy-M-d")])
 
 
 def apply_contract(df: DataFrame, contract: Mapping[str, str]) -> DataFrame:

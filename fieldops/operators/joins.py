@@ -211,15 +211,11 @@ def interval_candidates(left: DataFrame, right: DataFrame, by: Sequence[str] | s
     pay = list(dict.fromkeys([right_id, *payload]))
     pairs = _range_pairs(left, right, by, left_id, left_ts, right_ts, -before_micros, after_micros, pay)
     w = Window.partitionBy("_lid").orderBy(F.col("_rts"), F.col(f"_p_{right_id}"))
+    from fieldops.operators.slots import pivot_slots
     top = pairs.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k)
-    wide = top.groupBy("_lid").pivot("_rk", list(range(1, k + 1))).agg(
-        *[F.first(f"_p_{c}").alias(c) for c in pay])
-    sel = [F.col("_lid")]
-    for i in range(1, k + 1):
-        for c in pay:
-            src = f"{i}_{c}" if len(pay) > 1 else str(i)
-            sel.append(F.col(f"`{src}`").alias(f"{prefix}_{c}_{i}"))
-    return left.join(wide.select(*sel), F.col(left_id) == F.col("_lid"), "left").drop("_lid")
+    top = top.select("_lid", "_rk", *[F.col(f"_p_{c}").alias(f"{prefix}_{c}") for c in pay])
+    wide = pivot_slots(top, "_lid", "_rk", [f"{prefix}_{c}" for c in pay], k=k)
+    return left.join(wide, F.col(left_id) == F.col("_lid"), "left").drop("_lid")
 
 
 def interval_collect(left: DataFrame, right: DataFrame, by: Sequence[str] | str, left_id: str, left_ts: str,

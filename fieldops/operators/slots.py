@@ -33,15 +33,23 @@ def top_k(df: DataFrame, group: Sequence[str] | str, order: Sequence[Column], k:
 
 
 def pivot_slots(df: DataFrame, key: str, rank: str, cols: Sequence[str], k: int = config.TASK_SLOTS) -> DataFrame:
-    """A5: long -> wide, ``col_1 .. col_k``; absent slots are NULL columns
-    (explicit pivot values, so every slot column always exists)."""
-    wide = df.groupBy(key).pivot(rank, list(range(1, k + 1))).agg(*[F.first(c).alias(c) for c in cols])
-    renames = {}
+    """A5: long -> wide, ``col_1 .. col_k``; absent slots are NULL columns.
+
+    Rows with rank 1..k are gathered per key into one small list (at most k
+    entries -- the input is a top-k) with ``collect_list``, which runs as a
+    hash-based object aggregate; ``first`` over string columns would force a
+    sort-based aggregate instead."""
+    slot = F.struct(F.col(rank).alias("_rank"), *[F.col(c) for c in cols])
+    lists = (df.where(F.col(rank).between(1, k))
+             .groupBy(key).agg(F.collect_list(slot).alias("_slots")))
+    def rank_is(i: int):
+        return lambda x: x["_rank"] == i  # one-argument lambda (a second one would be the index)
+
+    out = [F.col(key)]
     for i in range(1, k + 1):
-        for c in cols:
-            src = f"{i}_{c}" if len(cols) > 1 else str(i)
-            renames[src] = f"{c}_{i}"
-    return wide.select(key, *[F.col(f"`{s}`").alias(d) for s, d in renames.items()])
+        pick = F.try_element_at(F.filter("_slots", rank_is(i)), F.lit(1))
+        out += [pick[c].alias(f"{c}_{i}") for c in cols]
+    return lists.select(*out)
 
 
 def compact_slots(df: DataFrame, ids: Sequence[str], companions: Sequence[Sequence[str]] = ()) -> DataFrame:
@@ -74,11 +82,6 @@ def join_slots(df: DataFrame, key: str, slot_keys: Sequence[str], dim: DataFrame
     slots = df.select(key, F.posexplode(F.array(*[F.col(c) for c in slot_keys])).alias("_pos", "_sk"))
     slots = slots.where(F.col("_sk").isNotNull())
     d = dim.select(F.col(dim_key).alias("_sk"), *cols)
-    looked = slots.join(d, "_sk", "inner")
-    wide = looked.groupBy(key).pivot("_pos", list(range(n))).agg(*[F.first(c).alias(c) for c in cols])
-    sel = [key]
-    for i in range(n):
-        for c in cols:
-            src = f"{i}_{c}" if len(cols) > 1 else str(i)
-            sel.append(F.col(f"`{src}`").alias(f"{c}_{i + 1}"))
-    return df.join(wide.select(*sel), key, "left")
+    looked = slots.join(d, "_sk", "inner").withColumn("_slot", F.col("_pos") + 1)
+    wide = pivot_slots(looked, key, "_slot", list(cols), k=n)
+    return df.join(wide, key, "left")

@@ -1115,9 +1115,17 @@ def q_swap_relation(spark: SparkSession, d: str) -> DataFrame:
 
 # Consolidated report ------------------------------------------------------
 
+def state_tables(spark: SparkSession, d: str):
+    """Task and pause state tables (W1 output), stored once per run like the
+    original's database tables; the reports read them."""
+    from fieldops.sources.io import stage_table
+    return stage_table(roles.tasks(spark, d), "tasks"), stage_table(roles.pauses(spark, d), "pauses")
+
+
 def consolidated(spark: SparkSession, d: str) -> DataFrame:
     from fieldops.plans import reports
-    return reports.consolidate(roles.work_orders(spark, d), roles.tasks(spark, d), roles.pauses(spark, d),
+    tasks, pauses = state_tables(spark, d)
+    return reports.consolidate(roles.work_orders(spark, d), tasks, pauses,
                                roles.sites(spark, d), roles.confirmed_tests(spark, d), roles.external_activity(spark, d))
 
 
@@ -1151,9 +1159,10 @@ INCIDENT_CUTOFF = "2024-01-03 00:00:00"
 @register("incident_report")
 def q_incident_report(spark: SparkSession, d: str) -> DataFrame:
     from fieldops.plans import reports
-    return reports.incident_report(roles.incident_feed(spark, d), roles.work_orders(spark, d), roles.tasks(spark, d),
-                                   roles.sites(spark, d), roles.alarm_catalogue(spark, d), consolidated(spark, d),
-                                   INCIDENT_CUTOFF)
+    tasks, pauses = state_tables(spark, d)
+    return reports.incident_report(roles.incident_feed(spark, d), roles.work_orders(spark, d), tasks,
+                                   roles.sites(spark, d), roles.alarm_catalogue(spark, d),
+                                   reports.task_slots(tasks, pauses), INCIDENT_CUTOFF)
 
 
 # Incremental ingest ------------------------------------------

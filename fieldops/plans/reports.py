@@ -91,8 +91,12 @@ def consolidate(orders: DataFrame, tasks: DataFrame, pauses: DataFrame, sites: D
     wide = classify_tasks(tasks, pauses).withColumnRenamed("Number_OS_SIOM", "_os")
     x = x.join(wide, F.col("Nro_TOA") == F.col("_os"), "left").drop("_os")
     x = x.withColumn("Tiempo_TOA_Autin", rules.minutes_between(created, "Createtime_1"))
-    x = repeat.repeat_within(x, ["Codigo_Unico", "Com_Level_1_Aff_Equip_1"], created, "Nro_TOA",
-                             days=config.REPEAT_DAYS)
+    # repeat detection on the narrow key columns only, then joined back on the
+    # (unique) order number the wide frame is already partitioned by
+    keys = x.select("Nro_TOA", "Codigo_Unico", "Com_Level_1_Aff_Equip_1", created)
+    rep = repeat.repeat_within(keys, ["Codigo_Unico", "Com_Level_1_Aff_Equip_1"], created, "Nro_TOA",
+                               days=config.REPEAT_DAYS).select("Nro_TOA", "Reiteradas", "TOA_Reiterado")
+    x = x.join(rep, "Nro_TOA", "left")
     report = clean.project_as(x, {c: n for c, n in config.REPORT_COLUMNS.items() if c in x.columns})
     ext = external.select(F.col("activityId").cast("string").alias("_a"), F.col("timeOfBooking").alias("_tb"))
     report = joins.flag_in(report, "ID_TOA", ext, "_a", "EN_TDE")
@@ -131,6 +135,17 @@ def published_report(report: DataFrame, as_of: Column) -> DataFrame:
 
 # --------------------------------------------------------------------------- W5
 
+def task_slots(tasks: DataFrame, pauses: DataFrame) -> DataFrame:
+    """The task slots of every work order as the consolidated report names
+    them (ID_TOA, Autin_ID_i, Estado_i, Motivo_Cancel_i) -- straight from W3,
+    without building the rest of the report."""
+    w = classify_tasks(tasks, pauses)
+    return w.select(F.col("Number_OS_SIOM").alias("ID_TOA"),
+                    *[F.col(f"{src}_{i}").alias(f"{dst}_{i}")
+                      for src, dst in (("Task_Id", "Autin_ID"), ("Task_Status", "Estado"),
+                                       ("Cancel_Reason", "Motivo_Cancel")) for i in (1, 2, 3)])
+
+
 def incident_report(incidents: DataFrame, orders: DataFrame, tasks: DataFrame, sites: DataFrame,
                     alarms: DataFrame, report: DataFrame, cutoff: str) -> DataFrame:
     """One row per incident, matched to work orders by key, by the order
@@ -145,7 +160,8 @@ def incident_report(incidents: DataFrame, orders: DataFrame, tasks: DataFrame, s
     Arrive_Time, Com_Fault_Speciality, Com_Fault_Sub_Speciality, Leave_Observations,
     Detalle_de_actuación_realizada.
     sites: Codigo_Unico, Proveedor_FLM, priorizacion, Fecha_Fin_Swap.
-    alarms: Alarma, Tipo.  report: the consolidated report (slots)."""
+    alarms: Alarma, Tipo.  report: the consolidated report, or just its slot
+    columns (``task_slots``)."""
     created = "Fecha_de_Registro_de_actividad_TOA"
     inc = incidents.where(rules.since("Fecha_inicio_incidente", cutoff))
     inc = text.identify_alarms(inc, "Resumen", "Notas", text.alarm_catalogue(alarms))

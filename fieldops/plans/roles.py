@@ -118,12 +118,19 @@ def _createtime():
 
 def tasks(spark: SparkSession, d: str) -> DataFrame:
     """Task state table: one row per Task_Id (lines repeating an id are later
-    drops of the same task; the greatest line wins)."""
+    drops of the same task; the greatest line wins).  The raw line columns are
+    de-duplicated first, so only narrow fixed-width rows go through the
+    shuffle; the text columns are derived afterwards."""
     from fieldops.operators.state import latest_by_key
-    li = table(spark, d, "lineitem")
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                                            "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+                                            "l_shipdate")
+    li = latest_by_key(li, ["l_orderkey", "l_linenumber"],
+                       ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                        "l_returnflag", "l_linestatus"])
     created = _createtime()
     phrases = F.array(*[F.lit(p) for p in FIELD_PHRASES])
-    t = li.select(
+    return li.select(
         _task_id().alias("Task_Id"),
         F.when((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "N"), F.lit("Abastecimiento"))
         .when((F.col("l_linenumber") % 3 == 0) & (F.col("l_discount") >= 0.05), F.lit("PROACTIVO"))
@@ -145,12 +152,7 @@ def tasks(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("l_quantity") > 25, F.lit("Falla AC")).otherwise(F.lit("DC")).alias("Com_Fault_Sub_Speciality"),
         F.element_at(phrases, (F.col("l_partkey") % 8 + 1).cast("int")).alias("Leave_Observations"),
         F.element_at(phrases, (F.col("l_suppkey") % 8 + 1).cast("int")).alias("Detalle_de_actuación_realizada"),
-        F.col("l_partkey").alias("_p"), F.col("l_suppkey").alias("_s"), F.col("l_quantity").alias("_q"),
-        F.col("l_extendedprice").alias("_e"), F.col("l_discount").alias("_d"), F.col("l_tax").alias("_t"),
-        F.col("l_returnflag").alias("_r"), F.col("l_linestatus").alias("_l"), F.col("l_shipdate").alias("_sd"),
     )
-    last = latest_by_key(t, "Task_Id", ["_sd", "_p", "_s", "_q", "_e", "_d", "_t", "_r", "_l"])
-    return last.drop("_p", "_s", "_q", "_e", "_d", "_t", "_r", "_l", "_sd")
 
 
 def pauses(spark: SparkSession, d: str) -> DataFrame:

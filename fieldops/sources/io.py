@@ -128,6 +128,18 @@ def write_table(df: DataFrame, root: str, name: str, version: str) -> str:
     return target
 
 
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table in a fresh folder on the shared
+    checkpoint storage and read it back: cuts the lineage (a lost executor
+    replays from the table, not from the sources) and lets later readers prune
+    columns and push filters into the scan."""
+    from fieldops.session import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Read the current version of a table (pruning and pushdown apply)."""
     cur = spark.read.json(f"{root.rstrip('/')}/{name}/_current").first()["version"]
