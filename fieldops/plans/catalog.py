@@ -1129,7 +1129,7 @@ def consolidated(spark: SparkSession, d: str) -> DataFrame:
                                roles.sites(spark, d), roles.confirmed_tests(spark, d), roles.external_activity(spark, d))
 
 
-from fieldops.plans.report_sql import consolidated_sql, published_sql  # noqa: E402
+from fieldops.plans.report_sql import consolidated_sql, published_sql, vendor_extracts_sql  # noqa: E402
 
 register("consolidated_report", consolidated_sql())(consolidated)
 
@@ -1145,7 +1145,7 @@ def q_published_report(spark: SparkSession, d: str) -> DataFrame:
                       "alerta_swap", "alerta_tss", "alerta_pausa")
 
 
-@register("vendor_extracts")
+@register("vendor_extracts", vendor_extracts_sql())
 def q_vendor_extracts(spark: SparkSession, d: str) -> DataFrame:
     from fieldops.plans import reports
     return reports.vendor_extracts(consolidated(spark, d))

@@ -206,3 +206,27 @@ SELECT ID_TOA, Estado_TOA, Creacion_TOA, Semaforo_horas,
   coalesce(contains(Estado_PR_1, 'Pause'), false) OR coalesce(contains(Estado_PR_2, 'Pause'), false)
     OR coalesce(contains(Estado_PR_3, 'Pause'), false) AS alerta_pausa
 FROM pub"""
+
+
+_TS_COLS = {"Creacion_TOA", "Cierre_TOA", "Hora_PR_1", "Hora_PR_2", "Hora_PR_3", "Fecha_Fin_Swap", "Fecha_TSS",
+            "Hora_Creacion_Abastecimiento"}
+_NUM_COLS = {"Tiempo_TOA_Autin", "Rechazos", "Dias_Swap", "Dias_TSS", "Dias_Abastecimiento", "Duracion_Horas"}
+
+
+def vendor_extracts_sql() -> str:
+    cols = [c for c in list(config.REPORT_COLUMNS.values()) + ["EN_TDE", "en_rango", "Etiqueta"]
+            if c not in config.VENDOR_EXTRACT_DROP]
+    exprs = []
+    for c in cols:
+        q = f'"{c}"'
+        if c in _NUM_COLS:
+            e = f"CASE WHEN {q} IS NULL OR {q} = 0 THEN '' ELSE CAST({q} AS VARCHAR) END"
+        elif c in _TS_COLS:
+            e = f"CASE WHEN {q} IS NULL THEN '' ELSE CAST({q} AS VARCHAR) END"
+        else:
+            e = f"CASE WHEN {q} IS NULL OR {q} IN ('nan', 'None') THEN '' ELSE {q} END"
+        exprs.append(f"{e} AS {q}")
+    vendors = ", ".join(f"('{v}')" for v in config.VENDORS)
+    return ("WITH " + consolidated_ctes() + f""",
+ve AS (SELECT v.vendor, c.* FROM cons c JOIN (VALUES {vendors}) v(vendor) ON contains(lower(c.Bucket), v.vendor))
+SELECT vendor, """ + ",\n  ".join(exprs) + "\nFROM ve")
