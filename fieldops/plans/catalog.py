@@ -1153,7 +1153,7 @@ def q_vendor_extracts(spark: SparkSession, d: str) -> DataFrame:
 
 # Incident report -------------------------------------------------------------------------
 
-INCIDENT_CUTOFF = "2024-01-03 00:00:00"
+INCIDENT_CUTOFF = "1994-01-01 00:00:00"
 
 
 @register("incident_report")
@@ -1189,3 +1189,182 @@ def q_incremental_ingest(spark: SparkSession, d: str) -> DataFrame:
                           root, "events_state", ckpt)
         q.awaitTermination()
     return read_table(spark, root, "events_state").select(*ev.columns)
+
+
+def _incident_sql(cutoff: str) -> str:
+    from fieldops.plans.report_sql import OFF, consolidated_ctes, site_code
+    ws = "'^\\s+|\\s+$', '', 'g'"
+    ac = "(contains({x}, 'ac') AND (contains({x}, 'failure') OR contains({x}, 'fallo') OR contains({x}, 'falla')))"
+    obs = ["Arrive_Time", "Com_Fault_Speciality", "Com_Fault_Sub_Speciality", "Leave_Observations",
+           "Detalle_de_actuación_realizada"]
+    slot_dims = []
+    for i in (1, 2, 3):
+        slot_dims.append(f"d{i}.Cancel_Time AS Cancel_Time_{i}")
+        slot_dims += [f'd{i}."{c}" AS "{c}_{i}"' for c in obs]
+    dim_cols = ", ".join(f"""CASE WHEN contains(Task_Id, 'CM') THEN "{c}" END AS "{c}" """ for c in obs)
+    hours = [f"Tiempo_cancelacion_Autin_{i}" for i in (1, 2, 3)] + ["Tiempo_cancelacion_TOA"]
+    texto = ", ".join(f'coalesce("{c}_{i}", \'\')' for i in (1, 2, 3)
+                      for c in ("Leave_Observations", "Detalle_de_actuación_realizada"))
+    ac_any = " OR ".join(f"(coalesce(Com_Fault_Speciality_{i} = 'ENERGIA', false) AND "
+                         f"contains(upper(coalesce(Com_Fault_Sub_Speciality_{i}, '')), 'AC'))" for i in (1, 2, 3))
+    det = ", ".join(f"{_sql_detector(n, 'Texto_Comb')} AS Accion_{n}" for n in config.DETECTORS)
+    return "WITH " + consolidated_ctes() + f""",
+ev AS (SELECT e.event_id, e.user_id, o.o_custkey,
+         o.o_orderdate + to_minutes(CAST(o.o_orderkey % 1440 AS BIGINT)) AS ocreated
+       FROM events e LEFT JOIN orders o ON e.event_id = o.o_orderkey WHERE e.event_type = 'error'),
+inc0 AS (SELECT
+    CASE WHEN event_id % 3 = 0 THEN 'INC' || lpad(CAST(event_id AS VARCHAR), 7, '0')
+         ELSE 'R' || CAST(event_id AS VARCHAR) END AS ID_incidencia,
+    ocreated - to_minutes(CAST((event_id % 7) * 60 + 30 AS BIGINT)) AS Fecha_inicio_incidente,
+    'INC | ' || CASE WHEN event_id % 4 = 0 THEN 'ac failure' ELSE 'alarma de energia' END || ' | nodo' AS Resumen,
+    concat_ws(chr(10), 'Alarma: ' || CASE WHEN event_id % 2 = 0 THEN 'Falla de energia' ELSE 'Puerta abierta' END,
+              CASE WHEN event_id % 3 = 1 THEN 'TOA: ' || CAST(event_id + {OFF} AS VARCHAR) END,
+              'Sitio ' || {site_code('coalesce(o_custkey, user_id)')},
+              CASE WHEN event_id % 7 = 0 THEN 'Circuito: 123' END) AS Notas,
+    user_id
+  FROM ev),
+inc AS (SELECT *, Fecha_inicio_incidente + INTERVAL 20 MINUTE AS Fecha_envio FROM inc0
+        WHERE Fecha_inicio_incidente >= TIMESTAMP '{cutoff}'),
+icat AS (SELECT lower(trim(lower(p_name))) AS k, min(p_type) AS tipo FROM part GROUP BY 1),
+ia AS (SELECT inc.*, lower(nullif(regexp_extract(Resumen, '\\|([^|]+)', 1), '')) AS seg FROM inc),
+ib AS (SELECT ia.*, CASE WHEN seg IN (SELECT k FROM icat) OR {ac.format(x='seg')} THEN seg END AS acc FROM ia),
+ic AS (SELECT ib.* EXCLUDE (seg, acc),
+         coalesce(regexp_replace(lower(coalesce(acc, nullif(regexp_extract(Notas, 'Alarma: ([^\\n]*?)\\n', 1), ''))),
+                                 {ws}), '') AS al FROM ib),
+id AS (SELECT ic.* EXCLUDE (al), CASE WHEN al = '' THEN 'alarma no identificada' ELSE al END AS Alarma,
+         CASE WHEN al = '' THEN 'alarma no identificada' WHEN {ac.format(x='al')} THEN 'TOTAL'
+              WHEN icat.tipo IS NULL THEN 'tipo no identificado' ELSE icat.tipo END AS Tipo
+       FROM ic LEFT JOIN icat ON ic.al = icat.k),
+isites AS (SELECT {site_code('c.c_custkey')} AS code,
+             {_sql_case('c.c_mktsegment', config.SEGMENT_PROVIDER_ROLE)} AS Proveedor_FLM,
+             {_sql_case('c.c_mktsegment', config.SEGMENT_TIER_ROLE)} AS priorizacion, sw.Fecha_Fin_Swap
+           FROM customer c LEFT JOIN sw ON sw.user_id = c.c_custkey),
+icodes AS (SELECT ID_incidencia, list_filter(regexp_extract_all(Notas, '[A-Z]{{2}}[0-9]{{5}}'),
+                                             lambda c: NOT (c[1:2] IN ('NC', 'CD', 'CR'))) AS codes FROM id),
+iex AS (SELECT ID_incidencia, unnest(codes) AS code, generate_subscripts(codes, 1) AS pos FROM icodes),
+ifk AS (SELECT ID_incidencia, arg_min(code, pos) AS ID_Sitio FROM iex WHERE code IN (SELECT code FROM isites)
+        GROUP BY ID_incidencia),
+ie AS (SELECT id.*, ifk.ID_Sitio,
+         coalesce(regexp_matches(Notas, 'CD\\d{{6}}|CR\\d{{5}}|Circuito:|CIRCUITO:'), false) AS corp,
+         coalesce(nullif(regexp_extract(regexp_replace(regexp_extract(Notas, '(?i)(?:TOA:|SIOM:)([^\\n]*?)(?:\\n|$)', 1),
+                  {ws}), '(\\d{{8}})', 1), ''), 'sin TOA en notas') AS TOA_notas
+       FROM id LEFT JOIN ifk ON id.ID_incidencia = ifk.ID_incidencia),
+itoa AS (SELECT Nro_TOA, ID_del_Ticket,
+           regexp_replace(trim("Número_de_Petición"), '-\\d{{2}}$', '') AS "Número_de_Petición",
+           Fecha_de_Registro_de_actividad_TOA AS created, Codigo_Unico AS "Código_de_Cliente",
+           "Fecha_Hora_de_Cancelación", Estado_TOA FROM wo2),
+itoa2 AS (SELECT *, CASE WHEN regexp_matches(ID_del_Ticket, '^INC\\d{{7}}') THEN ID_del_Ticket
+                         ELSE "Número_de_Petición" END AS Clave_Remedy FROM itoa),
+b2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY Nro_TOA ORDER BY created, Nro_TOA) AS rn
+                      FROM itoa2 WHERE Nro_TOA IS NOT NULL) q WHERE rn = 1),
+j1 AS (SELECT ie.*, o.Nro_TOA AS a_nro, o.ID_del_Ticket AS a_tk, o."Número_de_Petición" AS a_pet, o.created AS a_cr,
+         o."Código_de_Cliente" AS a_cc, o."Fecha_Hora_de_Cancelación" AS a_fc, o.Estado_TOA AS a_st,
+         o.Clave_Remedy IS NOT NULL AS hit1
+       FROM ie LEFT JOIN itoa2 o ON ie.ID_incidencia = o.Clave_Remedy),
+j2 AS (SELECT j1.*, b2.Nro_TOA AS b_nro, b2.ID_del_Ticket AS b_tk, b2."Número_de_Petición" AS b_pet, b2.created AS b_cr,
+         b2."Código_de_Cliente" AS b_cc, b2."Fecha_Hora_de_Cancelación" AS b_fc, b2.Estado_TOA AS b_st
+       FROM j1 LEFT JOIN b2
+         ON (CASE WHEN NOT hit1 AND TOA_notas <> 'sin TOA en notas' THEN TOA_notas END) = b2.Nro_TOA),
+nx0 AS (SELECT ID_incidencia, Fecha_inicio_incidente, Fecha_envio, Resumen, Notas, user_id, Alarma, Tipo, TOA_notas, corp,
+         CASE WHEN hit1 THEN a_nro ELSE b_nro END AS Nro_TOA,
+         CASE WHEN hit1 THEN a_tk ELSE b_tk END AS ID_del_Ticket,
+         CASE WHEN hit1 THEN a_pet ELSE b_pet END AS "Número_de_Petición",
+         CASE WHEN hit1 THEN a_cr ELSE b_cr END AS Fecha_de_Registro_de_actividad_TOA,
+         CASE WHEN hit1 THEN a_cc ELSE b_cc END AS "Código_de_Cliente",
+         CASE WHEN hit1 THEN a_fc ELSE b_fc END AS "Fecha_Hora_de_Cancelación",
+         CASE WHEN hit1 THEN a_st ELSE b_st END AS Estado_TOA,
+         CASE WHEN hit1 THEN 'first' WHEN b_nro IS NOT NULL THEN 'second' END AS match_source,
+         ID_Sitio AS _site0
+       FROM j2),
+nx1 AS (SELECT nx0.* EXCLUDE (_site0), coalesce(_site0, "Código_de_Cliente") AS ID_Sitio FROM nx0),
+nx2 AS (SELECT nx1.*, ID_incidencia || '|' || coalesce(Nro_TOA, '') AS _rk, s.Proveedor_FLM, s.priorizacion, s.Fecha_Fin_Swap,
+         CASE WHEN NOT coalesce(s.Proveedor_FLM IN ('HUAWEI', 'COMFICA'), false) AND nx1.ID_Sitio IS NOT NULL
+                   AND (CASE WHEN corp THEN 'Caso Empresa' WHEN Nro_TOA IS NOT NULL THEN 'Si tiene TOA'
+                             ELSE 'TOA no identificado' END) <> 'Si tiene TOA'
+              THEN 'Sitio corresponde a Telefonica'
+              ELSE (CASE WHEN corp THEN 'Caso Empresa' WHEN Nro_TOA IS NOT NULL THEN 'Si tiene TOA'
+                         ELSE 'TOA no identificado' END) END AS Razones_Sin_TOA
+       FROM nx1 LEFT JOIN isites s ON nx1.ID_Sitio = s.code),
+free AS (SELECT * FROM itoa2 f WHERE NOT EXISTS (SELECT 1 FROM nx2 WHERE nx2.Nro_TOA = f.Nro_TOA)),
+cp AS (SELECT nx2._rk, f.Nro_TOA AS cn, f."Número_de_Petición" AS cpet,
+         row_number() OVER (PARTITION BY nx2._rk ORDER BY f.created, f.Nro_TOA) AS rk
+       FROM nx2 JOIN free f ON nx2.ID_Sitio = f."Código_de_Cliente"
+         AND f.created BETWEEN nx2.Fecha_envio - INTERVAL 6 HOUR AND nx2.Fecha_envio + INTERVAL 6 HOUR
+       WHERE nx2.Nro_TOA IS NULL),
+cw AS (SELECT _rk, max(CASE WHEN rk = 1 THEN cn END) AS cand_Nro_TOA_1,
+         max(CASE WHEN rk = 1 THEN cpet END) AS "cand_Número_de_Petición_1",
+         max(CASE WHEN rk = 2 THEN cn END) AS cand_Nro_TOA_2,
+         max(CASE WHEN rk = 2 THEN cpet END) AS "cand_Número_de_Petición_2" FROM cp GROUP BY _rk),
+sl1 AS (SELECT Number_OS_SIOM AS snro,
+          coalesce(Task_Id_1, '') AS i1, coalesce(Task_Id_2, '') AS i2, coalesce(Task_Id_3, '') AS i3,
+          coalesce(Task_Status_1, '') AS e1, coalesce(Task_Status_2, '') AS e2, coalesce(Task_Status_3, '') AS e3,
+          coalesce(Cancel_Reason_1, '') AS m1, coalesce(Cancel_Reason_2, '') AS m2c, coalesce(Cancel_Reason_3, '') AS m3c,
+          coalesce(Task_Id_3, '') = coalesce(Task_Id_2, '') AS k3, coalesce(Task_Id_2, '') = coalesce(Task_Id_1, '') AS k2
+        FROM w),
+sl AS (SELECT snro, i1 AS Autin_ID_1, CASE WHEN k2 THEN (CASE WHEN NOT k3 THEN i3 END) ELSE i2 END AS Autin_ID_2,
+         CASE WHEN k2 OR k3 THEN NULL ELSE i3 END AS Autin_ID_3,
+         e1 AS Estado_1, CASE WHEN k2 THEN (CASE WHEN NOT k3 THEN e3 END) ELSE e2 END AS Estado_2,
+         CASE WHEN k2 OR k3 THEN NULL ELSE e3 END AS Estado_3,
+         m1 AS Motivo_Cancel_1, CASE WHEN k2 THEN (CASE WHEN NOT k3 THEN m3c END) ELSE m2c END AS Motivo_Cancel_2,
+         CASE WHEN k2 OR k3 THEN NULL ELSE m3c END AS Motivo_Cancel_3
+       FROM sl1),
+dim AS (SELECT Task_Id, Cancel_Time, {dim_cols} FROM t),
+nx3 AS (SELECT nx2.*, cw.* EXCLUDE (_rk), sl.* EXCLUDE (snro), {", ".join(slot_dims)},
+         {SQL_TARGET} AS Tiempo_de_Contencion
+       FROM nx2 LEFT JOIN cw ON nx2._rk = cw._rk LEFT JOIN sl ON nx2.Nro_TOA = sl.snro
+       LEFT JOIN dim d1 ON sl.Autin_ID_1 = d1.Task_Id LEFT JOIN dim d2 ON sl.Autin_ID_2 = d2.Task_Id
+       LEFT JOIN dim d3 ON sl.Autin_ID_3 = d3.Task_Id),
+nx4 AS (SELECT *,
+    date_diff('microsecond', Fecha_inicio_incidente, Fecha_de_Registro_de_actividad_TOA) AS _us,
+    date_diff('microsecond', Fecha_inicio_incidente, Cancel_Time_1) / 3600000000.0::DOUBLE AS {hours[0]},
+    date_diff('microsecond', Fecha_inicio_incidente, Cancel_Time_2) / 3600000000.0::DOUBLE AS {hours[1]},
+    date_diff('microsecond', Fecha_inicio_incidente, Cancel_Time_3) / 3600000000.0::DOUBLE AS {hours[2]},
+    CASE WHEN Estado_TOA = 'Cancelado' THEN date_diff('microsecond', Fecha_inicio_incidente, "Fecha_Hora_de_Cancelación")
+      / 3600000000.0::DOUBLE END AS {hours[3]}
+  FROM nx3),
+nx5 AS (SELECT *, list_min(list_filter([{", ".join(hours)}], lambda v: v < 96)) AS Tiempo_cancelacion_minimo FROM nx4),
+nx6 AS (SELECT *,
+    CASE WHEN Tiempo_de_Contencion IS NULL THEN 'Sin información Site ID'
+         WHEN Fecha_inicio_incidente IS NULL OR Fecha_de_Registro_de_actividad_TOA IS NULL THEN 'Sin información TOA'
+         WHEN _us / 60000000.0::DOUBLE < (Tiempo_de_Contencion + 0.25::DOUBLE) * 60.0::DOUBLE THEN '< del tiempo esperado'
+         WHEN _us / 60000000.0::DOUBLE > (Tiempo_de_Contencion + 0.75::DOUBLE) * 60.0::DOUBLE THEN '> del tiempo esperado'
+         ELSE 'rango correcto' END AS Cumplimiento_de_Contencion,
+    _us / 3600000000.0::DOUBLE AS Tiempo_de_envio,
+    CASE WHEN Tiempo_de_Contencion IS NULL THEN 'Sin información Site ID'
+         WHEN Tiempo_cancelacion_minimo IS NULL AND coalesce({", ".join(hours)}) IS NULL THEN 'Ticket no cancelado'
+         WHEN Tiempo_cancelacion_minimo IS NULL THEN 'Cancelamiento Outlier'
+         WHEN Tiempo_cancelacion_minimo * 60.0::DOUBLE < (Tiempo_de_Contencion + 0.25::DOUBLE) * 60.0::DOUBLE
+           THEN 'Cancelado antes de rango contención'
+         WHEN Tiempo_cancelacion_minimo * 60.0::DOUBLE > (Tiempo_de_Contencion + 0.75::DOUBLE) * 60.0::DOUBLE
+           THEN 'Cancelado fuera de rango contención'
+         ELSE 'Cancelado en rango contención' END AS Error_Contencion,
+    CASE WHEN ID_Sitio IS NULL THEN 'Sin info de Sitio'
+         WHEN Fecha_Fin_Swap IS NOT NULL AND Fecha_inicio_incidente > Fecha_Fin_Swap THEN 'Incidente post SWAP'
+         ELSE 'Incidente no relacionado a SWAP' END AS Clasificacion_SWAP,
+    CASE WHEN coalesce(Arrive_Time_1, Arrive_Time_2, Arrive_Time_3) IS NOT NULL THEN 'Si' ELSE 'No' END AS Tecnico_llego,
+    CASE WHEN {ac_any} THEN 'Si' ELSE 'No' END AS Fallo_AC,
+    concat_ws('. ', {texto}) AS Texto_Comb
+  FROM nx5),
+isup AS (SELECT Site_Id, Task_Id AS sid, Createtime AS sts FROM t
+         WHERE contains(lower(Task_Category), 'abastecimiento') AND NOT coalesce(Task_Status = 'canceled', false)),
+sc AS (SELECT nx6._rk, count(s.sid) AS n, string_agg(s.sid, ', ' ORDER BY s.sts, s.sid) AS lst
+       FROM nx6 LEFT JOIN isup s ON nx6.ID_Sitio = s.Site_Id AND s.sts >= nx6.Fecha_de_Registro_de_actividad_TOA
+         AND s.sts <= nx6.Fecha_de_Registro_de_actividad_TOA + INTERVAL 48 HOUR
+       GROUP BY nx6._rk),
+nx7 AS (SELECT nx6.*, {_sql_bins('Tiempo_cancelacion_minimo', 'Error_Contencion')} AS rango_de_cancelacion,
+    CASE WHEN ID_Sitio IS NOT NULL AND Fecha_de_Registro_de_actividad_TOA IS NOT NULL THEN sc.n END
+      AS Cantidad_Tickets_Abastecimiento,
+    CASE WHEN ID_Sitio IS NOT NULL AND Fecha_de_Registro_de_actividad_TOA IS NOT NULL THEN coalesce(sc.lst, '') END
+      AS Lista_Abastecimiento,
+    {det}
+  FROM nx6 LEFT JOIN sc ON nx6._rk = sc._rk),
+nx8 AS (SELECT *, CASE WHEN coalesce(Cantidad_Tickets_Abastecimiento > 0, false) THEN 'Si' ELSE 'No' END
+                   AS Hubo_Abastecimiento FROM nx7)
+SELECT * EXCLUDE (_rk, _us, corp),
+  CASE WHEN Hubo_Abastecimiento = 'Si' OR Tecnico_llego = 'Si' OR Fallo_AC = 'Si' OR Accion_ge = 'SI'
+         OR Accion_baterias = 'SI' OR Accion_itm = 'SI' OR Accion_breakers = 'SI' THEN 'Si' ELSE 'No' END
+    AS Detectamos_atencion
+FROM nx8"""
+
+
+ORACLE["incident_report"] = _incident_sql(INCIDENT_CUTOFF).strip()

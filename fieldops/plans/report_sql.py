@@ -8,6 +8,11 @@ from fieldops import config
 OFF = 10_000_000
 
 
+def _phrases() -> str:
+    from fieldops.plans.roles import FIELD_PHRASES
+    return "[" + ", ".join("'" + p.replace("'", "''") + "'" for p in FIELD_PHRASES) + "]"
+
+
 def site_code(k: str) -> str:
     return (f"('S' || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ', CAST(floor({k} / 100000) % 26 + 1 AS INTEGER), 1)"
             f" || lpad(CAST({k} % 100000 AS VARCHAR), 5, '0'))")
@@ -50,6 +55,7 @@ def _report_select() -> str:
 
 
 def consolidated_ctes() -> str:
+    PHRASES = _phrases()
     excl = ", ".join(f"'{x}'" for x in config.EXCLUDED_CANCEL_REASONS)
     week = config.REPEAT_DAYS * 86_400_000_000
     return f"""
@@ -108,6 +114,12 @@ t0 AS (SELECT Task_Id,
          ELSE CAST(l_orderkey + {OFF} AS VARCHAR) END AS Number_OS_SIOM,
     CAST(trunc(l_quantity) AS INTEGER) % 3 AS Reject_Counter,
     CASE WHEN l_returnflag IN ('R', 'A') THEN ct + to_hours(CAST(trunc(l_quantity) AS BIGINT)) END AS Complete_Time,
+    CASE WHEN l_returnflag = 'N' THEN ct + to_hours(CAST(l_partkey % 100 AS BIGINT)) END AS Cancel_Time,
+    CASE WHEN l_tax > 0.02 THEN ct + INTERVAL 90 MINUTE END AS Arrive_Time,
+    CASE WHEN l_linestatus = 'F' THEN 'ENERGIA' ELSE 'TRANSMISION' END AS Com_Fault_Speciality,
+    CASE WHEN l_quantity > 25 THEN 'Falla AC' ELSE 'DC' END AS Com_Fault_Sub_Speciality,
+    {PHRASES}[l_partkey % 8 + 1] AS Leave_Observations,
+    {PHRASES}[l_suppkey % 8 + 1] AS "Detalle_de_actuación_realizada",
     row_number() OVER (PARTITION BY Task_Id ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC,
                        l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) AS rn
   FROM li),

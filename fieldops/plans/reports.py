@@ -243,7 +243,10 @@ def incident_report(incidents: DataFrame, orders: DataFrame, tasks: DataFrame, s
     x = joins.interval_collect(x, supply, "ID_Sitio", "_rk", created, "_sts", 0,
                                config.SUPPLY_WINDOW_HOURS * HOUR, "_sid",
                                count_col="Cantidad_Tickets_Abastecimiento", list_col="Lista_Abastecimiento")
-    x = x.withColumn("Hubo_Abastecimiento", rules.yes_no(F.col("Cantidad_Tickets_Abastecimiento") > 0, "Si", "No"))
+    x = x.withColumns({
+        "Hubo_Abastecimiento": rules.yes_no(F.col("Cantidad_Tickets_Abastecimiento") > 0, "Si", "No"),
+        "Lista_Abastecimiento": F.array_join("Lista_Abastecimiento", ", "),
+    })
 
     # observations and text flags
     x = x.withColumns({

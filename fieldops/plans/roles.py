@@ -206,26 +206,31 @@ def sites(spark: SparkSession, d: str) -> DataFrame:
 
 
 def incident_feed(spark: SparkSession, d: str) -> DataFrame:
-    """Incidents (error events) with summary and notes written from keys: the
-    ticket id for a third of them is an order's incident key, another third
-    names an order number in the notes, and every notes text carries a site
-    code line."""
-    e = table(spark, d, "events").where(F.col("event_type") == "error")
+    """Incidents (error events) written around the order whose key equals the
+    event id: the incident starts 0.5-6.5 h before that order was registered,
+    at the order's site.  A third carry the order's incident key as ticket id,
+    a third name the order number in the notes, the rest must be found by
+    time near the incident at the site."""
+    e = table(spark, d, "events").where(F.col("event_type") == "error").select("event_id", "user_id", "ts")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    x = e.join(o, e.event_id == o.o_orderkey, "left")
     k = F.col("event_id")
-    okey = k % 15000
     sel = k % 3
+    created = F.timestamp_add("MINUTE", F.col("o_orderkey") % 1440, F.col("o_orderdate"))
+    start = F.timestamp_add("MINUTE", -((k % 7) * 60 + 30), created)
+    site = site_code(F.coalesce(F.col("o_custkey"), F.col("user_id")))
     resumen = F.concat(F.lit("INC | "), F.when(k % 4 == 0, F.lit("ac failure")).otherwise(F.lit("alarma de energia")),
                        F.lit(" | nodo"))
     notas = F.concat_ws("\n", F.concat(F.lit("Alarma: "), F.when(k % 2 == 0, F.lit("Falla de energia"))
                                        .otherwise(F.lit("Puerta abierta"))),
-                        F.when(sel == 1, F.concat(F.lit("TOA: "), toa_number(okey))),
-                        F.concat(F.lit("Sitio "), site_code(F.col("user_id"))),
+                        F.when(sel == 1, F.concat(F.lit("TOA: "), toa_number(k))),
+                        F.concat(F.lit("Sitio "), site),
                         F.when(k % 7 == 0, F.lit("Circuito: 123")))
-    return e.select(
-        F.when(sel == 0, F.concat(F.lit("INC"), F.lpad(okey.cast("string"), 7, "0")))
+    return x.select(
+        F.when(sel == 0, F.concat(F.lit("INC"), F.lpad(k.cast("string"), 7, "0")))
         .otherwise(F.concat(F.lit("R"), k.cast("string"))).alias("ID_incidencia"),
-        F.col("ts").alias("Fecha_inicio_incidente"),
-        F.timestamp_add("MINUTE", F.lit(20), F.col("ts")).alias("Fecha_envio"),
+        start.alias("Fecha_inicio_incidente"),
+        F.timestamp_add("MINUTE", F.lit(20), start).alias("Fecha_envio"),
         resumen.alias("Resumen"), notas.alias("Notas"), F.col("user_id"))
 
 
