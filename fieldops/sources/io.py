@@ -158,10 +158,11 @@ def write_vendor_extracts(df: DataFrame, out: str, vendor_col: str = "vendor") -
 
 
 def export_catalog(spark: SparkSession, sf_dir: str, out: str, tables: Sequence[str] = TABLES) -> list[str]:
-    """Export every table (one Parquet folder each)."""
+    """Export every table, one Parquet folder each, in the same layout
+    as the source (``<name>.parquet``) so the copy reads like the original."""
     done = []
     for t in tables:
-        table(spark, sf_dir, t).write.mode("overwrite").parquet(f"{out.rstrip('/')}/{t}")
+        table(spark, sf_dir, t).write.mode("overwrite").parquet(f"{out.rstrip('/')}/{t}.parquet")
         done.append(t)
     return done
 
