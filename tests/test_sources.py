@@ -77,3 +77,24 @@ def test_site_feeds(spark):
     assert out.columns == ["Codigo_Unico", "Departamento", "Fecha_Fin_Swap", "Alarmas", "Fecha_TSS", "Alarmas_tss"]
     assert [tuple(r) for r in out.collect()] == [("S1", "Lima", "2024-01-01", 3, None, None),
                                                  ("S2", "Puno", None, None, "2024-02-01", 9)]
+
+
+def test_batch_ingest_upserts_by_arrival(spark):
+    from fieldops.operators.state import order_out
+    from fieldops.plans.ingest import ingest
+    d = tempfile.mkdtemp(prefix="fieldops-ingest-")
+    land, root = f"{d}/landing", f"{d}/tables"
+    os.makedirs(land)
+    _write(f"{land}/10.8.toa.csv", "Nro TOA,Estado,Monto,Mes\n1,Pendiente,2.5,8\n2,Pendiente,1,8\n")
+    _write(f"{land}/base.csv", "Nro TOA,Estado,Monto,Mes\n1,Viejo,9,1\n")
+    _write(f"{land}/bad.csv", "Otra,Estado\n1,x\n")
+    contract = {"Nro_TOA": "INTEGER", "Estado": "TEXT", "Monto": "REAL"}
+    files = [f"{land}/{f}" for f in sorted(os.listdir(land))]
+    t1, rep = ingest(spark, files, "Nro_TOA", contract, root, "toa", "0001", required=["Nro TOA"])
+    assert [tuple(r) for r in rep.collect()] == [("bad.csv", "Nro TOA")]
+    assert [tuple(r) for r in order_out(t1.select("Nro_TOA", "Estado", "Monto"), ["Nro_TOA"]).collect()] == [
+        (1, "Pendiente", 2.5), (2, "Pendiente", 1.0)]
+    _write(f"{land}/2.1.toa.csv", "Estado,Nro TOA,Monto\nCompletado,2,3\n")  # other column order
+    t2, _ = ingest(spark, [f"{land}/2.1.toa.csv"], "Nro_TOA", contract, root, "toa", "0002", required=["Nro TOA"])
+    assert [tuple(r) for r in order_out(t2.select("Nro_TOA", "Estado"), ["Nro_TOA"], [True]).collect()] == [
+        (2, "Completado"), (1, "Pendiente")]
