@@ -37,13 +37,15 @@ def main() -> None:
     times: dict[str, float] = {}
     errors: dict[str, str] = {}
     for name in names:
+        samples: list[float] = []
         try:
             run_once(spark, QUERIES[name], sf_dir)
             samples = [run_once(spark, QUERIES[name], sf_dir) for _ in range(runs)]
             times[name] = round(statistics.median(samples), 3)
         except Exception as e:  # noqa: BLE001 - report and continue with the other queries
             errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
-        print(f"# {name}: {times.get(name, errors.get(name))}", file=sys.stderr, flush=True)
+        print(f"# {name}: {times.get(name, errors.get(name))} samples={samples if name in times else ''}",
+              file=sys.stderr, flush=True)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     out = {"metric": "total_warm_median_sec", "value": round(sum(times.values()), 3), "unit": "sec",
            "queries": times, "sf": sf, "cpus": cpus, "runs": runs}

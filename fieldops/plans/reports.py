@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from fieldops import config
 from fieldops.functions import clean, rules, text
 from fieldops.operators import joins, repeat, slots, state
+from fieldops.sources.io import stage_table
 
 HOUR = 3_600_000_000
 
@@ -88,7 +89,9 @@ def consolidate(orders: DataFrame, tasks: DataFrame, pauses: DataFrame, sites: D
         "SWAP_dias": rules.days_since("Fecha_Fin_Swap", created),
         "TSS_dias": rules.days_since("Fecha_TSS", created),
     })
-    wide = classify_tasks(tasks, pauses).withColumnRenamed("Number_OS_SIOM", "_os")
+    # the task slots feed both the report and repeat detection (whose as-of
+    # reads its input twice): store them once in the shared folder
+    wide = stage_table(classify_tasks(tasks, pauses), "task_slots").withColumnRenamed("Number_OS_SIOM", "_os")
     x = x.join(wide, F.col("Nro_TOA") == F.col("_os"), "left").drop("_os")
     x = x.withColumn("Tiempo_TOA_Autin", rules.minutes_between(created, "Createtime_1"))
     # repeat detection on the narrow key columns only, then joined back on the
@@ -190,6 +193,9 @@ def incident_report(incidents: DataFrame, orders: DataFrame, tasks: DataFrame, s
                       "Fecha_Fin_Swap")
     x = x.join(st, "ID_Sitio", "left")
     x = x.withColumn("Razones_Sin_TOA", rules.no_order_reason("_corp", "Nro_TOA", "Proveedor_FLM", "ID_Sitio"))
+    # matched incidents are read by the candidate search, the slot lookups and
+    # the supply interval join: store them once (cuts the lineage too)
+    x = stage_table(x, "incidents_matched")
 
     # candidate work orders near the incident for incidents without one
     used = x.select("Nro_TOA")
