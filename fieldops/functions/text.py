@@ -47,13 +47,14 @@ def identify_alarms(df: DataFrame, summary: str, notes: str, catalogue: DataFram
 
     The summary segment is accepted only when it is in the catalogue (compared
     untrimmed against trimmed entries) or matches the AC rule; otherwise the
-    notes fallback is used.  The catalogue is a small reference list and is
-    broadcast; it is de-duplicated by alarm so the lookup cannot fan out."""
-    cat = F.broadcast(catalogue.groupBy("_alarm_key").agg(F.min("Tipo").alias("Tipo")))
+    notes fallback is used.  The catalogue is de-duplicated by alarm so the
+    lookup cannot fan out; AQE broadcasts it when its measured size is small
+    (no hint: its size is data-dependent)."""
+    cat = catalogue.groupBy("_alarm_key").agg(F.min("Tipo").alias("Tipo"))
     seg = alarm_segment(summary)
     with_seg = df.withColumn("_seg", seg)
     known = cat.select(F.col("_alarm_key").alias("_seg_key"), F.lit(True).alias("_seg_known"))
-    x = with_seg.join(F.broadcast(known), F.col("_seg") == F.col("_seg_key"), "left")
+    x = with_seg.join(known, F.col("_seg") == F.col("_seg_key"), "left")
     accepted = F.when(F.coalesce(F.col("_seg_known"), F.lit(False)) | ac_failure(F.col("_seg")), F.col("_seg"))
     alarm = F.coalesce(strip(F.lower(F.coalesce(accepted, alarm_in_notes(notes)))), F.lit(""))
     x = x.withColumn("Alarma", alarm).drop("_seg", "_seg_key", "_seg_known")

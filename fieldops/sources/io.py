@@ -67,7 +67,7 @@ def with_arrival_order(df: DataFrame, file_col: str = FILE_NAME, **kw) -> DataFr
     files = df.select(file_col).distinct().withColumn("_key", arrival_key(F.col(file_col), **kw))
     from pyspark.sql import Window
     ranked = files.withColumn("_arrival", F.dense_rank().over(Window.orderBy("_key"))).drop("_key")
-    return df.join(F.broadcast(ranked), file_col, "left")
+    return df.join(ranked, file_col, "left")
 
 
 def alphabetical_order(df: DataFrame, file_col: str = FILE_NAME) -> DataFrame:
@@ -75,7 +75,7 @@ def alphabetical_order(df: DataFrame, file_col: str = FILE_NAME) -> DataFrame:
     from pyspark.sql import Window
     files = df.select(file_col).distinct()
     ranked = files.withColumn("_arrival", F.dense_rank().over(Window.orderBy(file_col)))
-    return df.join(F.broadcast(ranked), file_col, "left")
+    return df.join(ranked, file_col, "left")
 
 
 # --------------------------------------------------------------------------- S3
