@@ -148,6 +148,10 @@ DETECTORS = {
     "breakers": (None, RX_BREAKER_VERB, RX_BREAKER_NOUN),
 }
 
+# Literal that every match of a detector's noun pattern contains (derived from
+# the patterns above); checked with a plain substring test before any regex.
+DETECTOR_NOUN_LITERAL = {"baterias": "ter", "itm": "itm", "breakers": "br"}
+
 # Column rename map of the consolidated report (source name -> published name).
 REPORT_COLUMNS = {
     "Nro_TOA": "ID_TOA",

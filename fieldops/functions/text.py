@@ -86,11 +86,15 @@ def order_in_notes(notes: Column | str) -> Column:
     return F.coalesce(digits, F.lit(config.L_NO_ORDER_IN_NOTES))
 
 
-def detect(text: Column | str, negation: str | None, verb: str, noun: str) -> Column:
+def detect(text: Column | str, negation: str | None, verb: str, noun: str, noun_literal: str | None = None) -> Column:
     """T7-T10: 'SI' when the lowercased text is not negated, has an action verb
-    and names the equipment; 'NO' otherwise (and for NULL/empty text)."""
+    and names the equipment; 'NO' otherwise (and for NULL/empty text).
+    ``noun_literal`` (a substring every noun match contains) is tested first:
+    a byte search that spares the regex scans of long texts that cannot match."""
     t = F.lower(_col(text))
-    cond = t.rlike(verb) & t.rlike(noun)
+    cond = t.rlike(noun) & t.rlike(verb)
+    if noun_literal:
+        cond = t.contains(noun_literal) & cond
     if negation is not None:
         cond = cond & ~t.rlike(negation)
     return F.when(F.coalesce(_col(text), F.lit("")) == "", F.lit("NO")).when(cond, F.lit("SI")).otherwise(F.lit("NO"))
@@ -98,7 +102,7 @@ def detect(text: Column | str, negation: str | None, verb: str, noun: str) -> Co
 
 def detector(name: str, text: Column | str) -> Column:
     neg, verb, noun = config.DETECTORS[name]
-    return detect(text, neg, verb, noun)
+    return detect(text, neg, verb, noun, config.DETECTOR_NOUN_LITERAL.get(name))
 
 
 def combined_text(cols: Sequence[Column | str], sep: str = ". ") -> Column:
