@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fieldops.llm.common import staged
@@ -18,13 +18,14 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     The number of rounds follows the logarithm of the longest path.  Nothing
     but two sums per round reaches the driver.  Null ends and loops drop out;
     an empty table gives an empty result."""
-    now = staged(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-                 .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v"))).distinct(), "cc")
-
-    def mark(e: DataFrame):
-        return e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-
-    last = mark(now)
+    def kept(e: DataFrame) -> tuple[DataFrame, tuple]:
+        """The edges, staged, with their number and a sum over them taken on the way."""
+        seen = Observation()
+        out = staged(e.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")), "cc")
+        return out, (seen.get["n"], seen.get["h"])
+
+    now, last = kept(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+                     .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v"))).distinct())
     while last[0]:
         # Large star: every larger neighbour goes to the smallest of the neighbourhood and the node.
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -35,10 +36,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         low = wide.groupBy("u").agg(F.min("v").alias("lo"))
         small = (wide.join(low, "u").select(F.col("v").alias("u"), F.col("lo").alias("v"))
                  .unionByName(low.select("u", F.col("lo").alias("v"))).where("u <> v").distinct())
-        now = staged(small, "cc")
-        mine = mark(now)
+        now, mine = kept(small)
         if mine == last:
             break
         last = mine
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-        now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()).distinct()
+        now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -15,12 +15,16 @@ Plan:
    counted first (2 * HALF rows a class), and only the pairs of shared bands of
    a class become table keys.
 3. Groups with a common key are linked by stars: each member is verified against
-   one pivot, never against all others.  What is linked becomes a component;
-   groups that still hold several components get another star with another
-   pivot, until few pairs between components are left, all of which are then
-   verified.  No link between components of a group goes unseen.
-4. Verification counts shared shingles on the full sets, whose texts are shingled
-   again for the classes concerned only.
+   one pivot, the member that shares most keys with others.  What is linked
+   becomes a component.
+4. Groups that still hold several components form clusters (connected by their
+   keys).  In a cluster, the members outside its largest component meet all
+   others in blocks: a task gets the sets of two blocks, skips pairs without a
+   common table key, counts shared shingles of the rest and returns one link per
+   member and component.  So no link between components is lost, and no list of
+   pairs is ever written.
+5. All verification is on the full sets, made anew from the whole texts of the
+   classes concerned.
 
 Cases: null ids are linked with nothing (component null, not kept); null and
 empty texts and texts without words have an empty set and are linked with
@@ -46,7 +50,7 @@ from fieldops.llm.graph import connected_components
 ROWS = 3
 HALF = 12
 SEED = 7
-MOST_ROUNDS = 12  # of stars, before the remaining pairs between components are all verified
+LEFT_BLOCK, RIGHT_BLOCK = 128, 512  # members of a cluster that meet in one task
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -128,6 +132,57 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(100 * F.col("both") >= percent * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b").distinct())
 
 
+def _meet(percent: int):
+    """Two blocks of a cluster: one link per left member and component of the right ones."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        found: list[tuple[int, int]] = []
+        if left.num_rows and right.num_rows:
+            column = lambda t, c: t.column(c).to_numpy()
+            bands = lambda t: t.column("bands").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, 2 * HALF)
+            lists = right.column("shingles").combine_chunks()
+            flat, at = lists.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+            cid, root, n, late, rb = column(right, "cid"), column(right, "root"), column(right, "n"), column(right, "loose"), bands(right)
+            own = left.column("shingles").combine_chunks()
+            for x, (xc, xr, xn, xb) in enumerate(zip(column(left, "cid"), column(left, "root"), column(left, "n"), bands(left), strict=True)):
+                same = rb == xb
+                # Loose members meet twice, as left and as right; once is enough.
+                ok = (root != xr) & (~late.astype(bool) | (cid > xc)) & (100 * np.minimum(n, xn) >= percent * np.maximum(n, xn))
+                ok &= same[:, :HALF].any(axis=1) & same[:, HALF:].any(axis=1)
+                mine = np.sort(own[x].values.to_numpy(zero_copy_only=False))
+                done = set()
+                for y in np.flatnonzero(ok):
+                    if root[y] in done:
+                        continue
+                    s = flat[at[y]:at[y + 1]]
+                    place = np.searchsorted(mine, s)
+                    place[place == len(mine)] = 0
+                    both = int((mine[place] == s).sum())
+                    if 100 * both >= percent * (xn + n[y] - both):
+                        done.add(root[y])
+                        found.append((int(min(xc, cid[y])), int(max(xc, cid[y]))))
+        return pa.table([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], names=["a", "b"])
+    return run
+
+
+def _between(rest: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components inside the clusters of ``rest`` (cid, n, root, first)."""
+    cluster = connected_components(rest.select(F.col("cid").alias("a"), F.col("first").alias("b")))
+    cluster = cluster.withColumnRenamed("root", "cluster")
+    who = rest.select("cid", "n", "root").distinct().join(cluster, F.col("cid") == F.col("node")).select("cid", "n", "root", "cluster")
+    shares = who.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("c"))
+    most = shares.groupBy("cluster").agg(F.max(F.struct("c", "root")).alias("m"), F.sum("c").alias("all")).select(
+        "cluster", F.col("m.root").alias("main"), (F.ceil((F.col("all") - F.col("m.c")) / LEFT_BLOCK)).cast("int").alias("lefts"),
+        F.ceil(F.col("all") / RIGHT_BLOCK).cast("int").alias("rights"))
+    who = staged(who.join(most, "cluster").withColumn("loose", F.col("root") != F.col("main")), "minhash-clusters")
+    full = who.join(classes.select("cid", "bands"), "cid").join(sets, "cid")
+    block = lambda salt, count: F.pmod(F.xxhash64("cid", F.lit(salt)), F.col(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    columns = ["cid", "n", "root", "loose", "bands", "shingles", "cluster"]
+    left = full.where("loose").select(*columns, block(1, "lefts").alias("l"), every("rights").alias("r"))
+    right = full.select(*[F.col(c).alias(c) for c in columns], every("lefts").alias("l"), block(2, "rights").alias("r"))
+    return left.groupBy("cluster", "l", "r").cogroup(right.groupBy("cluster", "l", "r")).applyInArrow(_meet(percent), "a long, b long").distinct()
+
+
 def near_classes(docs: DataFrame, k: int = 2, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``."""
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -146,46 +201,23 @@ def near_classes(docs: DataFrame, k: int = 2, percent: int = 80, id_col: str = "
     sets = staged(narrow.join(members, F.col("doc_id") == F.col("cid"), "left_semi")
                   .mapInArrow(_sets(k), "cid long, shingles array<long>"), "minhash-sets")
 
-    near = lambda n, m: (100 * F.least(n, m) >= percent * F.greatest(n, m))  # noqa: E731  else the sets cannot reach it
-    links = tried = None
-    roots = None
-    for turn in range(MOST_ROUNDS + 1):
-        now = groups if roots is None else groups.join(roots, F.col("cid") == F.col("node"), "left").select(
-            "cid", "n", "key", F.coalesce("root", "cid").alias("root"))
-        if roots is None:
-            now = now.withColumn("root", F.col("cid"))
-        per = now.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
-            F.count(F.lit(1)).alias("roots"), (F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("apart"))
-        open_keys = per.where("roots > 1").select("key", "apart")
-        now = staged(now.join(open_keys, "key"), "minhash-open")
-        # What is left, against what there is: per key, half the ordered pairs whose components differ.
-        sizes = now.select("key", "apart").distinct().agg(F.sum("apart")).first()[0]
-        if not sizes:
-            break
-        rest = turn == MOST_ROUNDS or turn and sizes <= 40 * now.count()
-        if rest:
-            x, y = now.alias("x"), now.alias("y")
-            pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cid") < F.col("y.cid")) & (F.col("x.root") != F.col("y.root"))
-                           & near(F.col("x.n"), F.col("y.n"))).select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b")).distinct()
-        else:
-            order = F.struct(F.xxhash64("cid", F.lit(turn)).alias("o"), F.col("cid").alias("pivot"), F.col("n").alias("pn"), F.col("root").alias("proot"))
-            pivot = now.groupBy("key").agg(F.min(order).alias("p")).select("key", "p.pivot", "p.pn", "p.proot")
-            pairs = (now.join(pivot, "key").where((F.col("root") != F.col("proot")) & near(F.col("n"), F.col("pn")))
-                     .select(F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b")).distinct())
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "minhash-pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found = staged(_verified(pairs, sets, percent), "minhash-links")
-        links = found if links is None else links.unionByName(found)
-        roots = staged(connected_components(links), "minhash-roots")
-        if rest:
-            break
+    # Stars.
+    degree = groups.groupBy("key").agg(F.count(F.lit(1)).alias("c")).join(groups, "key").groupBy("cid").agg(F.sum("c").alias("degree"))
+    ranked = groups.join(degree, "cid")
+    pivot = ranked.groupBy("key").agg(F.max(F.struct("degree", -F.col("cid"), "cid", "n")).alias("p")).select(
+        "key", F.col("p.cid").alias("pivot"), F.col("p.n").alias("pn"))
+    pairs = (groups.join(pivot, "key").where((F.col("cid") != F.col("pivot")) & (100 * F.least("n", "pn") >= percent * F.greatest("n", "pn")))
+             .select(F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b")).distinct())
+    links = staged(_verified(pairs, sets, percent), "minhash-links")
+    roots = staged(connected_components(links), "minhash-roots")
+    rooted = groups.join(roots, F.col("cid") == F.col("node"), "left").select("cid", "n", "key", F.coalesce("root", "cid").alias("root"))
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("cid").alias("first")).where("lo <> hi").select("key", "first")
+    rest = staged(rooted.join(mixed, "key").select("cid", "n", "root", "first").distinct(), "minhash-open")
+    more = staged(_between(rest, classes, sets, percent), "minhash-more")
+    if not more.isEmpty():
+        roots = staged(connected_components(links.unionByName(more)), "minhash-roots")
     by_class = classes.select("fp", "cid")
-    if roots is not None:
-        by_class = by_class.join(roots, F.col("cid") == F.col("node"), "left").select("fp", F.coalesce("root", "cid").alias("root"))
-    else:
-        by_class = by_class.withColumnRenamed("cid", "root")
+    by_class = by_class.join(roots, F.col("cid") == F.col("node"), "left").select("fp", F.coalesce("root", "cid").alias("root"))
     member = sig.alias("s").join(by_class.alias("c"), (F.col("s.fp") == F.col("c.fp")) & (F.col("s.n") > 0) & F.col("s.doc_id").isNotNull(), "left")
     component = F.coalesce(F.col("c.root"), F.col("s.doc_id"))
     return member.select(F.col("s.doc_id").alias("doc_id"), F.col("s.n").alias("n_shingles"), component.alias("component_id"),
