@@ -14,8 +14,8 @@ occurrence, and equal ones are removed.  The first occurrence, by (doc_id,
 chunk number), stays.
 
 Cases: a null text stays null and an empty one empty; empty lines are lines, but
-a chunk needs a word; rows that share a doc_id and a chunk keep it in each of
-them, as they are one document; rows with a null doc_id come after all others
+a chunk needs a word; rows that share a doc_id and a chunk's number keep it in
+each of them, as they are one document; rows with a null doc_id come after all others
 as one such document; of the copies within one document the first stays; an
 empty table gives an empty result; extra columns pass through (working columns
 begin with ``_l_``).
@@ -71,42 +71,54 @@ def _body(c: Column) -> Column:
     return F.array_join(F.slice("_l_lines", c["from"], c["n"]), "\n")
 
 
-def removable(cut: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(_l_id, _l_gone): the (k, md5) of the chunks to remove, per document."""
-    far = F.lit(2**63 - 1)  # null ids come last
-    narrow = cut.select(F.coalesce(F.col(id_col).cast("long"), far).alias("id"), F.explode(F.filter("_l_chunks", lambda c: c["md5"].isNotNull())).alias("c")).select(
-        "id", "c.k", "c.md5")
-    firsts = narrow.groupBy("md5").agg(F.min(F.struct("id", "k")).alias("lo"), F.max(F.struct("id", "k")).alias("hi"))
-    repeated = firsts.where("lo <> hi").select("md5", F.col("lo.id").alias("lo_id"), F.col("lo.k").alias("lo_k"))
-    spots = staged(narrow.distinct().join(repeated, "md5"), "line-spots")
-    # The bytes of the chunks concerned, from the documents that hold them.
-    holds = spots.groupBy("id").agg(F.collect_set("md5").alias("md5s"))  # at most a document's own chunks
-    bodies = (cut.select(F.coalesce(F.col(id_col).cast("long"), far).alias("id"), "_l_lines", "_l_chunks").join(holds, "id")
-              .select("id", "_l_lines", F.explode(F.filter("_l_chunks", lambda c: F.array_contains("md5s", c["md5"]))).alias("c"))
-              .select("id", F.col("c.k").alias("k"), F.col("c.md5").alias("md5"), _body(F.col("c")).alias("body")))
-    bodies = staged(bodies.distinct(), "line-bodies")
-    original = (bodies.join(repeated, "md5").where("id = lo_id AND k = lo_k")
-                .groupBy("md5").agg(F.min("body").alias("original")))
-    return (bodies.join(original, "md5").join(repeated, "md5").where("body = original AND NOT (id = lo_id AND k = lo_k)")
-            .groupBy(F.col("id").alias("_l_id")).agg(F.collect_set(F.struct("k", "md5")).alias("_l_gone")))
+def _key(id_col: str, text: str) -> list[Column]:
+    """A document's key: its id (null ids last) and a hash of its text."""
+    return [F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)).alias("_l_id"), F.xxhash64(text).alias("_l_th")]
+
+
+def removable(docs: DataFrame, spots: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(_l_id, _l_th, gone): the numbers of the chunks to remove, per document.
+    ``spots``: (_l_id, _l_th, k, from, n, md5), one row per chunk to compare."""
+    at = F.struct("_l_id", "k", "_l_th")
+    firsts = spots.groupBy("md5").agg(F.min(at).alias("lo"), F.max(at).alias("hi")).where("lo._l_id <> hi._l_id OR lo.k <> hi.k").select("md5", "lo")
+    repeated = staged(spots.join(firsts, "md5"), "line-spots")
+    # The bytes of the chunks concerned, from the documents that hold them; a document holds a bounded number.
+    holds = repeated.groupBy("_l_id", "_l_th").agg(F.collect_list(F.struct("k", "from", "n", "md5", "lo")).alias("_l_cs"))
+    held = docs.select(*_key(id_col, text), F.col(text).alias("_l_text")).join(holds, ["_l_id", "_l_th"]).dropDuplicates(["_l_id", "_l_th"])
+    held = fixed(held, _l_lines=F.split("_l_text", "\n")).select("_l_id", "_l_th", "_l_lines", F.explode("_l_cs").alias("c"))
+    bodies = staged(held.select("_l_id", "_l_th", "c.k", "c.md5", "c.lo", _body(F.col("c")).alias("body")), "line-bodies")
+    is_first = (F.col("_l_id") == F.col("lo._l_id")) & (F.col("k") == F.col("lo.k"))
+    original = bodies.where(is_first).groupBy("md5").agg(F.min("body").alias("original"))
+    return (bodies.where(~is_first).join(original, "md5").where("body = original")
+            .groupBy("_l_id", "_l_th").agg(F.collect_set("k").alias("_l_gone")))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with repeated chunks cut from the texts, and the columns
-    ``n_lines``, ``n_chunks``, ``n_removed`` (chunks) and ``lines_removed``."""
-    cut = chunked(docs, id_col, text)
-    gone = removable(cut, id_col)
-    whole = cut.withColumn("_l_key", F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)))
-    marked = whole.join(gone, F.col("_l_key") == F.col("_l_id"), "left")
-    is_gone = lambda c: F.coalesce(F.array_contains("_l_gone", F.struct(c["k"].alias("k"), c["md5"].alias("md5"))), F.lit(False))
-    marked = fixed(marked, _l_left=F.filter("_l_chunks", lambda c: ~is_gone(c)))
-    count = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda s, c: s + c["n"])
-    n = lambda c: F.when(F.col(text).isNull(), F.lit(0)).otherwise(c).cast("long")
-    cleaned = F.when(F.col("_l_gone").isNull(), F.col(text)).otherwise(F.array_join(F.transform("_l_left", _body), "\n"))
-    return marked.select(
-        *[(cleaned.alias(c) if c == text else F.col(f"`{c}`")) for c in docs.columns],
-        n(F.size("_l_lines")).alias("n_lines"), n(F.size("_l_chunks")).alias("n_chunks"),
-        n(F.size("_l_chunks") - F.size("_l_left")).alias("n_removed"), n(count(F.col("_l_chunks")) - count(F.col("_l_left"))).alias("lines_removed"))
+    ``n_lines``, ``n_chunks``, ``n_removed`` (chunks) and ``lines_removed``.
+
+    Texts are cut into chunks once; the chunks' places are staged without the
+    text, which they meet again by the document's key."""
+    narrow = docs.select(F.col(id_col), F.col(text).alias("_l_text")).where(F.col(text).isNotNull())
+    cut = chunked(narrow, id_col, "_l_text")
+    info = staged(cut.select(*_key(id_col, "_l_text"), F.size("_l_lines").alias("_l_nl"), "_l_chunks").dropDuplicates(["_l_id", "_l_th"]), "line-chunks")
+    spots = info.select("_l_id", "_l_th", F.explode(F.filter("_l_chunks", lambda c: c["md5"].isNotNull())).alias("c")).select("_l_id", "_l_th", "c.*")
+    gone = removable(docs, spots, id_col, text)
+    sizes = info.join(gone, ["_l_id", "_l_th"], "left")
+    is_gone = lambda c: F.coalesce(F.array_contains("_l_gone", c["k"]), F.lit(False))
+    left = F.filter("_l_chunks", lambda c: ~is_gone(c))
+    total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda s, c: s + c["n"])
+    sizes = sizes.select("_l_id", "_l_th", F.col("_l_nl").cast("long").alias("n_lines"), F.size("_l_chunks").cast("long").alias("n_chunks"),
+                         F.coalesce(F.size("_l_gone"), F.lit(0)).cast("long").alias("n_removed"),
+                         (F.col("_l_nl") - total(left)).cast("long").alias("lines_removed"),
+                         F.when(F.col("_l_gone").isNotNull(), left).alias("_l_left"))
+    key = [c.alias(f"_k{i}") for i, c in enumerate(_key(id_col, text))]
+    sizes = sizes.withColumnsRenamed({c: f"_n_{c}" for c in ("n_lines", "n_chunks", "n_removed", "lines_removed")})
+    marked = docs.select("*", *key).join(sizes, (F.col("_k0") == F.col("_l_id")) & (F.col("_k1") == F.col("_l_th")) & F.col(text).isNotNull(), "left")
+    marked = fixed(marked, _l_lines=F.when(F.col("_l_left").isNotNull(), F.split(text, "\n")))
+    cleaned = F.when(F.col("_l_left").isNull(), F.col(text)).otherwise(F.array_join(F.transform("_l_left", _body), "\n"))
+    return marked.select(*[(cleaned.alias(c) if c == text else F.col(f"`{c}`")) for c in docs.columns],
+                         *[F.coalesce(F.col(f"_n_{c}"), F.lit(0)).cast("long").alias(c) for c in ("n_lines", "n_chunks", "n_removed", "lines_removed")])
 
 
 def op5_line_chunks(spark, sf_dir: str) -> DataFrame:
