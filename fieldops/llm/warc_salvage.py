@@ -57,7 +57,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Date: {DATE}"]
     if url is not None:
         lines.append("WARC-Target-URI: " + re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url))
-    lines += [f"WARC-Payload-Digest: sha1:{digest(payload)}", f"WARC-Payload-Length: {len(payload)}"]
+    lines += [f"WARC-Block-Digest: sha1:{digest(block)}", f"WARC-Payload-Digest: sha1:{digest(payload)}", f"WARC-Payload-Length: {len(payload)}"]
     if revisit:
         lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <urn:page:{refers_to}>"]
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}", "", ""]
@@ -140,6 +140,9 @@ def parse_record(data: bytes, whole: bool = True) -> tuple[dict[str, str], bytes
     end = stop + 4 + size + 4
     if len(block) < size or data[end - 4:end] != b"\r\n\r\n" or whole and len(data) != end:
         raise Broken("wrong length")
+    said = head.get("warc-block-digest", "")
+    if said.startswith("sha1:") and said[5:] != digest(block):
+        raise Broken("wrong block digest")
     if head.get("content-type", "").startswith("application/http"):
         cut = block.find(b"\r\n\r\n")
         if cut < 0:
