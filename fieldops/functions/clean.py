@@ -84,8 +84,9 @@ def to_double(c: Column | str) -> Column:
 
 
 def to_integer(c: Column | str) -> Column:
-    """INTEGER contract: numeric text rounded half-to-even, as BIGINT."""
-    return F.bround(to_double(c), 0).cast("bigint")
+    """INTEGER contract: numeric text rounded half-to-even, as BIGINT; beyond
+    its range NULL."""
+    return F.bround(to_double(c), 0).try_cast("bigint")
 
 
 def cast_to(c: Column | str, kind: str) -> Column:
@@ -164,20 +165,28 @@ def strip_suffix(c: Column | str, pattern: str = config.RX_PETITION_SUFFIX) -> C
 
 def canon_id(c: Column | str, width: int = 8) -> Column:
     """C11: numeric ids -> integer text zero-filled to ``width`` (never
-    truncated); other text passes unchanged; NULL/'' -> NULL."""
+    truncated); other text passes unchanged, and so do numbers of more than 38
+    digits; NULL/'' -> NULL."""
     s = _col(c).cast("string")
     num = to_double(s)
-    digits = num.cast("bigint").cast("string")
+    exact = F.abs(num) < float(1 << 53)
+    digits = F.when(exact, num.try_cast("bigint").cast("string")).otherwise(strip(s).try_cast("decimal(38,0)").cast("string"))
     neg = digits.startswith("-")
     body = F.when(neg, F.substring(digits, 2, 1 << 30)).otherwise(digits)
     fill = F.when(neg, width - 1).otherwise(width)
     padded = F.when(F.length(body) < fill, F.lpad(body, fill, "0")).otherwise(body)
     filled = F.when(neg, F.concat(F.lit("-"), padded)).otherwise(padded)
     return (F.when(s.isNull() | (s == ""), F.lit(None))
-            .when(num.isNotNull(), filled)
+            .when(num.isNotNull() & digits.isNotNull(), filled)
             .otherwise(s))
 
 
+def zero_fill(c: Column | str, width: int) -> Column:
+    """Zero-fill text to ``width``; longer text is kept whole (LPAD would cut it)."""
+    s = _col(c).cast("string")
+    return F.lpad(s, F.greatest(F.length(s), F.lit(width)), F.lit("0"))
+
+
 def composite_key(*cols: Column | str, sep: str = "_") -> Column:
     """Join parts with ``sep``; a NULL part counts as ''."""
     return F.concat_ws(sep, *[F.coalesce(_col(c).cast("string"), F.lit("")) for c in cols])

@@ -244,9 +244,9 @@ def interval_collect(left: DataFrame, right: DataFrame, by: Sequence[str] | str,
 
 def coalesce_join(left: DataFrame, right: DataFrame, first: tuple[str, str], second: tuple[str, str],
                   cols: Sequence[str], second_order: Sequence[str], second_when: Column | None = None,
-                  source_col: str = "match_source") -> DataFrame:
-    """Join on the first key; where that finds nothing (and
-    ``second_when`` holds), look the second key up -- right side reduced to its
+                  source_col: str = "match_source", needed: str | None = None) -> DataFrame:
+    """Join on the first key; where that finds nothing -- or only a row
+    whose ``needed`` column is null or blank -- (and ``second_when`` holds), look the second key up -- right side reduced to its
     first row per key by ``second_order`` -- and take the listed columns from
     there.  ``source_col`` records 'first' / 'second' / NULL."""
     lk1, rk1 = first
@@ -259,12 +259,14 @@ def coalesce_join(left: DataFrame, right: DataFrame, first: tuple[str, str], sec
               .withColumn("_hit2", F.lit(True)))
     x = left.join(r1, F.col(lk1) == F.col("_k1"), "left")
     gate = F.col("_hit1").isNull()
+    if needed is not None:
+        gate = gate | (F.trim(F.coalesce(F.col("_a")[needed].cast("string"), F.lit(""))) == "")
     if second_when is not None:
         gate = gate & F.coalesce(second_when, F.lit(False))
     x = x.withColumn("_k2l", F.when(gate, F.col(lk2)))
     x = x.join(firsts, F.col("_k2l") == F.col("_k2"), "left")
-    out = x.withColumns({c: F.when(F.col("_hit1"), F.col("_a")[c]).otherwise(F.col("_b")[c]) for c in cols})
-    out = out.withColumn(source_col, F.when(F.col("_hit1"), F.lit("first")).when(F.col("_hit2"), F.lit("second")))
+    out = x.withColumns({c: F.when(F.col("_hit2").isNull(), F.col("_a")[c]).otherwise(F.col("_b")[c]) for c in cols})
+    out = out.withColumn(source_col, F.when(F.col("_hit2"), F.lit("second")).when(F.col("_hit1"), F.lit("first")))
     return out.drop("_k1", "_a", "_hit1", "_k2l", "_k2", "_b", "_hit2")
 
 

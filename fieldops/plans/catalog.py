@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from fieldops import config
 from fieldops.functions import rules
+from fieldops.functions.clean import zero_fill
 from fieldops.operators import joins, repeat, slots, state
 from fieldops.plans import roles
 from fieldops.session import table
@@ -282,7 +283,7 @@ def q_join_slots(spark: SparkSession, d: str) -> DataFrame:
 # T4 / J8 / O5 -------------------------------------------------------------------
 
 def site_code(c):
-    return F.concat(F.lit("CU"), F.lpad(c.cast("string"), 5, "0"))
+    return F.concat(F.lit("CU"), zero_fill(c.cast("string"), 5))
 
 
 def notes_with_codes(spark: SparkSession, d: str) -> DataFrame:
@@ -726,7 +727,7 @@ def q_canon_ids(spark: SparkSession, d: str) -> DataFrame:
     t = o.select(
         "o_orderkey", raw.alias("raw_id"),
         F.concat(F.lit(" PET"), k.cast("string"), F.lit("-01 ")).alias("peticion"),
-        F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("INC"), F.lpad(k.cast("string"), 7, "0")))
+        F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("INC"), zero_fill(k.cast("string"), 7)))
         .otherwise(F.concat(F.lit("TT"), k.cast("string"))).alias("ticket"),
         F.when(F.col("o_orderstatus") == "P", F.lit("Cancelado (antiguo)"))
         .when(F.col("o_orderstatus") == "F", F.lit("Completado")).otherwise(F.lit("Pendiente")).alias("estado_raw"),
@@ -919,7 +920,7 @@ def q_notes_rules(spark: SparkSession, d: str) -> DataFrame:
     from fieldops.functions.text import corporate_case, order_in_notes
     n = notes_with_orders(spark, d)
     n = n.withColumns({"TOA_notas": order_in_notes("Notas"), "_corp": corporate_case("Notas")})
-    o = table(spark, d, "orders").select(F.lpad(F.col("o_orderkey").cast("string"), 8, "0").alias("_k"),
+    o = table(spark, d, "orders").select(zero_fill(F.col("o_orderkey").cast("string"), 8).alias("_k"),
                                          F.col("o_orderkey").alias("Nro_TOA"), F.col("o_custkey").alias("_site"))
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("_site"),
                                            roles.provider(F.col("c_mktsegment")).alias("_prov"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fieldops.functions.clean import apply_contract, drop_if, normalize_names
 from fieldops.operators.state import union_all, upsert
-from fieldops.sources.io import FILE_NAME, read_landing, read_table, validate_contract, with_arrival_order, write_table
+from fieldops.sources.io import FILE_NAME, read_landing, read_table, table_exists, validate_contract, with_arrival_order, write_table
 
 
 def ingest(spark: SparkSession, files: Sequence[str], key: Sequence[str] | str, contract: Mapping[str, str],
@@ -32,10 +32,8 @@ def ingest(spark: SparkSession, files: Sequence[str], key: Sequence[str] | str,
     raw = union_all(*[normalize_names(read_landing(spark, f, fmt=fmt, exclude=("_procesado",))) for f in ok])
     new = drop_if(normalize_names(with_arrival_order(raw)), list(drop))
     new = apply_contract(new, contract).withColumnRenamed("_arrival", "_file_rank")
-    try:
-        base = read_table(spark, root, name)
-    except Exception:  # noqa: BLE001 - first load
-        base = None
+    # only a table never published is a first load; one that cannot be read is an error
+    base = read_table(spark, root, name) if table_exists(spark, root, name) else None
     keys = [key] if isinstance(key, str) else list(key)
     if base is None:
         merged = upsert(new.limit(0), new, keys, ["_file_rank", *order])

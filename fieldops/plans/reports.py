@@ -184,7 +184,7 @@ def incident_report(incidents: DataFrame, orders: DataFrame, tasks: DataFrame, s
     inc = inc.withColumn("ID_incidencia", clean.strip("ID_incidencia"))
     x = joins.coalesce_join(inc, toa, ("ID_incidencia", "Clave_Remedy"), ("TOA_notas", "Nro_TOA"), cols,
                             second_order=[created, "Nro_TOA"],
-                            second_when=F.col("TOA_notas") != config.L_NO_ORDER_IN_NOTES)
+                            second_when=F.col("TOA_notas") != config.L_NO_ORDER_IN_NOTES, needed="Nro_TOA")
     x = x.withColumn("ID_Sitio", F.coalesce(F.col("ID_Sitio"), F.col("Código_de_Cliente")))
     # row key after the (possible) fan-out of the key match; deterministic, so
     # a recomputed partition gets the same keys

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldops import config
+from fieldops.functions.clean import zero_fill
 from fieldops.session import table
 
 
@@ -71,9 +72,11 @@ FIELD_PHRASES = [
 
 def site_code(c):
     """Site code 'S' + letter + 5 digits from an integer key (the shape the
-    notes pattern recognises; unique for keys below 2.6 million)."""
+    notes pattern recognises); keys from 2.6 million on get 'SZ' and the whole
+    key, unique but beyond that shape."""
     letter = F.substring(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), (F.floor(c / 100000) % 26 + 1).cast("int"), 1)
-    return F.concat(F.lit("S"), letter, F.lpad((c % 100000).cast("string"), 5, "0"))
+    short = F.concat(F.lit("S"), letter, zero_fill((c % 100000).cast("string"), 5))
+    return F.when(c < 2_600_000, short).otherwise(F.concat(F.lit("SZ"), c.cast("string")))
 
 
 def toa_number(c):
@@ -97,7 +100,7 @@ def work_orders(spark: SparkSession, d: str) -> DataFrame:
         .alias("Fecha_Hora_de_Cancelación"),
         F.col("o_orderpriority").alias("Subtipo_de_Actividad"),
         F.concat(F.lit("PET"), F.col("o_orderkey").cast("string"), F.lit("-01")).alias("Número_de_Petición"),
-        F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("INC"), F.lpad(F.col("o_orderkey").cast("string"), 7, "0")))
+        F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("INC"), zero_fill(F.col("o_orderkey").cast("string"), 7)))
         .otherwise(F.concat(F.lit("TT"), F.col("o_orderkey").cast("string"))).alias("ID_del_Ticket"),
         F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Mantenimiento proactivo"))
         .when(F.col("o_totalprice") < 2000, F.lit("Ticket de prueba")).alias("Notas"),
@@ -227,7 +230,7 @@ def incident_feed(spark: SparkSession, d: str) -> DataFrame:
                         F.concat(F.lit("Sitio "), site),
                         F.when(k % 7 == 0, F.lit("Circuito: 123")))
     return x.select(
-        F.when(sel == 0, F.concat(F.lit("INC"), F.lpad(k.cast("string"), 7, "0")))
+        F.when(sel == 0, F.concat(F.lit("INC"), zero_fill(k.cast("string"), 7)))
         .otherwise(F.concat(F.lit("R"), k.cast("string"))).alias("ID_incidencia"),
         start.alias("Fecha_inicio_incidente"),
         F.timestamp_add("MINUTE", F.lit(20), start).alias("Fecha_envio"),

@@ -38,13 +38,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster
-    (``spark.checkpoint.dir``); only when none is configured (local tests) set
-    one under a fresh temporary folder."""
+    (``spark.checkpoint.dir``).  Where none is configured, a local session (tests,
+    bench) gets a fresh temporary folder; on a cluster that is an error."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="fieldops-ckpt-")
     spark.sparkContext.setCheckpointDir(conf_dir)
     return spark.sparkContext.getCheckpointDir()

@@ -6,6 +6,8 @@ S9-S12)."""
 from __future__ import annotations
 
 import os
+import re
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,8 +34,13 @@ def read_landing(spark: SparkSession, path: str, fmt: str = "csv", schema: Struc
         reader = reader.option("pathGlobFilter", glob)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
-    if fmt == "csv" and not (options or {}).get("header"):
-        reader = reader.option("header", "true")
+    if fmt == "csv":
+        # quoted line breaks stay inside their field, and a file whose header differs from
+        # the scan's is refused instead of being read by position
+        defaults = {"header": "true", "multiLine": "true", "escape": '"', "enforceSchema": "false"}
+        for k, v in defaults.items():
+            if k not in (options or {}):
+                reader = reader.option(k, v)
     df = reader.load(path)
     df = df.withColumn(FILE_NAME, F.col("_metadata.file_name"))
     for marker in exclude:
@@ -116,15 +123,45 @@ def read_with_banner(spark: SparkSession, path: str, names: Sequence[str], skip:
 
 # --------------------------------------------------------------------------- S7 / S9 / S10 / S11
 
+def _hadoop(spark: SparkSession, path: str):
+    """(Hadoop file system of ``path``, function text -> Hadoop path)."""
+    jvm = spark.sparkContext._jvm
+    to_path = jvm.org.apache.hadoop.fs.Path
+    return to_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), to_path
+
+
+def _pointers(spark: SparkSession, root: str, name: str) -> list[str]:
+    """Names of a table's pointer files, oldest first.  An absent folder means
+    that the table was never written; any other failure is raised."""
+    fs, to_path = _hadoop(spark, root)
+    folder = to_path(f"{root.rstrip('/')}/{name}/_current")
+    if not fs.exists(folder):
+        return []
+    return sorted(n for n in (f.getPath().getName() for f in fs.listStatus(folder)) if re.fullmatch(r"\d{12}", n))
+
+
+def table_exists(spark: SparkSession, root: str, name: str) -> bool:
+    """Whether a version of the table was ever published (decided by listing)."""
+    return bool(_pointers(spark, root, name))
+
+
 def write_table(df: DataFrame, root: str, name: str, version: str) -> str:
     """Full replace without overwriting a path that may be being read:
-    write a new version folder, then point ``_current`` at it.  Readers use
-    ``read_table``.  Returns the version path."""
-    target = f"{root.rstrip('/')}/{name}/v={version}"
-    df.write.mode("overwrite").parquet(target)
+    write a fresh version folder, then publish it by renaming a new pointer file
+    into ``_current`` (the highest number counts).  Readers see the old version
+    or the new one, never neither.  Returns the version path."""
     spark = df.sparkSession
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").json(
-        f"{root.rstrip('/')}/{name}/_current")
+    folder = f"{root.rstrip('/')}/{name}"
+    target = f"{folder}/v={version}-{uuid.uuid4().hex[:8]}"
+    df.write.mode("errorifexists").parquet(target)
+    fs, to_path = _hadoop(spark, root)
+    number = int((_pointers(spark, root, name) or ["-1"])[-1]) + 1
+    draft = to_path(f"{folder}/_current/draft-{uuid.uuid4().hex}")
+    out = fs.create(draft, False)
+    out.write(bytearray(target.rsplit("/", 1)[1].encode()))
+    out.close()
+    if not fs.rename(draft, to_path(f"{folder}/_current/{number:012d}")):
+        raise OSError(f"another writer published version {number} of {name}")
     return target
 
 
@@ -142,8 +179,14 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Read the current version of a table (pruning and pushdown apply)."""
-    cur = spark.read.json(f"{root.rstrip('/')}/{name}/_current").first()["version"]
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}/v={cur}")
+    pointers = _pointers(spark, root, name)
+    if not pointers:
+        raise FileNotFoundError(f"no version of table {name} under {root}")
+    folder = f"{root.rstrip('/')}/{name}"
+    current = spark.read.text(f"{folder}/_current/{pointers[-1]}").first()
+    if current is None:
+        raise OSError(f"empty pointer {pointers[-1]} of table {name}")
+    return spark.read.parquet(f"{folder}/{current['value']}")
 
 
 def vendor_rows(df: DataFrame, bucket: str, vendors: Sequence[str], vendor_col: str = "vendor") -> DataFrame:

@@ -4,41 +4,40 @@ Re-aims "rename consumed files / skip processed files" as a Structured
 Streaming file source with a checkpoint: each new file is consumed exactly
 once from the source's point of view, and every micro-batch is upserted
 (A2) into the state table.  ``foreachBatch`` is at-least-once; the upsert is
-idempotent (the batch's epoch id is its version), so a replayed batch writes
-the same table again."""
+idempotent, so a replayed batch publishes the same table again."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from fieldops.operators.state import upsert
-from fieldops.sources.io import FILE_NAME, read_table, with_arrival_order, write_table
+from fieldops.sources.io import FILE_NAME, arrival_key, read_table, table_exists, write_table
 
 
-def _current(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    try:
-        return read_table(spark, root, name)
-    except Exception:  # noqa: BLE001 - no version written yet
-        return None
+def drop_name() -> Column:
+    """The drop a file belongs to: its folder, if that bears a date ('D.M.'),
+    else the file itself.  Files of one drop arrive together."""
+    parts = F.split(F.col("_metadata.file_path"), "/")
+    folder = F.url_decode(F.element_at(parts, -2))
+    return F.when(folder.rlike(r"^\d+\.\d+(\.|$)"), folder).otherwise(F.col("_metadata.file_name"))
 
 
 def upsert_batch(batch: DataFrame, epoch_id: int, root: str, name: str, key: Sequence[str],
                  order: Sequence[str]) -> None:
-    """One micro-batch: rank its files by arrival (file-name date rule), keep
-    the last row per key, merge into the stored table, write a new version."""
+    """One micro-batch: order its rows by the arrival of their drop (date rule),
+    then by ``order``, keep the last row per key, merge into the stored table and
+    publish a new version.  Only a table that was never published counts as a
+    first load; a stored one that cannot be read stops the batch."""
     spark = batch.sparkSession
-    new = with_arrival_order(batch).withColumnRenamed("_arrival", "_file_rank").drop(FILE_NAME)
-    base = _current(spark, root, name)
-    if base is None:
-        merged = upsert(new.limit(0).drop("_file_rank"), new, key, ["_file_rank", *order])
-    else:
-        merged = upsert(base, new, key, ["_file_rank", *order])
-    write_table(merged.drop("_file_rank"), root, name, version=f"{epoch_id:012d}")
+    new = batch.withColumn("_drop_rank", arrival_key(F.col(FILE_NAME))).drop(FILE_NAME)
+    base = read_table(spark, root, name) if table_exists(spark, root, name) else new.limit(0).drop("_drop_rank")
+    merged = upsert(base, new, key, ["_drop_rank", *order])
+    write_table(merged.drop("_drop_rank"), root, name, version=f"{epoch_id:012d}")
 
 
 def ingest_stream(spark: SparkSession, source: str, schema: StructType, key: Sequence[str], order: Sequence[str],
@@ -50,7 +49,7 @@ def ingest_stream(spark: SparkSession, source: str, schema: StructType, key: Seq
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.load(source).withColumn(FILE_NAME, F.col("_metadata.file_name"))
+    stream = reader.load(source).withColumn(FILE_NAME, drop_name())
     return (stream.writeStream
             .foreachBatch(lambda df, epoch: upsert_batch(df, epoch, root, name, list(key), list(order)))
             .option("checkpointLocation", checkpoint)
