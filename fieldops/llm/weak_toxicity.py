@@ -199,8 +199,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     chosen = lambda c: F.pmod(F.xxhash64(c, F.lit(9)), F.lit(step)) == 0
     rows = docs.select(F.col(id_col).cast("long").alias("_t_doc"), F.col(text).alias("text")).where(chosen(F.col("_t_doc")) & ~held_out(F.col("_t_doc")))
     sample = rows.join(known.where(chosen(F.col("_t_id"))), F.col("_t_doc") == F.col("_t_id")).select(F.col("toxic").cast("int").alias("toxic"), "text")
-    got = sample.mapInArrow(_features, "toxic int, found array<int>, votes array<int>").orderBy(F.xxhash64("found", "toxic")).toArrow().to_pydict()
-    return fit([np.array(f, dtype=np.int32) for f in got["found"]], got["votes"], np.array(got["toxic"], dtype=int))
+    got = sample.mapInArrow(_features, "toxic int, found array<int>, votes array<int>").orderBy(F.xxhash64("found", "toxic")).toArrow()
+
+    def lists(name: str) -> list[np.ndarray]:
+        """A list column as views of its numbers, not as Python objects."""
+        out: list[np.ndarray] = []
+        for chunk in got.column(name).chunks:
+            at = np.concatenate([[0], np.cumsum(chunk.value_lengths().to_numpy(zero_copy_only=False))]).astype(int)
+            flat = chunk.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+            out += [flat[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
+        return out
+
+    return fit(lists("found"), [v.tolist() for v in lists("votes")], got.column("toxic").to_numpy().astype(int))
 
 
 def _scoring(model: Model):
