@@ -160,19 +160,44 @@ REPORT_COLUMNS = {
     "Subtipo_de_Actividad": "Tipo_Actividad",
     "Número_de_Petición": "Numero_Peticion",
     "ID_del_Ticket": "ID_Ticket",
+    "SLA_Inicio": "SLA_Inicio",
+    "SLA_Fin": "SLA_Fin",
+    "Direccion_Polar_X": "Coordenada_X",
+    "Direccion_Polar_Y": "Coordenada_Y",
     "Notas": "Notas",
     "Codigo_Unico": "Site_ID",
+    "Nombre_Local_sitios": "Nombre_Local",
     "Empresa": "Empresa",
     "Bucket_Inicial": "Bucket",
+    "Inicio_PR1": "Inicio_PR1",
+    "Fin_PR1": "Fin_PR1",
+    "Motivo_PR1": "Motivo_PR1",
+    "Inicio_PR2": "Inicio_PR2",
+    "Fin_PR2": "Fin_PR2",
+    "Motivo_PR2": "Motivo_PR2",
+    "Inicio_PR3": "Inicio_PR3",
+    "Fin_PR3": "Fin_PR3",
+    "Motivo_PR3": "Motivo_PR3",
+    "Inicio_PR4": "Inicio_PR4",
+    "Fin_PR4": "Fin_PR4",
+    "Motivo_PR4": "Motivo_PR4",
     "Departamento": "Departamento",
     "Provincia": "Provincia",
+    "Distrito": "Distrito",
+    "Tipo_Local": "Tipo_Local",
+    "Atencion": "Tipo_Atencion",
+    "Zona_sitios": "Zona",
+    "Tipo_Zona_FLM": "Tipo_Zona",
+    "Tipo_Estacion": "Tipo_Estacion",
     "SLA": "SLA",
+    "ubigeotoa": "Ubigeo_TOA",
     "Estado_TOA": "Estado_TOA",
     "Proactivo": "Proactivo",
     "Marcha_Blanca": "Marcha_Blanca",
     "Responsable": "Responsable",
     "TEST": "Test",
     "Fecha_Fin_Swap": "Fecha_Fin_Swap",
+    "Alarmas_Activas_Nodo": "Alarmas_Activas",
     "SWAP_dias": "Dias_Swap",
     "Fecha_TSS": "Fecha_TSS",
     "TSS_dias": "Dias_TSS",

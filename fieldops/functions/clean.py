@@ -125,14 +125,10 @@ def unparsed_report(df: DataFrame, columns: Iterable[str], order: Column | str,
     """Per column, the first ``limit`` raw values that failed C1.
 
     Returns (column, raw, rn); the limit is the feature (a short sample)."""
-    parts = []
-    for name in columns:
-        raw = F.col(f"`{name}`").cast("string")
-        failed = df.where(null_tokens(raw).isNotNull() & parse_ts(raw).isNull())
-        parts.append(failed.select(F.lit(name).alias("column"), raw.alias("raw"), _col(order).alias("_ord")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    raws = [F.struct(F.lit(name).alias("column"), F.col(f"`{name}`").cast("string").alias("raw")) for name in columns]
+    # one scan: each row carries its (column, raw) pairs, failures stay
+    out = (df.select(_col(order).alias("_ord"), F.inline(F.array(*raws)))
+           .where(null_tokens("raw").isNotNull() & parse_ts("raw").isNull()))
     w = Window.partitionBy("column").orderBy(F.col("_ord").asc_nulls_last(), F.col("raw"))
     return (out.withColumn("rn", F.row_number().over(w).cast("bigint"))
             .where(F.col("rn") <= limit).drop("_ord"))

@@ -1141,9 +1141,7 @@ PUBLISH_AS_OF = "1998-08-03 00:00:00"
 @register("published_report", published_sql(PUBLISH_AS_OF))
 def q_published_report(spark: SparkSession, d: str) -> DataFrame:
     from fieldops.plans import reports
-    pub = reports.published_report(consolidated(spark, d), F.lit(PUBLISH_AS_OF).cast("timestamp_ntz"))
-    return pub.select("ID_TOA", "Estado_TOA", "Creacion_TOA", "Semaforo_horas", "Semaforo", "alerta_rechazos",
-                      "alerta_swap", "alerta_tss", "alerta_pausa")
+    return reports.published_report(consolidated(spark, d), F.lit(PUBLISH_AS_OF).cast("timestamp_ntz"))
 
 
 @register("vendor_extracts", vendor_extracts_sql())

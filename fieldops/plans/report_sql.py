@@ -50,6 +50,15 @@ def _pivot() -> str:
     return ",\n  ".join(items)
 
 
+def _order_pauses() -> str:
+    items = []
+    for i in (1, 2, 3, 4):
+        items += [f"CASE WHEN o_orderkey % 5 >= {i} THEN created + INTERVAL {60 * i} MINUTE END AS Inicio_PR{i}",
+                  f"CASE WHEN o_orderkey % 5 >= {i} THEN created + INTERVAL {60 * i + 30} MINUTE END AS Fin_PR{i}",
+                  f"CASE WHEN o_orderkey % 5 >= {i} THEN 'Motivo ' || CAST((o_orderkey + {i}) % 3 AS VARCHAR) END AS Motivo_PR{i}"]
+    return ",\n    ".join(items)
+
+
 def _report_select() -> str:
     return ",\n  ".join(f'"{src}" AS "{dst}"' for src, dst in config.REPORT_COLUMNS.items())
 
@@ -77,7 +86,15 @@ wo2 AS (
     {site_code('o_custkey')} AS Codigo_Unico,
     CASE o_orderpriority WHEN '1-URGENT' THEN 'Bucket COMFICA Lima' WHEN '2-HIGH' THEN 'bucket huawei norte'
          WHEN '3-MEDIUM' THEN 'FLM comfica sur' ELSE 'TDP central' END AS Bucket_Inicial,
-    {case_map('o_orderstatus', config.ORDER_STATUS_ROLE)} AS Estado_TOA
+    {case_map('o_orderstatus', config.ORDER_STATUS_ROLE)} AS Estado_TOA,
+    created AS SLA_Inicio,
+    CASE WHEN o_orderstatus <> 'P' THEN created + to_hours(CAST(o_orderkey % 48 AS BIGINT)) END AS SLA_Fin,
+    '-' || CAST(o_orderkey % 12 + 70 AS VARCHAR) || '.' || lpad(CAST(o_orderkey % 10000 AS VARCHAR), 4, '0')
+      AS Direccion_Polar_X,
+    '-' || CAST(o_orderkey % 18 AS VARCHAR) || '.' || lpad(CAST(o_orderkey % 7919 AS VARCHAR), 4, '0')
+      AS Direccion_Polar_Y,
+    CAST(o_orderkey % 4 AS BIGINT) AS Alarmas_Activas_Nodo,
+    {_order_pauses()}
   FROM wo),
 sw AS (SELECT user_id, ts AS Fecha_Fin_Swap FROM (
          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
@@ -86,7 +103,14 @@ tss AS (SELECT user_id, ts AS Fecha_TSS FROM (
          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
          FROM events WHERE event_type = 'signup') q WHERE rn = 1),
 s AS (SELECT {site_code('c.c_custkey')} AS Codigo_Unico, r.r_name AS Departamento, n.n_name AS Provincia,
-         {case_map('c.c_mktsegment', config.SEGMENT_TIER_ROLE)} AS SLA, sw.Fecha_Fin_Swap, tss.Fecha_TSS
+         {case_map('c.c_mktsegment', config.SEGMENT_TIER_ROLE)} AS SLA, sw.Fecha_Fin_Swap, tss.Fecha_TSS,
+         c.c_name AS Nombre_Local_sitios, 'Distrito ' || CAST(c.c_custkey % 43 AS VARCHAR) AS Distrito,
+         CASE WHEN c.c_acctbal < 0 THEN 'Indoor' ELSE 'Outdoor' END AS Tipo_Local,
+         CASE c.c_custkey % 2 WHEN 0 THEN 'Presencial' ELSE 'Remota' END AS Atencion,
+         'Zona ' || r.r_name AS Zona_sitios,
+         CASE c.c_custkey % 3 WHEN 0 THEN 'Urbana' WHEN 1 THEN 'Rural' END AS Tipo_Zona_FLM,
+         lower(c.c_mktsegment) AS Tipo_Estacion,
+         lpad(CAST(c.c_custkey AS VARCHAR), CAST(greatest(6, length(CAST(c.c_custkey AS VARCHAR))) AS INTEGER), '0') AS ubigeotoa
       FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
       LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
       LEFT JOIN sw ON sw.user_id = c.c_custkey LEFT JOIN tss ON tss.user_id = c.c_custkey),
@@ -162,6 +186,7 @@ w AS (SELECT Number_OS_SIOM,
   {_pivot()}
   FROM ft GROUP BY Number_OS_SIOM),
 x1 AS (SELECT o.*, s.Departamento, s.Provincia, s.SLA, s.Fecha_Fin_Swap, s.Fecha_TSS,
+    s.Nombre_Local_sitios, s.Distrito, s.Tipo_Local, s.Atencion, s.Zona_sitios, s.Tipo_Zona_FLM, s.Tipo_Estacion, s.ubigeotoa,
     CASE WHEN o.Nro_TOA IN (SELECT Nro_TOA FROM conf) THEN 'TEST' ELSE '' END AS TEST,
     CASE WHEN contains(lower(Bucket_Inicial), 'comfica') THEN 'comfica'
          WHEN contains(lower(Bucket_Inicial), 'huawei') THEN 'huawei' ELSE '' END AS Empresa,
@@ -203,10 +228,11 @@ def consolidated_sql() -> str:
 
 def published_sql(as_of: str) -> str:
     h = f"date_diff('microsecond', Creacion_TOA, TIMESTAMP '{as_of}') / 3600000000.0::DOUBLE"
+    columns = ",\n  ".join(f'"{c}"' if c in _TS_COLS else f'{_blanked(c)} AS "{c}"' for c in ALL_COLS)
     return "WITH " + consolidated_ctes() + f""",
 pub AS (SELECT *, CASE WHEN NOT coalesce(Estado_TOA IN ('Completado', 'Cancelado'), false) THEN {h} END AS Semaforo_horas
         FROM cons)
-SELECT ID_TOA, Estado_TOA, Creacion_TOA, Semaforo_horas,
+SELECT {columns}, Semaforo_horas,
   CASE WHEN Semaforo_horas BETWEEN 0.000001 AND 3 THEN 'verde'
        WHEN Semaforo_horas > 3 AND Semaforo_horas <= 6 THEN 'amarillo'
        WHEN Semaforo_horas > 6 THEN 'rojo' ELSE '' END AS Semaforo,
@@ -220,24 +246,23 @@ SELECT ID_TOA, Estado_TOA, Creacion_TOA, Semaforo_horas,
 FROM pub"""
 
 
-_TS_COLS = {"Creacion_TOA", "Cierre_TOA", "Hora_PR_1", "Hora_PR_2", "Hora_PR_3", "Fecha_Fin_Swap", "Fecha_TSS",
+_TS_COLS = {"Creacion_TOA", "Cierre_TOA", "SLA_Inicio", "SLA_Fin", *[f"{n}_PR{i}" for i in (1, 2, 3, 4) for n in ("Inicio", "Fin")], "Hora_PR_1", "Hora_PR_2", "Hora_PR_3", "Fecha_Fin_Swap", "Fecha_TSS",
             "Hora_Creacion_Abastecimiento"}
-_NUM_COLS = {"Tiempo_TOA_Autin", "Rechazos", "Dias_Swap", "Dias_TSS", "Dias_Abastecimiento", "Duracion_Horas"}
+_NUM_COLS = {"Tiempo_TOA_Autin", "Rechazos", "Dias_Swap", "Dias_TSS", "Dias_Abastecimiento", "Duracion_Horas", "Alarmas_Activas"}
+ALL_COLS = list(config.REPORT_COLUMNS.values()) + ["EN_TDE", "en_rango", "Etiqueta"]
+
+
+def _blanked(c: str) -> str:
+    q = f'"{c}"'
+    if c in _NUM_COLS:
+        return f"CASE WHEN {q} IS NULL OR {q} = 0 THEN '' ELSE CAST({q} AS VARCHAR) END"
+    if c in _TS_COLS:
+        return f"CASE WHEN {q} IS NULL THEN '' ELSE CAST({q} AS VARCHAR) END"
+    return f"CASE WHEN {q} IS NULL OR {q} IN ('nan', 'None') THEN '' ELSE {q} END"
 
 
 def vendor_extracts_sql() -> str:
-    cols = [c for c in list(config.REPORT_COLUMNS.values()) + ["EN_TDE", "en_rango", "Etiqueta"]
-            if c not in config.VENDOR_EXTRACT_DROP]
-    exprs = []
-    for c in cols:
-        q = f'"{c}"'
-        if c in _NUM_COLS:
-            e = f"CASE WHEN {q} IS NULL OR {q} = 0 THEN '' ELSE CAST({q} AS VARCHAR) END"
-        elif c in _TS_COLS:
-            e = f"CASE WHEN {q} IS NULL THEN '' ELSE CAST({q} AS VARCHAR) END"
-        else:
-            e = f"CASE WHEN {q} IS NULL OR {q} IN ('nan', 'None') THEN '' ELSE {q} END"
-        exprs.append(f"{e} AS {q}")
+    exprs = [f'{_blanked(c)} AS "{c}"' for c in ALL_COLS if c not in config.VENDOR_EXTRACT_DROP]
     vendors = ", ".join(f"('{v}')" for v in config.VENDORS)
     return ("WITH " + consolidated_ctes() + f""",
 ve AS (SELECT v.vendor, c.* FROM cons c JOIN (VALUES {vendors}) v(vendor) ON contains(lower(c.Bucket), v.vendor))

@@ -94,18 +94,20 @@ def consolidate(orders: DataFrame, tasks: DataFrame, pauses: DataFrame, sites: D
     wide = stage_table(classify_tasks(tasks, pauses), "task_slots").withColumnRenamed("Number_OS_SIOM", "_os")
     x = x.join(wide, F.col("Nro_TOA") == F.col("_os"), "left").drop("_os")
     x = x.withColumn("Tiempo_TOA_Autin", rules.minutes_between(created, "Createtime_1"))
-    # repeat detection on the narrow key columns only, then joined back on the
-    # (unique) order number the wide frame is already partitioned by
-    keys = x.select("Nro_TOA", "Codigo_Unico", "Com_Level_1_Aff_Equip_1", created)
+    # repeat detection on keys from the orders and their slots alone (no site
+    # or test join is evaluated for it), staged as its as-of reads them twice,
+    # then joined back on the (unique) order number
+    keys = (o.select("Nro_TOA", "Codigo_Unico", created)
+            .join(wide.select("_os", "Com_Level_1_Aff_Equip_1"), F.col("Nro_TOA") == F.col("_os"), "left").drop("_os"))
+    keys = stage_table(keys, "repeat_keys")
     rep = repeat.repeat_within(keys, ["Codigo_Unico", "Com_Level_1_Aff_Equip_1"], created, "Nro_TOA",
                                days=config.REPEAT_DAYS).select("Nro_TOA", "Reiteradas", "TOA_Reiterado")
     x = x.join(rep, "Nro_TOA", "left")
-    report = clean.project_as(x, {c: n for c, n in config.REPORT_COLUMNS.items() if c in x.columns})
+    report = clean.project_as(x, config.REPORT_COLUMNS)
     ext = external.select(F.col("activityId").cast("string").alias("_a"), F.col("timeOfBooking").alias("_tb"))
     report = joins.flag_in(report, "ID_TOA", ext, "_a", "EN_TDE")
-    lo = ext.agg(F.min("_tb")).scalar()
-    hi = ext.agg(F.max("_tb")).scalar()
-    report = report.withColumn("en_rango", rules.in_range_flag("Creacion_TOA", lo, hi))
+    bounds = ext.agg(F.struct(F.min("_tb").alias("lo"), F.max("_tb").alias("hi"))).scalar()
+    report = report.withColumn("en_rango", rules.in_range_flag("Creacion_TOA", bounds["lo"], bounds["hi"]))
     return report.withColumn("Etiqueta", rules.status_conflict("Estado_TOA", "Estado_1"))
 
 
@@ -124,16 +126,20 @@ def vendor_extracts(report: DataFrame) -> DataFrame:
 def published_report(report: DataFrame, as_of: Column) -> DataFrame:
     """Age of open work orders as of ``as_of`` with its colour band, and
     the attention flags the workbook highlighted (rejections, recent swap /
-    TSS, paused slots).  Cell colours themselves are presentation."""
+    TSS, paused slots) beside every column of the report, whose placeholders
+    (0, NULL, 'nan', 'None') are blanked but for times, which keep their type.
+    Cell colours themselves are presentation."""
     x = report.withColumn("Semaforo_horas", rules.open_age_hours("Creacion_TOA", "Estado_TOA", as_of))
     x = x.withColumn("Semaforo", rules.age_band("Semaforo_horas"))
-    return x.withColumns({
+    x = x.withColumns({
         "alerta_rechazos": rules.attention_positive("Rechazos"),
         "alerta_swap": rules.attention_below("Dias_Swap"),
         "alerta_tss": rules.attention_below("Dias_TSS"),
         "alerta_pausa": rules.attention_paused("Estado_PR_1") | rules.attention_paused("Estado_PR_2")
         | rules.attention_paused("Estado_PR_3"),
     })
+    times = {f.name for f in report.schema.fields if f.dataType.typeName().startswith("timestamp")}
+    return clean.blank_placeholders(x, [c for c in report.columns if c not in times])
 
 
 # --------------------------------------------------------------------------- W5

@@ -92,7 +92,17 @@ def bucket(priority):
 
 def work_orders(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
-    created = F.timestamp_add("MINUTE", F.col("o_orderkey") % 1440, F.col("o_orderdate"))
+    key = F.col("o_orderkey")
+    created = F.timestamp_add("MINUTE", key % 1440, F.col("o_orderdate"))
+    # an order has up to four pauses of its own, the i-th after i hours
+    own_pauses = []
+    for i in (1, 2, 3, 4):
+        paused = key % 5 >= i
+        own_pauses += [
+            F.when(paused, F.timestamp_add("HOUR", F.lit(i), created)).alias(f"Inicio_PR{i}"),
+            F.when(paused, F.timestamp_add("MINUTE", F.lit(60 * i + 30), created)).alias(f"Fin_PR{i}"),
+            F.when(paused, F.concat(F.lit("Motivo "), ((key + i) % 3).cast("string"))).alias(f"Motivo_PR{i}"),
+        ]
     return o.select(
         toa_number(F.col("o_orderkey")).alias("Nro_TOA"),
         created.alias("Fecha_de_Registro_de_actividad_TOA"),
@@ -107,6 +117,16 @@ def work_orders(spark: SparkSession, d: str) -> DataFrame:
         site_code(F.col("o_custkey")).alias("Código_de_Cliente"),
         bucket(F.col("o_orderpriority")).alias("Bucket_Inicial"),
         order_status(F.col("o_orderstatus")).alias("Estado_TOA"),
+        created.alias("SLA_Inicio"),
+        F.when(F.col("o_orderstatus") != "P", F.timestamp_add("HOUR", key % 48, created)).alias("SLA_Fin"),
+        F.concat(F.lit("-"), (key % 12 + 70).cast("string"), F.lit("."), zero_fill((key % 10000).cast("string"), 4))
+        .alias("Direccion_Polar_X"),
+        F.concat(F.lit("-"), (key % 18).cast("string"), F.lit("."), zero_fill((key % 7919).cast("string"), 4))
+        .alias("Direccion_Polar_Y"),
+        F.concat(F.lit("Local "), F.col("o_custkey").cast("string")).alias("Nombre_Local"),
+        F.lit("Zona de la orden").alias("Zona"),
+        (key % 4).cast("bigint").alias("Alarmas_Activas_Nodo"),
+        *own_pauses,
     )
 
 
@@ -203,7 +223,18 @@ def external_activity(spark: SparkSession, d: str) -> DataFrame:
 
 def sites(spark: SparkSession, d: str) -> DataFrame:
     from fieldops.plans.catalog import sites_table
-    s = sites_table(spark, d).withColumn("Codigo_Unico", site_code(F.col("Codigo_Unico")))
+    key = F.col("Codigo_Unico")
+    s = sites_table(spark, d).withColumns({
+        "Nombre_Local": F.col("c_name"),
+        "Distrito": F.concat(F.lit("Distrito "), (key % 43).cast("string")),
+        "Tipo_Local": F.when(F.col("c_acctbal") < 0, F.lit("Indoor")).otherwise(F.lit("Outdoor")),
+        "Atencion": F.when(key % 2 == 0, F.lit("Presencial")).otherwise(F.lit("Remota")),
+        "Zona": F.concat(F.lit("Zona "), F.col("Departamento")),
+        "Tipo_Zona_FLM": F.when(key % 3 == 0, F.lit("Urbana")).when(key % 3 == 1, F.lit("Rural")),
+        "Tipo_Estacion": F.lower("c_mktsegment"),
+        "ubigeotoa": zero_fill(key.cast("string"), 6),
+    })
+    s = s.withColumn("Codigo_Unico", site_code(key))
     return s.withColumns({"SLA": tier(F.col("c_mktsegment")), "priorizacion": tier(F.col("c_mktsegment")),
                           "Proveedor_FLM": provider(F.col("c_mktsegment"))})
 
