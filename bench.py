@@ -1,8 +1,7 @@
 """Benchmark: every catalogue query at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is built and run once to warm up (JIT, file listing, plan caches),
-then timed ``BENCH_RUNS`` times (default 2; a full pass at sf0.1 takes about
-five minutes) into a ``noop`` sink (the full plan runs, no output is
+then timed ``BENCH_RUNS`` times (default 3) into a ``noop`` sink (the full plan runs, no output is
 written); the median is reported.  Prints one JSON line.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py [query ...]
@@ -31,7 +30,7 @@ def run_once(spark, fn, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or list(QUERIES)
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")),
                           app="fieldops-bench")

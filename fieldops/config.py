@@ -27,6 +27,38 @@ DATETIME_FORMATS = [
     ("%d/%m/%Y %H:%M", "d/M/yyyy H:m"),
 ]
 
+# Feed contracts: columns a work-order file must have (and is cut to), the key
+# columns of the other feeds, and their renames.
+WORK_ORDER_COLUMNS = [
+    "Técnico", "ID Recurso", "Nro TOA", "Subtipo de Actividad", "Número de Petición", "Fecha de Cita", "SLA Inicio", "SLA Fin",
+    "Localidad", "Dirección", "Direccion Polar X", "Direccion Polar Y", "Nombre Cliente", "Hora de asignación de actividad",
+    "Fecha de Registro de actividad TOA", "Notas", "Código de Cliente", "Fecha Hora de Cancelación", "Empresa", "Bucket Inicial",
+    "Usuario - Iniciado", "Nombre Distrito", "Sistema Origen", "ID del Ticket", "Quiebres", "Fecha de Inicio PINT",
+    "Inicio PR1", "Fin PR1", "Fin PR2", "Inicio PR2", "Fin PR3", "Inicio PR3", "Fin PR4", "Inicio PR4",
+    "Motivo PR1", "Motivo PR2", "Motivo PR3", "Motivo PR4", "Nombre Local", "Tipo de local", "Zona geográfica", "Zona", "Estado TOA",
+]
+PAUSE_REQUIRED = ["Order ID"]
+TASK_REQUIRED = ["Task Id"]
+TASK_RENAMES = {"Nro TOA": "Number_OS_SIOM"}
+OLD_STATUS_MARKER = "(antiguo)"
+SITE_KEY = "Codigo Unico"
+SWAP_COLUMNS = ["Codigo Estacion", "Fecha Fin Swap", "Alarmas Activas Nodo"]
+SWAP_RENAMES = {"Codigo Estacion": "Codigo Unico"}
+TSS_RENAMES = {"Customer Site ID": "Codigo Unico"}
+TSS_SUFFIX = "_Swap"
+
+# The incident feed: its headings, the names they get, its dates, the groups kept.
+INCIDENT_HEADINGS = [
+    "ID de la incidencia*+", "Estado*", "Fecha de envío", "Fecha de cierre", "Fecha inicio incidente", "Fecha fin incidente",
+    "Tipo de Afectación", "Resumen*", "Notas", "Grupo asignado*+",
+]
+INCIDENT_COLUMNS = [
+    "ID_incidencia", "Estado", "Fecha_envio", "Fecha_cierre", "Fecha_inicio_incidente", "Fecha_fin_incidente", "Tipo_afectacion",
+    "Resumen", "Notas", "Grupo_asignado",
+]
+INCIDENT_DATES = ["Fecha_envio", "Fecha_cierre", "Fecha_fin_incidente", "Fecha_inicio_incidente"]
+VENDOR_GROUPS = ["FLM COMFICA", "FLM HUAWEI"]
+
 # Output format of timestamps stored as text.
 TS_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -252,3 +284,9 @@ TASK_STATUS_ROLE = {"R": "closed", "A": "completed", "N": "canceled"}
 SEGMENT_TIER_ROLE = {"AUTOMOBILE": "Black", "BUILDING": "Oro", "FURNITURE": "Plata", "HOUSEHOLD": "Clasico"}
 # customer.c_mktsegment -> site provider (null for the rest)
 SEGMENT_PROVIDER_ROLE = {"AUTOMOBILE": "HUAWEI", "BUILDING": "COMFICA", "FURNITURE": "HUAWEI"}
+
+# Date forms of the incident feed (our choice: day-first, and ISO as it stands).
+INCIDENT_DATE_FORMATS = [
+    ("%d/%m/%Y %H:%M:%S", "d/M/yyyy H:m:s"), ("%d/%m/%Y %H:%M", "d/M/yyyy H:m"), ("%d/%m/%Y", "d/M/yyyy"),
+    ("%Y-%m-%d %H:%M:%S", "yyyy-M-d H:m:s"), ("%Y-%m-%d %H:%M", "yyyy-M-d H:m"), ("%Y-%m-%d", "yyyy-M-d"),
+]

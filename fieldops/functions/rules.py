@@ -29,6 +29,14 @@ def icontains(c: Column | str, s: str) -> Column:
     return _true(F.lower(_col(c)).contains(s.lower()))
 
 
+def any_marker(c: Column | str, markers: Sequence[str]) -> Column:
+    """The text contains one of the markers (case matters); NULL -> false."""
+    out = F.lit(False)
+    for m in markers:
+        out = out | _true(_col(c).contains(m))
+    return out
+
+
 def exclude_values(c: Column | str, values: Iterable[str] = config.EXCLUDED_CANCEL_REASONS) -> Column:
     """Predicate keeping rows whose value is not listed; NULL is kept."""
     return ~_true(_col(c).isin(list(values)))

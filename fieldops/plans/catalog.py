@@ -17,7 +17,7 @@ from fieldops import config
 from fieldops.functions import rules
 from fieldops.functions.clean import zero_fill
 from fieldops.operators import joins, repeat, slots, state
-from fieldops.plans import roles
+from fieldops.plans import report_sql, roles
 from fieldops.session import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -1190,6 +1190,90 @@ def q_incremental_ingest(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, root, "events_state").select(*ev.columns)
 
 
+# State builds from landed feeds -----------
+
+@register("landing_ingest", f"""
+SELECT CAST(o_orderkey + {roles.TOA_OFFSET} AS VARCHAR) AS Nro_TOA,
+  CASE WHEN o_orderkey % 7 = 0 THEN 'Suspendido' WHEN o_orderkey % 3 = 0 THEN 'Cancelado'
+       ELSE {_sql_case('o_orderstatus', config.ORDER_STATUS_ROLE)} END AS Estado_TOA,
+  CASE WHEN o_orderkey % 7 = 0 THEN 'Línea "uno", fin' || chr(10) || 'línea dos' ELSE coalesce(text, '') END AS Notas,
+  date_trunc('minute', o_orderdate) AS Creacion, o_orderpriority AS Subtipo,
+  CASE WHEN o_orderkey % 7 = 0 THEN '8.1.d' WHEN o_orderkey % 3 = 0 THEN '2.1.b' ELSE '30.12.a' END AS origen
+FROM orders LEFT JOIN documents ON o_orderkey = doc_id""")
+def q_landing_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """Work orders land as four drops of text files; the first run takes three
+    (one lacks a required column and is skipped), the second the last one."""
+    from fieldops.plans import feeds
+    from fieldops.plans.ingest import ingest
+    from fieldops.session import scratch_path
+    from fieldops.sources.io import list_files
+    base = scratch_path(spark, "landing")
+    drops = feeds.work_order_drops(spark, d, f"{base}/feed")
+    contract = {c.replace(" ", "_"): "TEXT" for c in config.WORK_ORDER_COLUMNS} | {"Fecha_de_Registro_de_actividad_TOA": "DATETIME"}
+    for version, run in enumerate((drops[:3], drops[3:])):
+        files = [f for drop in run for f in list_files(spark, drop)]
+        out, _ = ingest(spark, files, "Nro_TOA", contract, f"{base}/tables", "work_orders", str(version),
+                        required=config.WORK_ORDER_COLUMNS, project=config.WORK_ORDER_COLUMNS, strip_marker=["Estado_TOA"],
+                        source_col="origen")
+    return out.select("Nro_TOA", "Estado_TOA", F.coalesce("Notas", F.lit("")).alias("Notas"),
+                      F.col("Fecha_de_Registro_de_actividad_TOA").alias("Creacion"), F.col("Subtipo_de_Actividad").alias("Subtipo"), "origen")
+
+
+@register("incident_state", """
+WITH x AS (SELECT e.*, text, event_id % 5 = 0 AS again,
+             CASE WHEN event_id % 10 = 0 THEN 'FLM HUAWEI' WHEN event_id % 5 = 0 THEN 'NOC'
+                  WHEN event_id % 4 = 0 THEN 'FLM COMFICA SUR' WHEN event_id % 4 = 1 THEN 'FLM HUAWEI NORTE'
+                  WHEN event_id % 4 = 2 THEN 'TDP CENTRAL' END AS Grupo_asignado
+           FROM events e LEFT JOIN documents ON event_id = doc_id WHERE event_type = 'error')
+SELECT 'INC' || lpad(CAST(event_id AS VARCHAR), CAST(greatest(7, length(CAST(event_id AS VARCHAR))) AS INTEGER), '0') AS ID_incidencia,
+  CASE WHEN again THEN 'Cerrado' ELSE 'Asignado' END AS Estado, strftime(ts, '%Y-%m-%d %H:%M:%S') AS Fecha_envio,
+  CASE WHEN again THEN strftime(ts + INTERVAL 5 HOUR, '%Y-%m-%d %H:%M:%S') END AS Fecha_cierre,
+  strftime(ts - INTERVAL 20 MINUTE, '%Y-%m-%d %H:%M:%S') AS Fecha_inicio_incidente, CAST(NULL AS VARCHAR) AS Fecha_fin_incidente,
+  'Total' AS Tipo_afectacion, 'INC | alarma | nodo' AS Resumen, coalesce(text, 'sin notas') AS Notas, Grupo_asignado
+FROM x WHERE contains(Grupo_asignado, 'FLM COMFICA') OR contains(Grupo_asignado, 'FLM HUAWEI')""")
+def q_incident_state(spark: SparkSession, d: str) -> DataFrame:
+    from fieldops.plans import feeds
+    from fieldops.plans.ingest import incident_state
+    from fieldops.session import scratch_path
+    base = scratch_path(spark, "incidents")
+    files = feeds.incident_files(spark, d, f"{base}/feed")
+    return incident_state(spark, files, f"{base}/tables", "incidents", "0", by_folder=True).select(*config.INCIDENT_COLUMNS)
+
+
+@register("site_state", f"""
+WITH s AS ({SQL_SITES})
+SELECT {{code}} AS Codigo_Unico, c_name AS Nombre_Local, Provincia, Departamento,
+  strftime(Fecha_Fin_Swap, '%Y-%m-%d %H:%M:%S') AS Fecha_Fin_Swap, CAST(value AS DOUBLE) AS Alarmas_Activas_Nodo,
+  strftime(Fecha_TSS, '%Y-%m-%d %H:%M:%S') AS Fecha_TSS
+FROM s""".replace("{code}", report_sql.site_code("Codigo_Unico")))
+def q_site_state(spark: SparkSession, d: str) -> DataFrame:
+    from fieldops.plans import feeds
+    from fieldops.plans.ingest import site_state
+    from fieldops.session import scratch_path
+    base = scratch_path(spark, "sites")
+    files = feeds.site_files(spark, d, f"{base}/feed", sites_table(spark, d))
+    out = site_state(spark, files, f"{base}/tables", "sites", "0")
+    return out.withColumn("Alarmas_Activas_Nodo", F.col("Alarmas_Activas_Nodo").cast("double"))
+
+
+@register("stored_inventory", """
+SELECT 'events' AS table_name, count(*) AS n_rows, count(*) AS n_exported FROM events WHERE event_type <> 'error'
+UNION ALL SELECT 'labels', count(*), count(*) FROM labels
+UNION ALL SELECT 'supplier', count(*), count(*) FROM supplier""")
+def q_stored_inventory(spark: SparkSession, d: str) -> DataFrame:
+    """Three stored tables (one published twice) are inventoried by listing,
+    exported, and the export counted beside them."""
+    from fieldops.session import scratch_path
+    from fieldops.sources import io
+    base = scratch_path(spark, "stored")
+    for name in ("events", "labels", "supplier"):
+        io.write_table(table(spark, d, name), f"{base}/tables", name, "0")
+    io.write_table(io.read_table(spark, f"{base}/tables", "events").where("event_type <> 'error'"), f"{base}/tables", "events", "1")
+    names = io.export_stored(spark, f"{base}/tables", f"{base}/export")
+    exported = io.table_counts(spark, f"{base}/export", names).withColumnRenamed("n_rows", "n_exported")
+    return io.inventory(spark, f"{base}/tables").join(exported, "table_name")
+
+
 def _incident_sql(cutoff: str) -> str:
     from fieldops.plans.report_sql import OFF, consolidated_ctes, site_code
     ws = "'^\\s+|\\s+$', '', 'g'"

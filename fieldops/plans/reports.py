@@ -127,7 +127,7 @@ def published_report(report: DataFrame, as_of: Column) -> DataFrame:
     """Age of open work orders as of ``as_of`` with its colour band, and
     the attention flags the workbook highlighted (rejections, recent swap /
     TSS, paused slots) beside every column of the report, whose placeholders
-    (0, NULL, 'nan', 'None') are blanked but for times, which keep their type.
+    (0, NULL, 'nan', 'None') are blanked but for times, which keep their type; newest orders first (O1).
     Cell colours themselves are presentation."""
     x = report.withColumn("Semaforo_horas", rules.open_age_hours("Creacion_TOA", "Estado_TOA", as_of))
     x = x.withColumn("Semaforo", rules.age_band("Semaforo_horas"))
@@ -139,7 +139,8 @@ def published_report(report: DataFrame, as_of: Column) -> DataFrame:
         | rules.attention_paused("Estado_PR_3"),
     })
     times = {f.name for f in report.schema.fields if f.dataType.typeName().startswith("timestamp")}
-    return clean.blank_placeholders(x, [c for c in report.columns if c not in times])
+    x = clean.blank_placeholders(x, [c for c in report.columns if c not in times])
+    return state.order_out(x, ["Creacion_TOA", "ID_TOA"], [True, True])
 
 
 # --------------------------------------------------------------------------- W5

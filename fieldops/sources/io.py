@@ -5,12 +5,13 @@ S9-S12)."""
 
 from __future__ import annotations
 
+import csv
 import os
 import re
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -21,12 +22,13 @@ FILE_NAME = "_file"
 
 # --------------------------------------------------------------------------- S1 / S12
 
-def read_landing(spark: SparkSession, path: str, fmt: str = "csv", schema: StructType | None = None,
-                 glob: str | None = None, exclude: Sequence[str] = ("_procesado",), options: Mapping | None = None
-                 ) -> DataFrame:
+def read_landing(spark: SparkSession, path: str | Sequence[str], fmt: str = "csv", schema: StructType | None = None,
+                 glob: str | None = None, exclude: Sequence[str] = ("_procesado",), options: Mapping | None = None,
+                 drops: bool = False) -> DataFrame:
     """Read every file of a landing folder, with the source file name
     on each row (``_file``).  ``glob`` narrows by name; names containing any
-    ``exclude`` marker (e.g. already-processed copies) are skipped."""
+    ``exclude`` marker (e.g. already-processed copies) are skipped.  With
+    ``drops``, ``_file`` is the drop's name (see ``drop_name``)."""
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
@@ -41,8 +43,8 @@ def read_landing(spark: SparkSession, path: str, fmt: str = "csv", schema: Struc
         for k, v in defaults.items():
             if k not in (options or {}):
                 reader = reader.option(k, v)
-    df = reader.load(path)
-    df = df.withColumn(FILE_NAME, F.col("_metadata.file_name"))
+    df = reader.load(path if isinstance(path, str) else list(path))
+    df = df.withColumn(FILE_NAME, F.col("_metadata.file_name") if not drops else drop_name())
     for marker in exclude:
         df = df.where(~F.lower(F.col(FILE_NAME)).contains(marker.lower()))
     return df
@@ -68,57 +70,111 @@ def arrival_key(file_name: Column, season_start_month: int = 8, season_start_yea
 
 
 def with_arrival_order(df: DataFrame, file_col: str = FILE_NAME, **kw) -> DataFrame:
-    """Adds ``_arrival`` = dense rank of the file in arrival order.  The
-    ranking runs over the distinct file names only (a handful of rows), then
-    joins back; the data rows are never sorted."""
-    files = df.select(file_col).distinct().withColumn("_key", arrival_key(F.col(file_col), **kw))
-    from pyspark.sql import Window
-    ranked = files.withColumn("_arrival", F.dense_rank().over(Window.orderBy("_key"))).drop("_key")
-    return df.join(ranked, file_col, "left")
+    """Adds ``_arrival``, the arrival key of the row's file (a struct that
+    compares in arrival order).  Nothing is ranked or joined: an ordering takes
+    the key as it is."""
+    return df.withColumn("_arrival", arrival_key(F.col(file_col), **kw))
 
 
 def alphabetical_order(df: DataFrame, file_col: str = FILE_NAME) -> DataFrame:
-    """S2 (incident variant): plain alphabetical rank 1..n of the file names."""
-    from pyspark.sql import Window
-    files = df.select(file_col).distinct()
-    ranked = files.withColumn("_arrival", F.dense_rank().over(Window.orderBy(file_col)))
-    return df.join(ranked, file_col, "left")
+    """S2 (incident variant): ``_arrival`` is the file name, compared as text."""
+    return df.withColumn("_arrival", F.col(file_col))
+
+
+def drop_name() -> Column:
+    """The drop a scanned file belongs to: its folder, if that bears a date
+    ('D.M.'), else the file itself.  Files of one drop arrive together."""
+    folder = folder_name()
+    return F.when(folder.rlike(r"^\d+\.\d+(\.|$)"), folder).otherwise(F.col("_metadata.file_name"))
+
+
+def folder_name() -> Column:
+    """The folder that holds a scanned file."""
+    return F.url_decode(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
 
 
 # --------------------------------------------------------------------------- S3
 
-def validate_contract(spark: SparkSession, files: Iterable[str], required: Sequence[str], fmt: str = "csv",
-                      options: Mapping | None = None):
-    """S3: split feed files into those carrying every required column and the
-    rest.  Only headers are read (schema of each file, no data).  Returns
-    (ok_files, report DataFrame(file, missing))."""
-    ok, report = [], []
-    for f in files:
-        reader = spark.read.format(fmt)
-        for k, v in (options or {"header": "true"}).items():
-            reader = reader.option(k, v)
-        cols = [c.replace(" ", "_") for c in reader.load(f).columns]
-        missing = [c for c in required if c.replace(" ", "_") not in cols]
-        if missing:
-            report.append((os.path.basename(f), ",".join(missing)))
-        else:
-            ok.append(f)
-    rep = spark.createDataFrame(report, "file string, missing string")
-    return ok, rep
+def list_files(spark: SparkSession, root: str, exclude: Sequence[str] = ("_procesado",)) -> list[str]:
+    """The data files below ``root`` (listed through the Hadoop file system),
+    without hidden ones and names that contain an ``exclude`` marker."""
+    fs, to_path = _hadoop(spark, root)
+    found, out = fs.listFiles(to_path(root), True), []
+    while found.hasNext():
+        path = found.next().getPath()
+        name = path.getName()
+        if not name.startswith(("_", ".")) and not any(m.lower() in name.lower() for m in exclude):
+            out.append(path.toString())
+    return sorted(out)
+
+
+def headers(spark: SparkSession, files: Sequence[str], sep: str = ",") -> dict[tuple[str, ...], list[str]]:
+    """Column names of delimited text files -> the files that have them, in one
+    Spark job: the header is the first line of a file's first split, kept by an
+    aggregate that is combined map-side.  A header must be one line.  Files
+    without a line are left out.  One short row per file comes back."""
+    lines = (spark.read.text(list(files)).where(F.col("_metadata.file_block_start") == 0)
+             .select(F.col("_metadata.file_path").alias("f"), "value", F.monotonically_increasing_id().alias("at")))
+    firsts = lines.groupBy("f").agg(F.min_by("value", "at").alias("line")).select(F.url_decode("f").alias("f"), "line").collect()
+    by_path = {_plain(f): f for f in files}
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in sorted(firsts):
+        names = next(csv.reader([r["line"].lstrip("\ufeff").rstrip("\r")], delimiter=sep))
+        out.setdefault(tuple(names), []).append(by_path[_plain(r["f"])])
+    return out
+
+
+def _plain(path: str) -> str:
+    """A path without its scheme's empty authority, for comparing."""
+    return re.sub(r"^file:/+", "/", path)
+
+
+def contract_report(spark: SparkSession, found: Mapping[tuple[str, ...], Sequence[str]], required: Sequence[str],
+                    known: Sequence[str] = ()) -> tuple[dict[tuple[str, ...], list[str]], DataFrame]:
+    """S3 on the result of ``headers``: (the groups that carry every required
+    column, report(file, missing, unknown)).  With ``known`` (the contract's
+    columns), columns that no contract names yet are reported too.  A file that
+    lacks a column is refused; unknown columns alone don't refuse it."""
+    norm = lambda c: c.replace(" ", "_")
+    want, contract = [norm(c) for c in required], {norm(c) for c in [*required, *known]}
+    ok, report = {}, []
+    for names, files in found.items():
+        have = {norm(c) for c in names}
+        missing = [c for c in required if norm(c) not in have]
+        unknown = [c for c in names if norm(c) not in contract] if known else []
+        if missing or unknown:
+            report += [(os.path.basename(f), ",".join(missing), ",".join(unknown)) for f in files]
+        if all(c in have for c in want):
+            ok[names] = list(files)
+    return ok, spark.createDataFrame(sorted(report), "file string, missing string, unknown string")
+
+
+def validate_contract(spark: SparkSession, files: Sequence[str], required: Sequence[str], known: Sequence[str] = ()):
+    """S3: split delimited feed files into those carrying every required column
+    and the rest; only headers are looked at.  Returns (ok_files, report)."""
+    ok, report = contract_report(spark, headers(spark, files), required, known)
+    return [f for group in ok.values() for f in group], report
 
 
 # --------------------------------------------------------------------------- S4
 
-def read_with_banner(spark: SparkSession, path: str, names: Sequence[str], skip: int = 2, sep: str = ",") -> DataFrame:
-    """Text files whose first ``skip`` lines are a banner and the next one a
-    header; columns are renamed by position to ``names``.  Each file is one
-    record (wholetext) split into lines, so the banner is per file."""
-    raw = spark.read.text(path, wholetext=True).withColumn(FILE_NAME, F.col("_metadata.file_name"))
-    lines = raw.select(FILE_NAME, F.posexplode(F.split(F.col("value"), r"\r?\n")).alias("_ln", "_line"))
-    body = lines.where((F.col("_ln") > skip) & (F.length(F.col("_line")) > 0))
-    schema = ", ".join(f"`c{i}` string" for i in range(len(names)))
-    parsed = body.select(FILE_NAME, "_ln", F.from_csv(F.col("_line"), schema, {"sep": sep}).alias("_r"))
-    return parsed.select(FILE_NAME, *[F.col(f"_r.c{i}").alias(n) for i, n in enumerate(names)])
+def read_with_banner(spark: SparkSession, path: str | Sequence[str], names: Sequence[str], skip: int = 2, sep: str = ",",
+                     by_folder: bool = False) -> DataFrame:
+    """Delimited text files whose first ``skip`` lines are a banner and the
+    next one a header; columns are renamed by position to ``names``.  Quoted line
+    breaks stay inside their field.  Lines without text don't count (nor as
+    banner), records with fewer columns are filled with NULL.  ``_file`` is the
+    file's name, or its folder's with ``by_folder``; ``_line`` the record's place.
+
+    A file with quoted line breaks can't be split, so each is read, and its
+    records are counted, by one task: feeds grow by files."""
+    schema = ", ".join(f"`{n}` string" for n in names)
+    raw = (spark.read.schema(schema).option("multiLine", "true").option("escape", '"').option("sep", sep)
+           .option("header", "false").option("enforceSchema", "true").csv(path if isinstance(path, str) else list(path)))
+    rows = raw.select("*", (folder_name() if by_folder else F.col("_metadata.file_name")).alias(FILE_NAME),
+                      F.col("_metadata.file_path").alias("_path"), F.monotonically_increasing_id().alias("_at"))
+    place = F.row_number().over(Window.partitionBy("_path").orderBy("_at"))
+    return rows.withColumn("_line", place.cast("bigint")).where(F.col("_line") > skip + 1).select(FILE_NAME, "_line", *names)
 
 
 # --------------------------------------------------------------------------- S7 / S9 / S10 / S11
@@ -210,6 +266,36 @@ def export_catalog(spark: SparkSession, sf_dir: str, out: str, tables: Sequence[
     return done
 
 
+def stored_tables(spark: SparkSession, root: str) -> list[str]:
+    """Names of the tables published under ``root``, by listing."""
+    fs, to_path = _hadoop(spark, root)
+    if not fs.exists(to_path(root)):
+        return []
+    names = sorted(f.getPath().getName() for f in fs.listStatus(to_path(root)) if f.isDirectory())
+    return [n for n in names if _pointers(spark, root, n)]
+
+
+def inventory(spark: SparkSession, root: str) -> DataFrame:
+    """Every stored table with its row count, as one DataFrame (one job)."""
+    parts = [read_table(spark, root, t).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows")
+             for t in stored_tables(spark, root)]
+    if not parts:
+        return spark.createDataFrame([], "table_name string, n_rows long")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def export_stored(spark: SparkSession, root: str, out: str) -> list[str]:
+    """Export the current version of every stored table, one Parquet
+    folder each, named like the table."""
+    names = stored_tables(spark, root)
+    for t in names:
+        read_table(spark, root, t).write.mode("overwrite").parquet(f"{out.rstrip('/')}/{t}.parquet")
+    return names
+
+
 def table_counts(spark: SparkSession, sf_dir: str, tables: Sequence[str] = TABLES) -> DataFrame:
     """Table inventory with row counts, as one DataFrame (one job)."""
     parts = [table(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("n_rows")).select(

@@ -10,21 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from fieldops.operators.state import upsert
-from fieldops.sources.io import FILE_NAME, arrival_key, read_table, table_exists, write_table
-
-
-def drop_name() -> Column:
-    """The drop a file belongs to: its folder, if that bears a date ('D.M.'),
-    else the file itself.  Files of one drop arrive together."""
-    parts = F.split(F.col("_metadata.file_path"), "/")
-    folder = F.url_decode(F.element_at(parts, -2))
-    return F.when(folder.rlike(r"^\d+\.\d+(\.|$)"), folder).otherwise(F.col("_metadata.file_name"))
+from fieldops.sources.io import FILE_NAME, arrival_key, drop_name, read_table, table_exists, write_table
 
 
 def upsert_batch(batch: DataFrame, epoch_id: int, root: str, name: str, key: Sequence[str],

@@ -22,9 +22,9 @@ def test_landing_scan_arrival_and_provenance(spark):
     assert sorted(r[0] for r in df.select(io.FILE_NAME).distinct().collect()) == [
         "1.2.tickets.csv", "3.9.tickets.csv", "base.csv"]
     ranked = io.with_arrival_order(df)
-    order = {r[0]: r[1] for r in ranked.select(io.FILE_NAME, "_arrival").distinct().collect()}
+    order = [r[0] for r in ranked.select(io.FILE_NAME, "_arrival").distinct().orderBy("_arrival").collect()]
     # undated first; 3 September (2024) before 1 February (2025)
-    assert order == {"base.csv": 1, "3.9.tickets.csv": 2, "1.2.tickets.csv": 3}
+    assert order == ["base.csv", "3.9.tickets.csv", "1.2.tickets.csv"]
     from fieldops.functions.clean import normalize_names
     from fieldops.operators.state import latest_by_key
     latest = latest_by_key(normalize_names(ranked), "Task_Id", ["_arrival"]).orderBy("Task_Id")
@@ -37,12 +37,14 @@ def test_contract_check_and_banner_feed(spark):
     _write(f"{d}/bad.csv", "Task Id,x\n1,2\n")
     ok, rep = io.validate_contract(spark, [f"{d}/good.csv", f"{d}/bad.csv"], ["Task Id", "Nro TOA"])
     assert [os.path.basename(p) for p in ok] == ["good.csv"]
-    assert [tuple(r) for r in rep.collect()] == [("bad.csv", "Nro TOA")]
+    assert [tuple(r) for r in rep.collect()] == [("bad.csv", "Nro TOA", "")]
+    _, rep = io.validate_contract(spark, [f"{d}/good.csv", f"{d}/bad.csv"], ["Task Id"], known=["Nro TOA"])
+    assert [tuple(r) for r in rep.collect()] == [("bad.csv", "", "x")]  # accepted, but no contract knows x
     _write(f"{d}/inc1.txt", "Reporte\nGenerado hoy\nID,Estado\nINC1,Abierto\nINC2,\"Cerrado, ok\"\n\n")
-    _write(f"{d}/inc2.txt", "Reporte\r\nGenerado\r\nID,Estado\r\nINC3,Abierto\r\n")
+    _write(f"{d}/inc2.txt", "Reporte\r\nGenerado\r\nID,Estado\r\nINC3,Abierto\r\nINC4,\"a\nb\"\"c\"\r\n")
     df = io.read_with_banner(spark, f"{d}/inc*.txt", ["ID_incidencia", "Estado"])
     assert sorted((r.ID_incidencia, r.Estado) for r in df.collect()) == [
-        ("INC1", "Abierto"), ("INC2", "Cerrado, ok"), ("INC3", "Abierto")]
+        ("INC1", "Abierto"), ("INC2", "Cerrado, ok"), ("INC3", "Abierto"), ("INC4", 'a\nb"c')]
 
 
 def test_versioned_table_extracts_and_inventory(spark):
@@ -91,10 +93,41 @@ def test_batch_ingest_upserts_by_arrival(spark):
     contract = {"Nro_TOA": "INTEGER", "Estado": "TEXT", "Monto": "REAL"}
     files = [f"{land}/{f}" for f in sorted(os.listdir(land))]
     t1, rep = ingest(spark, files, "Nro_TOA", contract, root, "toa", "0001", required=["Nro TOA"])
-    assert [tuple(r) for r in rep.collect()] == [("bad.csv", "Nro TOA")]
+    assert [tuple(r) for r in rep.collect()] == [("bad.csv", "Nro TOA", "Otra")]
     assert [tuple(r) for r in order_out(t1.select("Nro_TOA", "Estado", "Monto"), ["Nro_TOA"]).collect()] == [
         (1, "Pendiente", 2.5), (2, "Pendiente", 1.0)]
     _write(f"{land}/2.1.toa.csv", "Estado,Nro TOA,Monto\nCompletado,2,3\n")  # other column order
     t2, _ = ingest(spark, [f"{land}/2.1.toa.csv"], "Nro_TOA", contract, root, "toa", "0002", required=["Nro TOA"])
     assert [tuple(r) for r in order_out(t2.select("Nro_TOA", "Estado"), ["Nro_TOA"], [True]).collect()] == [
         (2, "Completado"), (1, "Pendiente")]
+
+
+def test_batch_ingest_rules(spark):
+    """Old-status marker removed (C9), composite key (C12), last row of a drop wins,
+    quoted line breaks kept, renames and projection applied, the drop recorded (S12)."""
+    from fieldops import config
+    from fieldops.plans.ingest import ingest
+    d = tempfile.mkdtemp(prefix="fieldops-rules-")
+    os.makedirs(f"{d}/1.9.x")
+    _write(f"{d}/1.9.x/a.csv", 'Order ID,Operation Time,Estado,Nro TOA,Nota\n7,t1,"Pendiente (antiguo)",5,"uno\ndos"\n7,t1,Suspendido,6,"a ""b"""\n7,t2,Pendiente (antiguo),8,\n')
+    contract = {"Order_ID": "TEXT", "Operation_Time": "TEXT", "Estado": "TEXT", "Number_OS_SIOM": "INTEGER", "Nota": "TEXT"}
+    out, rep = ingest(spark, [f"{d}/1.9.x/a.csv"], "Index", contract, f"{d}/t", "pausas", "0", required=config.PAUSE_REQUIRED,
+                      rename=config.TASK_RENAMES, strip_marker=["Estado"], make_key=["Order_ID", "Operation_Time"], source_col="origen")
+    assert rep.isEmpty()
+    got = sorted(tuple(r) for r in out.select("Index", "Estado", "Number_OS_SIOM", "Nota", "origen").collect())
+    assert got == [("7_t1", "Suspendido", 6, 'a "b"', "1.9.x"), ("7_t2", "Pendiente", 8, None, "1.9.x")]
+
+
+def test_incident_state_judges_the_latest_row(spark):
+    from fieldops.plans.ingest import incident_state
+    d = tempfile.mkdtemp(prefix="fieldops-inc-")
+    head = "x\ny\nh1,h2,h3,h4,h5,h6,h7,h8,h9,h10\n"
+    row = lambda i, date, group: f'{i},E,{date},,2024-09-05 10:00:00,,T,R,"n\nm",{group}\n'
+    _write(f"{d}/a.txt", head + row("I1", "05/09/2024 10:00:00", "FLM COMFICA") + row("I2", "31/12/2024 09:05", "FLM HUAWEI x") + row("I4", "", ""))
+    _write(f"{d}/b.txt", head + row("I1", "06/09/2024 10:00:00", "NOC") + row("I3", "nada", "flm huawei") + row("I3", "2024-02-03 01:02:03", "FLM HUAWEI"))
+    out = incident_state(spark, f"{d}/*.txt", f"{d}/t", "inc", "0")
+    got = sorted(tuple(r) for r in out.select("ID_incidencia", "Fecha_envio", "Fecha_inicio_incidente", "Notas").collect())
+    assert got == [("I2", "2024-12-31 09:05:00", "2024-09-05 10:00:00", "n\nm"), ("I3", "2024-02-03 01:02:03", "2024-09-05 10:00:00", "n\nm")]
+    _write(f"{d}/c.txt", head + row("I2", "", "NOC"))
+    out = incident_state(spark, f"{d}/c.txt", f"{d}/t", "inc", "1")
+    assert [r.ID_incidencia for r in out.collect()] == ["I3"]
