@@ -53,6 +53,14 @@ def pattern_shape(pattern: str) -> str:
     return "^" + "".join(out) + "$"
 
 
+def wall_clock(s: Column, pattern: str) -> Column:
+    """Text -> TIMESTAMP_NTZ by one pattern, NULL where it doesn't parse.  The
+    text is read as UTC and never passes through the session's zone, whose
+    clock changes would move it."""
+    instant = F.try_to_timestamp(F.concat(s, F.lit(" Z")), F.lit(pattern + " X"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
 def parse_ts(c: Column | str, formats: Iterable[tuple[str, str]] = config.DATETIME_FORMATS) -> Column:
     """Trim, then the first format that parses wins; otherwise NULL.
 
@@ -64,7 +72,7 @@ def parse_ts(c: Column | str, formats: Iterable[tuple[str, str]] = config.DATETI
     s = strip(raw)
     tries = []
     for _py, pattern in formats:
-        parsed = F.try_to_timestamp(s, F.lit(pattern)).cast("timestamp_ntz")
+        parsed = wall_clock(s, pattern)
         if "yyyy" not in pattern and "yy" in pattern:
             parsed = F.when(F.year(parsed) >= 2069, F.timestamp_add("YEAR", F.lit(-100), parsed)).otherwise(parsed)
         tries.append(F.when(s.rlike(pattern_shape(pattern)), parsed))
@@ -72,8 +80,9 @@ def parse_ts(c: Column | str, formats: Iterable[tuple[str, str]] = config.DATETI
 
 
 def fmt_ts(c: Column | str) -> Column:
-    """Timestamp -> 'yyyy-MM-dd HH:mm:ss' text, NULL stays NULL."""
-    return F.date_format(_col(c), config.TS_TEXT_FORMAT)
+    """Timestamp -> 'yyyy-MM-dd HH:mm:ss' text, NULL stays NULL.  (The text
+    form of a TIMESTAMP_NTZ without its fraction; no zone takes part.)"""
+    return F.substring_index(_col(c).cast("timestamp_ntz").cast("string"), ".", 1)
 
 
 def to_double(c: Column | str) -> Column:
@@ -100,7 +109,7 @@ def cast_to(c: Column | str, kind: str) -> Column:
     if kind == "TEXT":
         return c.cast("string")
     if kind == "DATE":
-        return F.to_date(parse_date_text(c))
+        return parse_date_text(c).cast("date")
     if kind == "DATETIME":
         return parse_ts(c)
     raise ValueError(f"unknown contract type {kind}")
@@ -109,7 +118,7 @@ def cast_to(c: Column | str, kind: str) -> Column:
 def parse_date_text(c: Column) -> Column:
     """DATE contract: ISO date (optionally with a time part) -> DATE, else NULL."""
     s = strip(c.cast("string"))
-    return F.coalesce(*[F.when(s.rlike(pattern_shape(p)), F.try_to_timestamp(s, F.lit(p)))
+    return F.coalesce(*[F.when(s.rlike(pattern_shape(p)), wall_clock(s, p))
                         for p in ("yyyy-M-d H:m:s", "yyyy-M-d")])
 
 

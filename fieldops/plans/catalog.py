@@ -1278,11 +1278,11 @@ def _incident_sql(cutoff: str) -> str:
     from fieldops.plans.report_sql import OFF, consolidated_ctes, site_code
     ws = "'^\\s+|\\s+$', '', 'g'"
     ac = "(contains({x}, 'ac') AND (contains({x}, 'failure') OR contains({x}, 'fallo') OR contains({x}, 'falla')))"
-    obs = ["Arrive_Time", "Com_Fault_Speciality", "Com_Fault_Sub_Speciality", "Leave_Observations",
+    obs = ["Arrive_Time", "Com_Fault_Speciality", "Com_Fault_Sub_Speciality", "Com_Fault_Cause", "Leave_Observations",
            "Detalle_de_actuación_realizada"]
     slot_dims = []
     for i in (1, 2, 3):
-        slot_dims.append(f"d{i}.Cancel_Time AS Cancel_Time_{i}")
+        slot_dims += [f"d{i}.{c} AS {c}_{i}" for c in ("Complete_Time", "Cancel_Time")]
         slot_dims += [f'd{i}."{c}" AS "{c}_{i}"' for c in obs]
     dim_cols = ", ".join(f"""CASE WHEN contains(Task_Id, 'CM') THEN "{c}" END AS "{c}" """ for c in obs)
     hours = [f"Tiempo_cancelacion_Autin_{i}" for i in (1, 2, 3)] + ["Tiempo_cancelacion_TOA"]
@@ -1304,9 +1304,14 @@ inc0 AS (SELECT
               CASE WHEN event_id % 3 = 1 THEN 'TOA: ' || CAST(event_id + {OFF} AS VARCHAR) END,
               'Sitio ' || {site_code('coalesce(o_custkey, user_id)')},
               CASE WHEN event_id % 7 = 0 THEN 'Circuito: 123' END) AS Notas,
-    user_id
+    user_id, event_id % 5 = 0 AS _shut,
+    CASE WHEN event_id % 2 = 0 THEN 'Total' ELSE 'Parcial' END AS Tipo_afectacion,
+    CASE WHEN event_id % 2 = 0 THEN 'FLM COMFICA' ELSE 'FLM HUAWEI' END AS Grupo_asignado
   FROM ev),
-inc AS (SELECT *, Fecha_inicio_incidente + INTERVAL 20 MINUTE AS Fecha_envio FROM inc0
+inc AS (SELECT * EXCLUDE (_shut), Fecha_inicio_incidente + INTERVAL 20 MINUTE AS Fecha_envio,
+          CASE WHEN _shut THEN 'Cerrado' ELSE 'Asignado' END AS Estado,
+          CASE WHEN _shut THEN Fecha_inicio_incidente + INTERVAL 9 HOUR END AS Fecha_cierre,
+          CASE WHEN _shut THEN Fecha_inicio_incidente + INTERVAL 8 HOUR END AS Fecha_fin_incidente FROM inc0
         WHERE Fecha_inicio_incidente >= TIMESTAMP '{cutoff}'),
 icat AS (SELECT lower(trim(lower(p_name))) AS k, min(p_type) AS tipo FROM part GROUP BY 1),
 ia AS (SELECT inc.*, lower(nullif(regexp_extract(Resumen, '\\|([^|]+)', 1), '')) AS seg FROM inc),
@@ -1320,7 +1325,8 @@ id AS (SELECT ic.* EXCLUDE (al), CASE WHEN al = '' THEN 'alarma no identificada'
        FROM ic LEFT JOIN icat ON ic.al = icat.k),
 isites AS (SELECT {site_code('c.c_custkey')} AS code,
              {_sql_case('c.c_mktsegment', config.SEGMENT_PROVIDER_ROLE)} AS Proveedor_FLM,
-             {_sql_case('c.c_mktsegment', config.SEGMENT_TIER_ROLE)} AS priorizacion, sw.Fecha_Fin_Swap
+             {_sql_case('c.c_mktsegment', config.SEGMENT_TIER_ROLE)} AS priorizacion, sw.Fecha_Fin_Swap,
+             lower(c.c_mktsegment) AS Tipo_Estacion
            FROM customer c LEFT JOIN sw ON sw.user_id = c.c_custkey),
 icodes AS (SELECT ID_incidencia, list_filter(regexp_extract_all(Notas, '[A-Z]{{2}}[0-9]{{5}}'),
                                              lambda c: NOT (c[1:2] IN ('NC', 'CD', 'CR'))) AS codes FROM id),
@@ -1348,7 +1354,8 @@ j2 AS (SELECT j1.*, b2.Nro_TOA AS b_nro, b2.ID_del_Ticket AS b_tk, b2."Número_d
          b2."Código_de_Cliente" AS b_cc, b2."Fecha_Hora_de_Cancelación" AS b_fc, b2.Estado_TOA AS b_st
        FROM j1 LEFT JOIN b2
          ON (CASE WHEN NOT hit1 AND TOA_notas <> 'sin TOA en notas' THEN TOA_notas END) = b2.Nro_TOA),
-nx0 AS (SELECT ID_incidencia, Fecha_inicio_incidente, Fecha_envio, Resumen, Notas, user_id, Alarma, Tipo, TOA_notas, corp,
+nx0 AS (SELECT ID_incidencia, Fecha_inicio_incidente, Fecha_envio, Resumen, Notas, user_id, Estado, Fecha_cierre, Fecha_fin_incidente,
+         Tipo_afectacion, Grupo_asignado, Alarma, Tipo, TOA_notas, corp,
          CASE WHEN hit1 THEN a_nro ELSE b_nro END AS Nro_TOA,
          CASE WHEN hit1 THEN a_tk ELSE b_tk END AS ID_del_Ticket,
          CASE WHEN hit1 THEN a_pet ELSE b_pet END AS "Número_de_Petición",
@@ -1360,7 +1367,8 @@ nx0 AS (SELECT ID_incidencia, Fecha_inicio_incidente, Fecha_envio, Resumen, Nota
          ID_Sitio AS _site0
        FROM j2),
 nx1 AS (SELECT nx0.* EXCLUDE (_site0), coalesce(_site0, "Código_de_Cliente") AS ID_Sitio FROM nx0),
-nx2 AS (SELECT nx1.*, ID_incidencia || '|' || coalesce(Nro_TOA, '') AS _rk, s.Proveedor_FLM, s.priorizacion, s.Fecha_Fin_Swap,
+nx2 AS (SELECT nx1.*, ID_incidencia || '|' || coalesce(Nro_TOA, '') AS _rk, s.Proveedor_FLM, s.priorizacion, s.Tipo_Estacion,
+         s.Fecha_Fin_Swap,
          CASE WHEN NOT coalesce(s.Proveedor_FLM IN ('HUAWEI', 'COMFICA'), false) AND nx1.ID_Sitio IS NOT NULL
                    AND (CASE WHEN corp THEN 'Caso Empresa' WHEN Nro_TOA IS NOT NULL THEN 'Si tiene TOA'
                              ELSE 'TOA no identificado' END) <> 'Si tiene TOA'
@@ -1391,7 +1399,7 @@ sl AS (SELECT snro, i1 AS Autin_ID_1, CASE WHEN k2 THEN (CASE WHEN NOT k3 THEN i
          m1 AS Motivo_Cancel_1, CASE WHEN k2 THEN (CASE WHEN NOT k3 THEN m3c END) ELSE m2c END AS Motivo_Cancel_2,
          CASE WHEN k2 OR k3 THEN NULL ELSE m3c END AS Motivo_Cancel_3
        FROM sl1),
-dim AS (SELECT Task_Id, Cancel_Time, {dim_cols} FROM t),
+dim AS (SELECT Task_Id, Complete_Time, Cancel_Time, {dim_cols} FROM t),
 nx3 AS (SELECT nx2.*, cw.* EXCLUDE (_rk), sl.* EXCLUDE (snro), {", ".join(slot_dims)},
          {SQL_TARGET} AS Tiempo_de_Contencion
        FROM nx2 LEFT JOIN cw ON nx2._rk = cw._rk LEFT JOIN sl ON nx2.Nro_TOA = sl.snro

@@ -142,6 +142,7 @@ t0 AS (SELECT Task_Id,
     CASE WHEN l_tax > 0.02 THEN ct + INTERVAL 90 MINUTE END AS Arrive_Time,
     CASE WHEN l_linestatus = 'F' THEN 'ENERGIA' ELSE 'TRANSMISION' END AS Com_Fault_Speciality,
     CASE WHEN l_quantity > 25 THEN 'Falla AC' ELSE 'DC' END AS Com_Fault_Sub_Speciality,
+    CASE WHEN l_partkey % 5 > 0 THEN 'Causa ' || CAST(l_partkey % 5 AS VARCHAR) END AS Com_Fault_Cause,
     {PHRASES}[l_partkey % 8 + 1] AS Leave_Observations,
     {PHRASES}[l_suppkey % 8 + 1] AS "Detalle_de_actuación_realizada",
     row_number() OVER (PARTITION BY Task_Id ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC,

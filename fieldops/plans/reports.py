@@ -163,13 +163,13 @@ def incident_report(incidents: DataFrame, orders: DataFrame, tasks: DataFrame, s
     with SLA bands, cancellation timing, swap relation, supply tasks and
     text-derived action flags.
 
-    incidents: ID_incidencia, Fecha_envio, Fecha_inicio_incidente, Resumen, Notas.
+    incidents: ID_incidencia, Fecha_envio, Fecha_inicio_incidente, Resumen, Notas; others pass.
     orders: Nro_TOA, ID_del_Ticket, Número_de_Petición, Fecha_de_Registro_de_actividad_TOA,
     Código_de_Cliente, Fecha_Hora_de_Cancelación, Estado_TOA.
     tasks: Task_Id, Task_Category, Createtime, Task_Status, Site_Id, Cancel_Time,
-    Arrive_Time, Com_Fault_Speciality, Com_Fault_Sub_Speciality, Leave_Observations,
-    Detalle_de_actuación_realizada.
-    sites: Codigo_Unico, Proveedor_FLM, priorizacion, Fecha_Fin_Swap.
+    Complete_Time, Arrive_Time, Com_Fault_Speciality, Com_Fault_Sub_Speciality, Com_Fault_Cause,
+    Leave_Observations, Detalle_de_actuación_realizada.
+    sites: Codigo_Unico, Proveedor_FLM, priorizacion, Tipo_Estacion, Fecha_Fin_Swap.
     alarms: Alarma, Tipo.  report: the consolidated report, or just its slot
     columns (``task_slots``)."""
     created = "Fecha_de_Registro_de_actividad_TOA"
@@ -197,7 +197,7 @@ def incident_report(incidents: DataFrame, orders: DataFrame, tasks: DataFrame, s
     # a recomputed partition gets the same keys
     x = x.withColumn("_rk", F.concat_ws("|", F.col("ID_incidencia"), F.coalesce(F.col("Nro_TOA"), F.lit(""))))
     st = sites.select(F.col("Codigo_Unico").cast("string").alias("ID_Sitio"), "Proveedor_FLM", "priorizacion",
-                      "Fecha_Fin_Swap")
+                      "Tipo_Estacion", "Fecha_Fin_Swap")
     x = x.join(st, "ID_Sitio", "left")
     x = x.withColumn("Razones_Sin_TOA", rules.no_order_reason("_corp", "Nro_TOA", "Proveedor_FLM", "ID_Sitio"))
     # matched incidents are read by the candidate search, the slot lookups and
@@ -227,14 +227,14 @@ def incident_report(incidents: DataFrame, orders: DataFrame, tasks: DataFrame, s
     sl = slots.compact_slots(sl, ["Autin_ID_1", "Autin_ID_2", "Autin_ID_3"],
                              [["Estado_1", "Estado_2", "Estado_3"], ["Motivo_Cancel_1", "Motivo_Cancel_2", "Motivo_Cancel_3"]])
     x = x.join(sl, "Nro_TOA", "left")
-    # one lookup of the task table for all three slots: cancel time from every
+    # one lookup of the task table for all three slots: both end times from every
     # task, field observations only from corrective (CM) tasks
-    obs_cols = ["Arrive_Time", "Com_Fault_Speciality", "Com_Fault_Sub_Speciality", "Leave_Observations",
+    obs_cols = ["Arrive_Time", "Com_Fault_Speciality", "Com_Fault_Sub_Speciality", "Com_Fault_Cause", "Leave_Observations",
                 "Detalle_de_actuación_realizada"]
     is_cm = F.coalesce(F.col("Task_Id").contains("CM"), F.lit(False))
-    dim = tasks.select("Task_Id", "Cancel_Time", *[F.when(is_cm, F.col(c)).alias(c) for c in obs_cols])
+    dim = tasks.select("Task_Id", "Complete_Time", "Cancel_Time", *[F.when(is_cm, F.col(c)).alias(c) for c in obs_cols])
     x = slots.join_slots(x, "_rk", ["Autin_ID_1", "Autin_ID_2", "Autin_ID_3"], dim, "Task_Id",
-                         ["Cancel_Time", *obs_cols])
+                         ["Complete_Time", "Cancel_Time", *obs_cols])
     start = "Fecha_inicio_incidente"
     hours = [f"Tiempo_cancelacion_Autin_{i}" for i in (1, 2, 3)] + ["Tiempo_cancelacion_TOA"]
     x = x.withColumns({

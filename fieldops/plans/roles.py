@@ -173,6 +173,7 @@ def tasks(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("l_tax") > 0.02, F.timestamp_add("MINUTE", F.lit(90), created)).alias("Arrive_Time"),
         F.when(F.col("l_linestatus") == "F", F.lit("ENERGIA")).otherwise(F.lit("TRANSMISION")).alias("Com_Fault_Speciality"),
         F.when(F.col("l_quantity") > 25, F.lit("Falla AC")).otherwise(F.lit("DC")).alias("Com_Fault_Sub_Speciality"),
+        F.when(F.col("l_partkey") % 5 > 0, F.concat(F.lit("Causa "), (F.col("l_partkey") % 5).cast("string"))).alias("Com_Fault_Cause"),
         F.element_at(phrases, (F.col("l_partkey") % 8 + 1).cast("int")).alias("Leave_Observations"),
         F.element_at(phrases, (F.col("l_suppkey") % 8 + 1).cast("int")).alias("Detalle_de_actuación_realizada"),
     )
@@ -265,7 +266,12 @@ def incident_feed(spark: SparkSession, d: str) -> DataFrame:
         .otherwise(F.concat(F.lit("R"), k.cast("string"))).alias("ID_incidencia"),
         start.alias("Fecha_inicio_incidente"),
         F.timestamp_add("MINUTE", F.lit(20), start).alias("Fecha_envio"),
-        resumen.alias("Resumen"), notas.alias("Notas"), F.col("user_id"))
+        resumen.alias("Resumen"), notas.alias("Notas"), F.col("user_id"),
+        F.when(k % 5 == 0, F.lit("Cerrado")).otherwise(F.lit("Asignado")).alias("Estado"),
+        F.when(k % 5 == 0, F.timestamp_add("HOUR", F.lit(9), start)).alias("Fecha_cierre"),
+        F.when(k % 5 == 0, F.timestamp_add("HOUR", F.lit(8), start)).alias("Fecha_fin_incidente"),
+        F.when(k % 2 == 0, F.lit("Total")).otherwise(F.lit("Parcial")).alias("Tipo_afectacion"),
+        F.when(k % 2 == 0, F.lit("FLM COMFICA")).otherwise(F.lit("FLM HUAWEI")).alias("Grupo_asignado"))
 
 
 def alarm_catalogue(spark: SparkSession, d: str) -> DataFrame:

@@ -67,3 +67,16 @@ def test_contract_and_names(spark):
     out = clean.apply_contract(df, {"a_b": "INTEGER", "c": "TEXT", "d": "DATE", "e": "DATETIME"}).collect()[0]
     assert tuple(out) == (2, "x", dt.date(2024, 5, 1), dt.datetime(2025, 2, 3))
     assert clean.drop_if(df, ["zz", "c"]).columns == ["a_b", "d", "e"]
+
+
+def test_dates_ignore_the_session_zone(spark):
+    """A time inside a spring-forward gap stays what the text says, in any session zone (C1, C6, DATE)."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([("2024-03-10 02:30:00", "10/03/24 2:30 AM")], "a string, b string")
+        got = df.select(clean.fmt_ts(clean.parse_ts("a")), clean.fmt_ts(clean.parse_ts("b")), clean.parse_ts("a").cast("string"),
+                        clean.cast_to("a", "DATE").cast("string")).first()
+        assert tuple(got) == ("2024-03-10 02:30:00", "2024-03-10 02:30:00", "2024-03-10 02:30:00", "2024-03-10")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
