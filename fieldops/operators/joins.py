@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldops.functions.rules import micros_between
+from fieldops.sources.io import stage_table
 
 
 def _cols(cs: Sequence[str] | str) -> list[str]:
@@ -205,17 +206,37 @@ def interval_candidates(left: DataFrame, right: DataFrame, by: Sequence[str] | s
     [left_ts - before, left_ts + after] (inclusive) on the same key, as
     columns ``{prefix}_{col}_{i}``.  All left rows are kept.
 
-    ``row_number() <= k`` gets a partial WindowGroupLimit before the shuffle,
-    so at most k rows per left row and map partition move."""
+    No pairs are formed: every right row carries itself and its next ``k - 1``
+    rows (from its (key, bucket) window, and across its end from the heads of
+    the buckets that follow), a forward as-of finds the first right row from
+    the window's start on, and what lies beyond its end is cut off.  So the work
+    is linear in both sides, however dense a key is."""
     by = _cols(by)
     pay = list(dict.fromkeys([right_id, *payload]))
-    pairs = _range_pairs(left, right, by, left_id, left_ts, right_ts, -before_micros, after_micros, pay)
-    w = Window.partitionBy("_lid").orderBy(F.col("_rts"), F.col(f"_p_{right_id}"))
-    from fieldops.operators.slots import pivot_slots
-    top = pairs.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k)
-    top = top.select("_lid", "_rk", *[F.col(f"_p_{c}").alias(f"{prefix}_{c}") for c in pay])
-    wide = pivot_slots(top, "_lid", "_rk", [f"{prefix}_{c}" for c in pay], k=k)
-    return left.join(wide, F.col(left_id) == F.col("_lid"), "left").drop("_lid")
+    known = F.col(right_ts).isNotNull()
+    for c in by:
+        known = known & F.col(c).isNotNull()
+    r = right.where(known).select(
+        *[F.col(c).alias(c) for c in by], F.col(right_ts).alias("_rts"), _bucket(F.col(right_ts), max(before_micros + after_micros, 1)).alias("_b"),
+        F.struct(F.col(right_ts).alias("t"), F.col(right_id).alias("i"), *[F.col(c).alias(f"p_{c}") for c in pay]).alias("_row"))
+    inside = Window.partitionBy(*by, "_b").orderBy("_row.t", "_row.i")
+    r = r.withColumns({"_own": F.collect_list("_row").over(inside.rowsBetween(0, k - 1)), "_place": -F.row_number().over(inside)})
+    heads = r.where(F.col("_place") == -1).select(*by, "_b", "_own")
+    later = Window.partitionBy(*by).orderBy("_b")
+    following = [F.coalesce(F.lead("_own", i).over(later), F.expr("filter(_own, x -> false)")) for i in range(1, k)]
+    if following:
+        heads = heads.select(*by, "_b", F.slice(F.concat(*following), 1, k - 1).alias("_carry"))
+        r = r.join(heads, [*by, "_b"]).withColumn("_next", F.slice(F.concat("_own", "_carry"), 1, k))
+    else:
+        r = r.withColumn("_next", F.col("_own"))
+    r = stage_table(r.drop("_row", "_own", "_b", *(["_carry"] if following else [])), "interval_rows")  # the as-of reads it twice
+    start = F.timestamp_add("MICROSECOND", F.lit(-before_micros), F.col(left_ts))
+    x = asof_join(left.withColumn("_start", start), r, by, "_start", "_rts", ["_next"], right_tiebreak=["_place"], strict=False,
+                  bucket_micros=max(before_micros + after_micros, 1), forward=True)
+    end = F.timestamp_add("MICROSECOND", F.lit(after_micros), F.col(left_ts))
+    x = x.withColumn("_next", F.filter("_next", lambda row: row["t"] <= end))
+    return x.select(*[F.col(f"`{c}`") for c in left.columns],
+                    *[F.get("_next", F.lit(i - 1))[f"p_{c}"].alias(f"{prefix}_{c}_{i}") for i in range(1, k + 1) for c in pay])
 
 
 def interval_collect(left: DataFrame, right: DataFrame, by: Sequence[str] | str, left_id: str, left_ts: str,

@@ -122,3 +122,26 @@ def test_join_helpers(spark):
     assert sorted(r.k or 0 for r in a.collect()) == [0, 2]
     f = joins.flag_in(left, "k", right, "k", "hit").orderBy("v")
     assert [r.hit for r in f.collect()] == ["SI", "NO", "NO"]
+
+
+def test_interval_candidates_equal_brute_force_on_a_dense_site(spark):
+    """Half of the rows at one site, ties in time, windows over bucket edges, null keys and times, k of 1 to 3."""
+    import datetime as dt
+    import random
+
+    from fieldops.operators.joins import interval_candidates
+    rng = random.Random(5)
+    at = lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
+    site = lambda i: None if i % 29 == 0 else "S0" if i % 2 else f"S{i % 7}"
+    left = [(i, site(i), None if i % 31 == 0 else at(rng.randrange(0, 6000))) for i in range(300)]
+    right = [(f"r{i:03d}", site(i), None if i % 37 == 0 else at(rng.randrange(0, 600) * 10), i * 2) for i in range(400)]
+    l = spark.createDataFrame(left, "id long, site string, ts timestamp_ntz")
+    r = spark.createDataFrame(right, "rid string, site string, rts timestamp_ntz, v long")
+    six, two = dt.timedelta(hours=6), dt.timedelta(hours=2)
+    for k in (1, 2, 3):
+        out = interval_candidates(l, r, "site", "id", "ts", "rts", 6 * 3_600_000_000, 2 * 3_600_000_000, "rid", ["v"], k=k)
+        got = {x["id"]: [(x[f"cand_rid_{i}"], x[f"cand_v_{i}"]) for i in range(1, k + 1)] for x in out.collect()}
+        assert len(got) == len(left)
+        for i, s, t in left:
+            near = sorted((x[2], x[0], x[3]) for x in right if s and x[1] == s and t and x[2] and t - six <= x[2] <= t + two)[:k]
+            assert got[i] == [(n[1], n[2]) for n in near] + [(None, None)] * (k - len(near)), i
