@@ -229,9 +229,12 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_
     smallest id stays (one row, should rows share it), and every row without an
     id or without words."""
     gone = near_classes(docs, k, percent, id_col, text).where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_m_id")).distinct()
-    left = docs.join(gone, F.col(id_col) == F.col("_m_id"), "left_anti")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    named = docs.where(F.col(id_col).isNotNull()).join(gone, F.col(id_col) == F.col("_m_id"), "left_anti")
+    # one row of an id: the limit on the rank works before the shuffle too
     turn = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(text)))
-    return left.withColumn("_m_turn", turn).where(F.col(id_col).isNull() | (F.col("_m_turn") == 1)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    one = named.withColumn("_m_turn", turn).where(F.col("_m_turn") == 1)
+    return docs.where(F.col(id_col).isNull()).select(*columns).unionAll(one.select(*columns))
 
 
 def op7_tensor_minhash(spark, sf_dir: str) -> DataFrame:
