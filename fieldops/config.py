@@ -155,7 +155,7 @@ RX_ALARM_IN_NOTES = r"Alarma: ([^\n]*?)\n"
 RX_SITE_CODE = r"((?!NC|CD|CR)[A-Z]{2}\d{5})"
 RX_CORPORATE = r"CD\d{6}|CR\d{5}|Circuito:|CIRCUITO:"
 RX_ORDER_IN_NOTES = r"(?i)(?:TOA:|SIOM:)([^\n]*?)(?:\n|$)"
-RX_ORDER_DIGITS = r"(\d{8})"
+ORDER_DIGITS = (8, 8)  # least and greatest length of an order number in the reference's feed
 RX_INCIDENT_ID = r"^INC\d{7}"
 RX_PETITION_SUFFIX = r"-\d{2}$"
 

@@ -224,6 +224,6 @@ def blank_placeholders(df: DataFrame, cols: Iterable[str] | None = None) -> Data
     return df.select(*out)
 
 
-def fixed_length(c: Column | str, n: int = 8) -> Column:
-    """Predicate, text has exactly ``n`` characters."""
-    return F.length(_col(c)) == n
+def fixed_length(c: Column | str, n: int = 8, most: int | None = None) -> Column:
+    """Predicate, text has exactly ``n`` characters (``n`` to ``most`` where that is given)."""
+    return F.length(_col(c)).between(n, n if most is None else most)

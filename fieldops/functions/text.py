@@ -78,12 +78,13 @@ def corporate_case(notes: Column | str) -> Column:
     return F.coalesce(_col(notes).rlike(config.RX_CORPORATE), F.lit(False))
 
 
-def order_in_notes(notes: Column | str) -> Column:
-    """First 8 digits after 'TOA:'/'SIOM:' (any case) on that line, else
-    the 'not in notes' label."""
+def order_in_notes(notes: Column | str, digits: tuple[int, int] = config.ORDER_DIGITS) -> Column:
+    """First order number (least and greatest count of ``digits``; 8 in the
+    reference's feed) after 'TOA:'/'SIOM:' (any case) on that line, else the
+    'not in notes' label."""
     line = strip(F.regexp_extract(_col(notes), config.RX_ORDER_IN_NOTES, 1))
-    digits = F.nullif(F.regexp_extract(line, config.RX_ORDER_DIGITS, 1), F.lit(""))
-    return F.coalesce(digits, F.lit(config.L_NO_ORDER_IN_NOTES))
+    number = F.nullif(F.regexp_extract(line, r"(\d{%d,%d})" % digits, 1), F.lit(""))
+    return F.coalesce(number, F.lit(config.L_NO_ORDER_IN_NOTES))
 
 
 def detect(text: Column | str, negation: str | None, verb: str, noun: str, noun_literal: str | None = None) -> Column:

@@ -1127,7 +1127,7 @@ def consolidated(spark: SparkSession, d: str) -> DataFrame:
     from fieldops.plans import reports
     tasks, pauses = state_tables(spark, d)
     return reports.consolidate(roles.work_orders(spark, d), tasks, pauses,
-                               roles.sites(spark, d), roles.confirmed_tests(spark, d), roles.external_activity(spark, d))
+                               roles.sites(spark, d), roles.confirmed_tests(spark, d), roles.external_activity(spark, d), roles.TOA_DIGITS)
 
 
 from fieldops.plans.report_sql import consolidated_sql, published_sql, vendor_extracts_sql  # noqa: E402
@@ -1161,7 +1161,7 @@ def q_incident_report(spark: SparkSession, d: str) -> DataFrame:
     tasks, pauses = state_tables(spark, d)
     return reports.incident_report(roles.incident_feed(spark, d), roles.work_orders(spark, d), tasks,
                                    roles.sites(spark, d), roles.alarm_catalogue(spark, d),
-                                   reports.task_slots(tasks, pauses), INCIDENT_CUTOFF)
+                                   reports.task_slots(tasks, pauses, roles.TOA_DIGITS), INCIDENT_CUTOFF, roles.TOA_DIGITS)
 
 
 # Incremental ingest ------------------------------------------

@@ -26,13 +26,15 @@ TASK_PIVOT_COLS = [
 
 # --------------------------------------------------------------------------- W3
 
-def classify_tasks(tasks: DataFrame, pauses: DataFrame, k: int = config.TASK_SLOTS) -> DataFrame:
+def classify_tasks(tasks: DataFrame, pauses: DataFrame, k: int = config.TASK_SLOTS,
+                   digits: tuple[int, int] = config.ORDER_DIGITS) -> DataFrame:
     """One row per work-order reference with its best ``k`` tasks wide.
 
     tasks: Task_Id, Task_Category, Createtime, Cancel_Reason, Task_Status,
     Site_Id, Com_Level_1_Aff_Equip, Number_OS_SIOM, Reject_Counter,
     Complete_Time (one row per Task_Id -- the state table).
-    pauses: Order_ID, Operation_Time, Pause_Time, Reason."""
+    pauses: Order_ID, Operation_Time, Pause_Time, Reason.
+    digits: least and greatest length of an order number; other references are left out."""
     t = tasks.select("Task_Id", "Task_Category", "Createtime", "Cancel_Reason", "Task_Status", "Site_Id",
                      "Com_Level_1_Aff_Equip", "Number_OS_SIOM", "Reject_Counter", "Complete_Time")
     supply = t.where(rules.supply_task("Task_Category", "Task_Status")).select(
@@ -49,7 +51,7 @@ def classify_tasks(tasks: DataFrame, pauses: DataFrame, k: int = config.TASK_SLO
                        F.col("Pause_Time").alias("Estado_PR"), F.col("Reason").alias("Motivo_PR"))
     t = joins.enrich(t, pr, "Task_Id")  # a task with several pauses fans out (kept: slots compact later)
     t = t.withColumn("Number_OS_SIOM", clean.canon_id("Number_OS_SIOM", width=0))
-    t = t.where(F.coalesce(clean.fixed_length("Number_OS_SIOM", 8), F.lit(False)))
+    t = t.where(F.coalesce(clean.fixed_length("Number_OS_SIOM", *digits), F.lit(False)))
     t = t.withColumn("Prioridad", slots.priority("Task_Status"))
     order = [F.col("Prioridad"), F.col("Createtime").asc_nulls_last(), F.col("Task_Id"),
              F.col("Hora_PR").asc_nulls_last(), F.col("Estado_PR").asc_nulls_last(), F.col("Motivo_PR").asc_nulls_last()]
@@ -62,7 +64,7 @@ def classify_tasks(tasks: DataFrame, pauses: DataFrame, k: int = config.TASK_SLO
 # --------------------------------------------------------------------------- W4
 
 def consolidate(orders: DataFrame, tasks: DataFrame, pauses: DataFrame, sites: DataFrame, confirmed_tests: DataFrame,
-                external: DataFrame) -> DataFrame:
+                external: DataFrame, digits: tuple[int, int] = config.ORDER_DIGITS) -> DataFrame:
     """The consolidated report, one row per work order (times the fan-out
     of duplicated site rows, which the site state table prevents).
 
@@ -91,7 +93,7 @@ def consolidate(orders: DataFrame, tasks: DataFrame, pauses: DataFrame, sites: D
     })
     # the task slots feed both the report and repeat detection (whose as-of
     # reads its input twice): store them once in the shared folder
-    wide = stage_table(classify_tasks(tasks, pauses), "task_slots").withColumnRenamed("Number_OS_SIOM", "_os")
+    wide = stage_table(classify_tasks(tasks, pauses, digits=digits), "task_slots").withColumnRenamed("Number_OS_SIOM", "_os")
     x = x.join(wide, F.col("Nro_TOA") == F.col("_os"), "left").drop("_os")
     x = x.withColumn("Tiempo_TOA_Autin", rules.minutes_between(created, "Createtime_1"))
     # repeat detection on keys from the orders and their slots alone (no site
@@ -145,11 +147,11 @@ def published_report(report: DataFrame, as_of: Column) -> DataFrame:
 
 # --------------------------------------------------------------------------- W5
 
-def task_slots(tasks: DataFrame, pauses: DataFrame) -> DataFrame:
+def task_slots(tasks: DataFrame, pauses: DataFrame, digits: tuple[int, int] = config.ORDER_DIGITS) -> DataFrame:
     """The task slots of every work order as the consolidated report names
     them (ID_TOA, Autin_ID_i, Estado_i, Motivo_Cancel_i) -- straight from W3,
     without building the rest of the report."""
-    w = classify_tasks(tasks, pauses)
+    w = classify_tasks(tasks, pauses, digits=digits)
     return w.select(F.col("Number_OS_SIOM").alias("ID_TOA"),
                     *[F.col(f"{src}_{i}").alias(f"{dst}_{i}")
                       for src, dst in (("Task_Id", "Autin_ID"), ("Task_Status", "Estado"),
@@ -157,7 +159,8 @@ def task_slots(tasks: DataFrame, pauses: DataFrame) -> DataFrame:
 
 
 def incident_report(incidents: DataFrame, orders: DataFrame, tasks: DataFrame, sites: DataFrame,
-                    alarms: DataFrame, report: DataFrame, cutoff: str) -> DataFrame:
+                    alarms: DataFrame, report: DataFrame, cutoff: str,
+                    digits: tuple[int, int] = config.ORDER_DIGITS) -> DataFrame:
     """One row per incident, matched to work orders by key, by the order
     number written in the notes and by time near the incident at its site;
     with SLA bands, cancellation timing, swap relation, supply tasks and
@@ -178,7 +181,7 @@ def incident_report(incidents: DataFrame, orders: DataFrame, tasks: DataFrame, s
     site_keys = sites.select(F.col("Codigo_Unico").cast("string").alias("_code"))
     inc = inc.withColumn("_codes", text.site_codes("Notas"))
     inc = joins.first_known(inc, "ID_incidencia", "_codes", site_keys, "_code", "ID_Sitio").drop("_codes")
-    inc = inc.withColumns({"_corp": text.corporate_case("Notas"), "TOA_notas": text.order_in_notes("Notas")})
+    inc = inc.withColumns({"_corp": text.corporate_case("Notas"), "TOA_notas": text.order_in_notes("Notas", digits)})
 
     toa = orders.select(
         clean.canon_id("Nro_TOA").alias("Nro_TOA"), clean.strip("ID_del_Ticket").alias("ID_del_Ticket"),

@@ -55,7 +55,8 @@ def lineitem_order():
 
 # --------------------------------------------------------------------------- feeds for the reports
 
-TOA_OFFSET = 10_000_000  # order keys become 8-digit work-order numbers
+TOA_OFFSET = 10_000_000  # order keys become work-order numbers of 8 digits, from key 90,000,000 on of more
+TOA_DIGITS = (8, 19)  # least and greatest length of those numbers, for any bigint key
 
 # Field-report phrases used as task observations (our fixture text).
 FIELD_PHRASES = [
