@@ -1172,7 +1172,7 @@ SELECT event_id, ts, user_id, event_type, value, props FROM (
   FROM events) t WHERE rn = 1""")
 def q_incremental_ingest(spark: SparkSession, d: str) -> DataFrame:
     """The events table lands as two dated drops (first and second half of the
-    month) in a fresh folder on the shared checkpoint storage; an
+    month, rows without a time in the first) in a fresh folder on the shared checkpoint storage; an
     ``availableNow`` stream consumes each drop once and upserts it into the
     state table keyed by (user_id, event_type).  Result = the state table."""
     from fieldops.session import scratch_path
@@ -1182,7 +1182,8 @@ def q_incremental_ingest(spark: SparkSession, d: str) -> DataFrame:
     base = scratch_path(spark, "ingest")
     src, root, ckpt = f"{base}/landing", f"{base}/tables", f"{base}/checkpoint"
     split = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
-    for i, part in enumerate([ev.where(F.col("ts") < split), ev.where(F.col("ts") >= split)], start=1):
+    early = F.coalesce(F.col("ts") < split, F.lit(True))
+    for i, part in enumerate([ev.where(early), ev.where(~early)], start=1):
         part.write.mode("overwrite").parquet(f"{src}/{i}.{i}.drop")
         q = ingest_stream(spark, f"{src}/*", ev.schema, ["user_id", "event_type"], ["ts", "event_id"],
                           root, "events_state", ckpt)

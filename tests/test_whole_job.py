@@ -2,8 +2,13 @@
 
 import datetime
 
+import duckdb
+from pyspark.sql import functions as F
+
 from fieldops.functions import text
-from fieldops.plans import reports, roles
+from fieldops.plans import catalog, reports, roles
+
+from conftest import SF_SMALL
 
 
 def test_tasks_of_order_keys_beyond_90_million_keep_their_slots(spark, tmp_path):
@@ -18,3 +23,15 @@ def test_tasks_of_order_keys_beyond_90_million_keep_their_slots(spark, tmp_path)
     assert got == {str(k + 10_000_000): (f"CM-{k}-1", f"CM-{k}-2") for k in keys}
     notes = spark.createDataFrame([(f"x\nTOA: {k + 10_000_000}\n",) for k in keys], "n string")
     assert {r[0] for r in notes.select(text.order_in_notes("n", roles.TOA_DIGITS)).collect()} == set(got)
+
+
+def test_incremental_ingest_keeps_keys_with_null_times_alone(spark, tmp_path):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    late = ev.where("event_id % 10 = 1").withColumn("ts", F.lit(None).cast("timestamp_ntz"))
+    alone = late.withColumns({"user_id": F.col("user_id") + 1_000_000, "event_id": F.col("event_id") + 1_000_000})
+    ev.unionByName(late).unionByName(alone).write.parquet(f"{tmp_path}/events.parquet")
+    got = {tuple(r) for r in catalog.QUERIES["incremental_ingest"](spark, str(tmp_path)).select("user_id", "event_type", "event_id", "ts").collect()}
+    db = duckdb.connect()
+    db.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    want = db.execute(f"select user_id, event_type, event_id, ts from ({catalog.ORACLE['incremental_ingest']})").fetchall()
+    assert got == set(want) and len(want) == len(got) and any(r[3] is None for r in want)
