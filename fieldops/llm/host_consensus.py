@@ -6,8 +6,11 @@
    the tags from the root with their classes, digits replaced by ``#``.
 2. Votes are counted per (host, path) in Spark; each host keeps its ``PATHS``
    paths with most votes.
-3. Every page is extracted anew by the first of its host's paths that leads to
-   text in it; a page where none does uses its own best container.
+3. Every page is extracted anew by the first of its host's paths that holds most
+   of its credited text; a page where none does uses its own best container.
+   Either is widened on the page: to the enclosing article or main, and to the
+   parent while that adds no block made of links (to the whole body only where
+   what it adds is headings and long blocks in the main).
 
 Boilerplate is dropped wherever it stands: navigation, page headers and footers,
 sidebars, notices, adverts, forms, scripts, styles, comments, by tag, role, or
@@ -34,12 +37,14 @@ from pyspark.sql.window import Window
 from fieldops.llm.common import read, row_slices
 
 PATHS = 5  # of a host
+LONG = 40  # characters of a block that counts in full
 WORDS_OF_PATH = 24  # elements of a path, from the innermost
 #: Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp svg math".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                   "header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTAINERS = frozenset("article blockquote body center dd div dl main ol section table tbody td tr ul figure details".split())
 ENDS_P = BLOCK - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "legend", "summary"}
 #: an opening tag ends an open element of these names, up to the scope
@@ -88,16 +93,21 @@ def _step(tag: str, at: dict[str, str]) -> str:
     return ".".join([tag, *classes])
 
 
+def _credit(text: str, linked: int) -> float:
+    return max(0.0, len(text) - 2.0 * linked) * (1.0 if len(text) >= LONG else 0.5)
+
+
 class Page:
-    """Blocks of a page outside boilerplate: (text, characters in links, container)
-    and containers: (path, parent), both in page order."""
+    """Blocks of a page outside boilerplate: (text, characters in links, container,
+    whether it is a heading) and containers: (path, parent), both in page order."""
 
     def __init__(self, html: str | None):
-        self.blocks: list[tuple[str, int, int]] = []
+        self.blocks: list[tuple[str, int, int, bool]] = []
         self.containers: list[tuple[str, int]] = [("", -1)]
         self._text: list[str] = []
         self._linked = 0
         self._owner = 0
+        self._heading = False
         if html:
             self._parse(html)
 
@@ -105,7 +115,7 @@ class Page:
         if self._text:
             text = " ".join("".join(self._text).split())
             if text:
-                self.blocks.append((text, min(self._linked, len(text)), self._owner))
+                self.blocks.append((text, min(self._linked, len(text)), self._owner, self._heading))
             self._text, self._linked = [], 0
 
     def _parse(self, html: str) -> None:
@@ -202,6 +212,7 @@ class Page:
             if text.isspace():
                 return
             self._owner = stack[-1][2] if stack else 0
+            self._heading = any(x[0] in HEADINGS for x in stack[-4:])
         self._text.append(text)
         if links:
             self._linked += len(text)
@@ -209,27 +220,60 @@ class Page:
     def best(self) -> int:
         """The container with most credit; of equals the first."""
         credit = [0.0] * len(self.containers)
-        for text, linked, owner in self.blocks:
-            c = max(0.0, len(text) - 2.0 * linked) * (1.0 if len(text) >= 40 else 0.5)
+        for text, linked, owner, _ in self.blocks:
+            c = _credit(text, linked)
             credit[owner] += c
             parent = self.containers[owner][1]
             if parent >= 0:
                 credit[parent] += c / 2
         return max(range(len(credit)), key=lambda i: (credit[i], -i))
 
-    def text_of(self, wanted: set[int]) -> str:
+    def widened(self, wanted: set[int]) -> set[int]:
+        """The wanted containers, each widened as far as the article goes."""
+        # per container, of the blocks inside it: blocks, those made of links, characters, those of headings and long blocks
+        held = [[0, 0, 0, 0] for _ in self.containers]
+        for text, linked, owner, heading in self.blocks:
+            n = len(text)
+            for k, v in enumerate((1, 2 * linked > n, n, n * (heading or n >= LONG))):
+                held[owner][k] += v
+        for i in range(len(held) - 1, 0, -1):
+            parent = self.containers[i][1]
+            for k in range(4):
+                held[parent][k] += held[i][k]
+        tag = [path.rpartition(">")[2].partition(".")[0] for path, _ in self.containers]
+        out = set()
+        for i in wanted:
+            a = i
+            while a >= 0 and tag[a] not in ("article", "main"):
+                a = self.containers[a][1]
+            if a >= 0 and held[a][0] > held[i][0]:
+                i = a
+            up = i
+            while tag[up] != "main" and (up := self.containers[up][1]) >= 0:
+                blocks, links, chars, full = (x - y for x, y in zip(held[up], held[i], strict=True))
+                if not blocks:
+                    continue
+                if links or (tag[up] in ("body", "") and 2 * full <= chars):
+                    break
+                i = up
+            out.add(i)
+        return out
+
+    def inside(self, wanted: set[int]) -> list[tuple[str, int, int, bool]]:
         """Blocks inside the wanted containers, in page order."""
         inside: list[bool] = []
         for i, (_, parent) in enumerate(self.containers):
             inside.append(i in wanted or (parent >= 0 and inside[parent]))
-        return "\n".join(t for t, _, owner in self.blocks if inside[owner])
+        return [b for b in self.blocks if inside[b[2]]]
 
     def by_paths(self, paths: list[str]) -> str:
+        whole = sum(_credit(b[0], b[1]) for b in self.blocks)
         for p in paths:
             hits = {i for i, (path, _) in enumerate(self.containers) if path == p}
-            if hits and (text := self.text_of(hits)):
-                return text
-        return self.text_of({self.best()})
+            blocks = self.inside(self.widened(hits)) if hits else []
+            if blocks and (2 * sum(_credit(b[0], b[1]) for b in blocks) > whole or not whole):
+                return "\n".join(b[0] for b in blocks)
+        return "\n".join(b[0] for b in self.inside(self.widened({self.best()})))
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,0 +1,34 @@
+"""Texts that the operators once left out in part."""
+
+from fieldops.llm import host_consensus
+
+PAGES = "page_id long, url string, html string"
+
+
+def _words(n, seed):
+    return " ".join(f"word{seed}x{i}" for i in range(n))
+
+
+def test_article_outside_its_largest_container_stays(spark):
+    lead, body, small = _words(12, 1), "".join(f"<p>{_words(30, i)}</p>" for i in range(9)), _words(40, 77)
+    chrome = "<nav><a href=x>Home</a></nav>", '<div class="links"><a href=a>One link that is quite long here</a></div><footer>Foot</footer>'
+    nested = f"<body>{chrome[0]}<article><h1>Title N</h1><p>{lead}</p><div class=body>{body}</div></article>{chrome[1]}</body>"
+    sections = f"<body>{chrome[0]}<div id=c><section class=one>{body}</section><section class=two><p>{small}</p></section></div>{chrome[1]}</body>"
+    flat = f"<body>{chrome[0]}<h1>Title N</h1><div class=text>{body}</div><footer>Foot</footer></body>"
+    beside = f"<body><div>Login</div><div class=text>{body}</div><div>7 readers</div></body>"
+    rows = [(10 * k + n, f"http://h{k}.example/{n}", h) for k, h in enumerate((nested, sections, flat, beside)) for n in range(3)]
+    got = {r.page_id: r.text for r in host_consensus.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    paragraphs = [_words(30, i) for i in range(9)]
+    assert got[1] == "\n".join(["Title N", lead, *paragraphs])
+    assert got[11] == "\n".join([*paragraphs, small])
+    assert got[21] == "\n".join(["Title N", *paragraphs])
+    assert got[31] == "\n".join(paragraphs)
+
+
+def test_minority_layout_of_a_host_is_whole(spark):
+    article = "".join(f"<p>{_words(30, i)}</p>" for i in range(9))
+    common = f"<body><div class=text>{article}</div></body>"
+    other = f"<body><ul><li><a href=1>One link of a list</a></li></ul><div class=text>Photo.</div><td><div class=story>{article}</div></body>"
+    rows = [(n, f"http://h.example/{n}", other if n == 9 else common) for n in range(10)]
+    got = {r.page_id: r.text for r in host_consensus.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got[9] == got[0] == "\n".join(_words(30, i) for i in range(9))
