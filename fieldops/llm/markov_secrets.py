@@ -36,7 +36,8 @@ HEX = r"[0-9a-f]+"
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ["assign", "access", "hex", "markov"]
 
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+LEAST_RUN = 20
+CANDIDATE = f"[A-Za-z0-9+/_=-]{{{LEAST_RUN},}}"
 MIN_RATIO = 0.75
 SAMPLE_DOCS = 2000
 N_RANDOM = 2000
@@ -115,12 +116,22 @@ def train(docs: DataFrame, text: str = "text") -> np.ndarray:
     return (logs[0] - logs[1]).reshape(-1)
 
 
+def _outside_base(run: Column) -> Column:
+    """The pieces of a candidate run outside the base spans that are long enough to be scored."""
+    piece = lambda start, stop: F.array(F.struct(run["kind"].alias("kind"), start.alias("start"), stop.alias("stop")))
+    put = lambda s, stop: F.when(stop - s["at"] >= LEAST_RUN, F.concat(s["out"], piece(s["at"], stop))).otherwise(s["out"])
+    begin = F.struct(run["start"].alias("at"), F.array().cast("array<struct<kind:int,start:int,stop:int>>").alias("out"))
+    over = F.filter("_s_base", lambda b: (b["start"] < run["stop"]) & (b["stop"] > run["start"]))  # by start
+    step = lambda s, b: F.struct(F.greatest(s["at"], b["stop"]).alias("at"), put(s, b["start"]).alias("out"))
+    return F.aggregate(over, begin, step, lambda s: put(s, run["stop"]))
+
+
 def scan(docs: DataFrame, model: np.ndarray | None = None, text: str = "text") -> DataFrame:
     """``docs`` with ``_s_base`` and ``_s_spans`` (all spans, by start and kind)."""
     weights = F.lit(train(docs, text) if model is None else model)
     found = fixed(base_spans(docs, text), _s_runs=_spans("markov", text, CANDIDATE, CANDIDATE,
                   F.transform(F.regexp_extract_all(F.col(text), F.lit(CANDIDATE), F.lit(0)), lambda x: F.lit(True))))
-    clear = F.filter("_s_runs", lambda r: ~F.exists("_s_base", lambda b: (b["start"] < r["stop"]) & (b["stop"] > r["start"])))
+    clear = F.flatten(F.transform("_s_runs", _outside_base))
     runs = fixed(found, _s_tokens=F.transform(clear, lambda r: F.struct(r.alias("r"), F.split(F.substring(F.col(text), r["start"] + 1, r["stop"] - r["start"]), "").alias("c"))))
 
     def ratio(c: Column) -> Column:

@@ -1,6 +1,9 @@
 """Texts that the operators once left out in part."""
 
-from fieldops.llm import host_consensus
+import random
+import string
+
+from fieldops.llm import host_consensus, markov_secrets
 
 PAGES = "page_id long, url string, html string"
 
@@ -32,3 +35,18 @@ def test_minority_layout_of_a_host_is_whole(spark):
     rows = [(n, f"http://h.example/{n}", other if n == 9 else common) for n in range(10)]
     got = {r.page_id: r.text for r in host_consensus.extract(spark.createDataFrame(rows, PAGES)).collect()}
     assert got[9] == got[0] == "\n".join(_words(30, i) for i in range(9))
+
+
+def test_secret_beside_a_base_span_in_one_run_goes(spark):
+    r = random.Random(5)
+    key = "".join(r.choice(string.ascii_letters + string.digits + "+/") for _ in range(40))
+    access = "AKIA" + "A1" * 8
+    texts = [f"é {access}/{key} ok", f"{'0123456789abcdef' * 2}_{key}", f"{key}-{access}+{key}", f"{access}/short ok"]
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    d = docs.unionByName(spark.createDataFrame([(10**9 + i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    model = markov_secrets.train(d)
+    mine = d.where(f"doc_id >= {10**9}")
+    assert [x.text for x in markov_secrets.redact(mine, model=model).orderBy("doc_id").collect()] == [
+        "é [SECRET][SECRET] ok", "[SECRET][SECRET]", "[SECRET][SECRET][SECRET]", "[SECRET]/short ok"]
+    spans = [x.spans for x in markov_secrets.secret_report(mine, model=model).orderBy("doc_id").collect()]
+    assert spans[0] == "access:2:22,markov:22:63" and spans[2] == "markov:0:41,access:41:61,markov:61:102"
