@@ -100,8 +100,8 @@ def near_pairs(words: DataFrame, symbols: int) -> DataFrame:
 
 def forms(words: DataFrame, pairs: DataFrame, ratio: int = RATIO) -> DataFrame:
     """(word, n, n_near, form, form_n)."""
-    both = pairs.select(F.col("a").alias("word"), F.col("b").alias("near"), F.col("bn").alias("near_n")).unionByName(
-        pairs.select(F.col("b").alias("word"), F.col("a").alias("near"), F.col("an").alias("near_n")))
+    side = lambda x, y: F.struct(F.col(x).alias("word"), F.col(y).alias("near"), F.col(y + "n").alias("near_n"))
+    both = pairs.select(F.inline(F.array(side("a", "b"), side("b", "a"))))  # one pass: a union would find the pairs twice
     best = both.groupBy("word").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct((-F.col("near_n")).alias("m"), "near")).alias("best"))
     d = words.join(best, "word", "left")
     taken = -F.col("best.m") >= ratio * F.col("n")
