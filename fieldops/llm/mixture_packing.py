@@ -24,12 +24,12 @@ from __future__ import annotations
 
 import base64
 import math
-import re
 import zlib
 from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -41,10 +41,11 @@ WINDOW_SEQUENCES = 1
 GROUP_BYTES = 4 << 20
 BLOCK = 1024  # groups summed together in the prefix sum
 END_ID = 1
-KEEP_UNITS = 500_000  # units whose ids a Python worker remembers (a cache)
+#: Every white space character, for RE2.
+_W = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 #: A space between two characters that are not white space always begins a token, and so does a
-#: line feed there, which is one by itself; so texts without runs of white space split there.
-MIXED_SPACE = re.compile(r"\s\s|[^\S \n]|^\s|\s$")
+#: line feed there, which is one by itself; so other texts than these (and empty ones) split there.
+MIXED_SPACE = rf"[{_W}][{_W}]|[\t\x0b-\r\x1c-\x1f\x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]|\A[{_W}]|[{_W}]\z|\A\z"
 
 
 def default_vocabulary() -> str:
@@ -55,7 +56,8 @@ def default_vocabulary() -> str:
 class Encoder:
     """Byte-level BPE ids of texts as little-endian unsigned 16-bit bytes (the
     vocabulary has under 65,536 ids).  The rank file is the same vocabulary as
-    byte_bpe_50k.json, and a test holds the ids against that file's."""
+    byte_bpe_50k.json, and a test holds the ids against that file's.  The string of
+    an added token is ordinary text, as the tokenizer's own note prescribes."""
 
     def __init__(self, path: str | None = None):
         import public_tokenizers
@@ -63,46 +65,64 @@ class Encoder:
         with open(path or default_vocabulary(), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bpe = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.feed = self.plain("\n")
-        self.first: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
+        self.bytes = np.zeros(max(ranks.values()) + 1, np.int64)  # of each id
+        for token, n in ranks.items():
+            self.bytes[n] = len(token)
 
-    def plain(self, text: str) -> bytes:
-        return np.array(self.bpe.encode_ordinary(text), dtype="<u2").tobytes()
+    def plain(self, text: str) -> np.ndarray:
+        return self.bpe.encode_to_numpy(text, disallowed_special=()).astype("<u2")
 
     def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if MIXED_SPACE.search(text):
-            return self.plain(text)
-        if len(self.first) > KEEP_UNITS:
-            self.first.clear()
-        if len(self.spaced) > KEEP_UNITS:
-            self.spaced.clear()
-        lines = []
-        for line in text.split("\n"):
-            head, *rest = line.split(" ")
-            got = list(map(self.spaced.get, rest))
-            if None in got:
-                for i, x in enumerate(got):
-                    if x is None:
-                        got[i] = self.spaced[rest[i]] = self.plain(" " + rest[i])
-            x = self.first.get(head)
-            if x is None:
-                x = self.first[head] = self.plain(head)
-            lines.append(x + b"".join(got))
-        return self.feed.join(lines)
+        return self.texts(pa.array([text or ""], pa.string()), 0)[1][:-1].tobytes()
+
+    def _spaced(self, texts: pa.StringArray, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Token counts and ids of texts that MIXED_SPACE doesn't match.  With a
+        line feed before each text, the units (a word and the space or line feed before it)
+        lie one behind the other in the column's bytes, an Arrow array without a copy.  Its
+        different units are encoded in one call, in which the ids' bytes show where each
+        unit ends, and every unit takes its ids from there.  The line feeds before texts
+        become the end ids of the texts before them."""
+        whole = pa.compute.binary_join_element_wise(pa.scalar(""), texts, "\n")
+        ends = np.frombuffer(whole.buffers()[1], np.int32)[whole.offset:whole.offset + len(whole) + 1]
+        data = np.frombuffer(whole.buffers()[2], np.uint8)[:ends[-1]]
+        parts = np.flatnonzero((data[ends[0]:] == 0x20) | (data[ends[0]:] == 0x0A)) + ends[0]
+        cuts = np.append(parts, ends[-1]).astype(np.int32)
+        units = pa.StringArray.from_buffers(len(parts), pa.py_buffer(cuts), pa.py_buffer(data)).dictionary_encode()
+        stops = np.frombuffer(units.dictionary.buffers()[1], np.int32)[:len(units.dictionary) + 1]
+        flat = self.plain(units.dictionary.buffers()[2].to_pybytes()[:stops[-1]].decode())
+        begins = np.searchsorted(np.cumsum(self.bytes[flat]), stops[:-1], side="right")
+        sizes = np.diff(np.append(begins, len(flat)))
+        codes = units.indices.to_numpy()
+        n = sizes[codes]
+        upto = np.cumsum(n)
+        ids = flat[np.repeat(begins[codes] - (upto - n), n) + np.arange(upto[-1])]
+        before = np.append(0, upto)[np.searchsorted(cuts, ends)]
+        ids[before[1:-1]] = end
+        return np.diff(before), np.append(ids[1:], ids.dtype.type(end))
+
+    def texts(self, texts: pa.StringArray, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Token counts and ids, one text behind the other, each with the id ``end`` after it."""
+        mixed = pa.compute.match_substring_regex(texts, MIXED_SPACE).to_numpy(zero_copy_only=False)
+        counts, ids = np.empty(0, np.int64), np.empty(0, "<u2")
+        if not mixed.all():
+            counts, ids = self._spaced(texts.filter(pa.array(~mixed)), end)
+        if mixed.any():
+            places, begins = np.cumsum(~mixed) - ~mixed, np.append(0, np.cumsum(counts))
+            pieces = [np.append(self.plain(texts[i].as_py()), np.array(end, "<u2")) if m else ids[begins[j]:begins[j + 1]]
+                      for i, (m, j) in enumerate(zip(mixed.tolist(), places.tolist(), strict=True))]
+            counts, ids = np.array(list(map(len, pieces)), np.int64), np.concatenate(pieces)
+        return counts, ids
 
 
 def _tokenise(path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = Encoder(path), np.array([END_ID], dtype="<u2").tobytes()
+        encode = Encoder(path)
         for whole in batches:
             for rb in row_slices(whole, "text"):
-                ids = [encode(t or "") + end for t in rb.column(3).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [rb.column(0), rb.column(1), rb.column(2), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                    names=["doc_id", "source", "grp", "n", "ids"])
+                counts, ids = encode.texts(pa.compute.fill_null(rb.column(3), ""), END_ID)
+                places = np.concatenate([[0], np.cumsum(2 * counts)]).astype(np.int32)
+                held = pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(places), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(1), rb.column(2), pa.array(counts), held], names=["doc_id", "source", "grp", "n", "ids"])
     return run
 
 
