@@ -110,6 +110,7 @@ ATTENTION_DAYS_BELOW = 8
 # Text labels.
 L_REPEAT = "Reiterada"
 L_TEST = "TEST"
+L_CONFIRMED = "SI"
 L_SOFT_LAUNCH = "MB"
 L_PROACTIVE = "Proactivo"
 L_FLM = "FLM"

@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldops.functions.rules import micros_between
-from fieldops.sources.io import stage_table
 
 
 def _cols(cs: Sequence[str] | str) -> list[str]:
@@ -80,8 +79,92 @@ def flag_in(df: DataFrame, col: str, other: DataFrame, other_col: str, name: str
     return out.withColumn(name, F.when(F.col("_fhit"), F.lit(yes)).otherwise(F.lit(no))).drop("_fk", "_fhit")
 
 
+# --------------------------------------------------------------------------- rows without a key
+
+SPREAD = 4096  # parts into which rows without a key are dealt
+
+
+def spread_nulls(key: Column, *row: Column) -> Column:
+    """0 for rows with a key, else a part number by a hash of ``row``: as a second
+    key beside ``key`` it deals the rows that can't match over many tasks, where
+    null alone would send all of them into one."""
+    return F.when(key.isNull(), F.pmod(F.xxhash64(*row), F.lit(SPREAD))).otherwise(F.lit(0)).cast("int")
+
+
+def left_join_known(left: DataFrame, right: DataFrame, left_key: str, right_key: str, spread_by: Sequence[str]) -> DataFrame:
+    """Left equi-join on one key whose left side is mostly null.  ``spread_by``:
+    left columns that tell its rows apart.  ``right_key`` stays in the result."""
+    l = left.withColumn("_spread", spread_nulls(F.col(left_key), *[F.col(f"`{c}`") for c in spread_by]))
+    # 0, but not a literal: the optimizer would take a literal out of the join's keys.
+    r = right.withColumn("_spread0", F.pmod(F.xxhash64(right_key), F.lit(1)).cast("int"))
+    return l.join(r, (F.col(left_key) == F.col(right_key)) & (F.col("_spread") == F.col("_spread0")), "left").drop("_spread", "_spread0")
+
+
 # --------------------------------------------------------------------------- J3 as-of
 
+def _asof(u: DataFrame, ways: Sequence[bool], width: int, order_of: str) -> DataFrame:
+    """Nearest right rows of the left rows of ``u``, per way (True: ahead) as ``_m0``, ``_m1``.
+
+    ``u``: _by (struct of keys), _ts (micros), _tb (tie-break), _side (but for
+    'self'), _r (a right row's payload, else null), _lrow (a left row, else null).  ``order_of``:
+    'sides' (time, side, tie-break), 'tuple' (time, tie-break, side) or 'self'
+    (time, tie-break; every row is both sides).
+
+    One shuffle by (_by, time bucket) feeds two readers: the windows inside the buckets, and
+    one summary row per bucket with its last right row, over which the carry
+    from other buckets runs.  Both read the same exchange (they ask for the same
+    columns, and no filter is inferred for one alone, as the join's keys are never
+    null), so the inputs are read once.  Rows without a key or time can't match; their
+    bucket is a hash of the row, which spreads them over the tasks."""
+    known = F.col("_ts").isNotNull()
+    for f in u.schema["_by"].dataType.fieldNames():
+        known = known & F.col("_by")[f].isNotNull()
+    b = F.coalesce(F.when(known, F.floor(F.col("_ts") / F.lit(float(width))).cast("bigint")), F.xxhash64("_lrow"))
+    u = u.withColumn("_b", b).repartition("_by", "_b")
+    rows, last, carried = u, [], []
+    for i, ahead in enumerate(ways):
+        ts = -F.col("_ts") if ahead else F.col("_ts")
+        tie = F.col("_tb").desc_nulls_last() if ahead and order_of == "self" else F.col("_tb").asc_nulls_first()
+        order = {"sides": [F.col("_side"), tie], "tuple": [tie, F.col("_side")], "self": [tie]}[order_of]
+        inside = Window.partitionBy("_by", "_b").orderBy(ts.asc_nulls_first(), *order).rowsBetween(Window.unboundedPreceding, -1)
+        rows = rows.withColumn(f"_m{i}", F.last("_r", ignorenulls=True).over(inside))
+        if ahead and order_of == "self":
+            last.append(F.min_by("_r", F.when(F.col("_r").isNotNull(), F.struct("_ts", "_tb"))).alias(f"_p{i}"))
+        else:
+            place = [ts.alias("t"), F.col("_tb"), *([] if order_of == "self" else [F.col("_side")])]
+            last.append(F.max_by("_r", F.when(F.col("_r").isNotNull(), F.struct(*place))).alias(f"_p{i}"))
+        before = Window.partitionBy("_by").orderBy(F.col("_b").desc() if ahead else F.col("_b").asc()).rowsBetween(Window.unboundedPreceding, -1)
+        carried.append(F.last(f"_p{i}", ignorenulls=True).over(before).alias(f"_c{i}"))
+    # Whether the bucket has left rows; of a row that is always there, a hash keeps the column asked for.
+    some = F.max(F.hash("_lrow")) if order_of == "self" else F.max(F.when(F.col("_lrow").isNotNull(), 1))
+    summary = u.groupBy("_by", "_b").agg(some.alias("_n"), F.max(known).alias("_known"), *last).where("_known")
+    prior = summary.select("_by", "_b", "_n", *carried).where(F.col("_n").isNotNull()).drop("_n")
+    joined = rows.where(F.col("_lrow").isNotNull()).join(prior, ["_by", "_b"], "left")
+    return joined.select("_lrow", *[F.coalesce(f"_m{i}", f"_c{i}").alias(f"_m{i}") for i in range(len(ways))])
+
+
+def _unpacked(found: DataFrame, left: DataFrame, payload: Sequence[str], prefixes: Sequence[str]) -> DataFrame:
+    return found.select(*[F.col(f"_lrow.`{c}`").alias(c) for c in left.columns],
+                        *[F.col(f"_m{i}")[c].alias(f"{p}{c}") for i, p in enumerate(prefixes) for c in payload])
+
+
+def _sides(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str, right_ts: str, payload: Sequence[str],
+           rtb: Sequence[str], ltb: Sequence[str], lside: int, rside: int) -> DataFrame:
+    known = F.col(right_ts).isNotNull()
+    for k in by:
+        known = known & F.col(k).isNotNull()
+    key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(by)]).alias("_by")
+    r = right.where(known).select(
+        key, _micros(F.col(right_ts)).alias("_ts"), (F.struct(*[F.col(c) for c in rtb]) if rtb else F.lit(0)).alias("_tb"),
+        F.lit(rside).alias("_side"), F.struct(*[F.col(c) for c in payload]).alias("_r"))
+    l = left.select(
+        key, _micros(F.col(left_ts)).alias("_ts"),
+        (F.struct(*[F.col(c) for c in ltb]) if ltb else F.lit(None if rtb else 0)).cast(r.schema["_tb"].dataType).alias("_tb"),
+        F.lit(lside).alias("_side"), F.lit(None).cast(r.schema["_r"].dataType).alias("_r"),
+        F.struct(*[F.col(f"`{c}`") for c in left.columns]).alias("_lrow"))
+    return l.unionByName(r.withColumn("_lrow", F.lit(None).cast(l.schema["_lrow"].dataType)))
+
+
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str] | str, left_ts: str, right_ts: str,
               payload: Sequence[str], right_tiebreak: Sequence[str] = (), left_tiebreak: Sequence[str] = (),
               strict: bool = True, bucket_micros: int = 86_400_000_000, prefix: str = "",
@@ -95,79 +178,36 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str] | str, left_t
     (greatest wins).  With ``left_tiebreak`` the comparison is on the tuple
     (ts, tiebreak) -- used for "immediate predecessor" on a self as-of.
 
-    Plan (skew-safe):
-      1. union left and right rows and, per (key, time bucket), take the last
-         right row before each left row with a running ``last(ignorenulls)``;
-      2. per (key, bucket) aggregate the last right row (map-side combined);
-      3. for left rows unmatched in their bucket, carry the last right row of
-         earlier buckets forward with a window over the per-bucket rows only
-         (one row per key and bucket, whatever the row count of the key).
-    """
+    Plan (skew-safe, each side read once; see ``_asof``): the rows go by (key,
+    time bucket), never by the key alone; what earlier buckets hand on comes
+    from one summary row per key and bucket, whatever the row count of the key."""
+    lside, rside = (0, 1) if strict or left_tiebreak else (1, 0)  # with a tiebreak, an equal tuple is the row itself
+    u = _sides(left, right, _cols(by), left_ts, right_ts, list(payload), list(right_tiebreak), list(left_tiebreak), lside, rside)
+    return _unpacked(_asof(u, [forward], int(bucket_micros), "tuple" if left_tiebreak else "sides"), left, list(payload), [prefix])
+
+
+def asof_around(left: DataFrame, right: DataFrame, by: Sequence[str] | str, left_ts: str, right_ts: str, payload: Sequence[str],
+                right_tiebreak: Sequence[str] = (), strict: bool = True, bucket_micros: int = 86_400_000_000,
+                prefixes: tuple[str, str] = ("prev_", "next_")) -> DataFrame:
+    """J3 both ways at once: the nearest earlier and the nearest later right row, from one shuffle."""
+    u = _sides(left, right, _cols(by), left_ts, right_ts, list(payload), list(right_tiebreak), [], *((0, 1) if strict else (1, 0)))
+    return _unpacked(_asof(u, [False, True], int(bucket_micros), "sides"), left, list(payload), prefixes)
+
+
+def neighbours(df: DataFrame, by: Sequence[str] | str, ts: str, row_id: str, payload: Sequence[str], valid: Column | None = None,
+               ways: Sequence[tuple[str, bool]] = (("prev_", False),), bucket_micros: int = 86_400_000_000) -> DataFrame:
+    """The neighbours of every row in its key's (ts, row_id) order, per way a
+    prefix and whether it looks ahead.  An as-of of the table on itself that
+    reads it once: each row is both sides.  Rows that aren't ``valid``, or lack
+    a key or time, have no neighbour and are none."""
     by = _cols(by)
-    payload = list(payload)
-    rtb = list(right_tiebreak)
-    ltb = list(left_tiebreak)
-    lside, rside = (0, 1) if strict else (1, 0)
-    if ltb:
-        lside, rside = 0, 1  # equal (ts, tiebreak) is the row itself: excluded
-
-    rstruct = F.struct(*[F.col(c).alias(f"{prefix}{c}") for c in payload])
-    rkeys = right.where(F.col(right_ts).isNotNull())
+    known = F.col(ts).isNotNull() if valid is None else F.coalesce(valid, F.lit(False)) & F.col(ts).isNotNull()
     for k in by:
-        rkeys = rkeys.where(F.col(k).isNotNull())
-    sign = -1 if forward else 1
-    r = rkeys.select(
-        *[F.col(k).alias(f"_by{i}") for i, k in enumerate(by)],
-        (_micros(F.col(right_ts)) * F.lit(sign)).alias("_ts"),
-        F.struct(*[F.col(c) for c in rtb]).alias("_tb") if rtb else F.lit(0).alias("_tb"),
-        F.lit(rside).alias("_side"),
-        rstruct.alias("_r"),
-    )
-    rtype = r.schema["_r"].dataType
-    tbtype = r.schema["_tb"].dataType
-
-    lid = "_lrow"
-    l = left.select(
-        *[F.col(k).alias(f"_by{i}") for i, k in enumerate(by)],
-        (_micros(F.col(left_ts)) * F.lit(sign)).alias("_ts"),
-        (F.struct(*[F.col(c) for c in ltb]) if ltb else F.lit(None if rtb else 0)).cast(tbtype).alias("_tb"),
-        F.lit(lside).alias("_side"),
-        F.lit(None).cast(rtype).alias("_r"),
-        F.struct(*[F.col(f"`{c}`") for c in left.columns]).alias(lid),
-    )
-    r = r.withColumn(lid, F.lit(None).cast(l.schema[lid].dataType))
-    byc = [f"_by{i}" for i in range(len(by))]
-    width = int(bucket_micros)
-
-    u = l.unionByName(r).withColumn("_b", F.floor(F.col("_ts") / F.lit(float(width))).cast("bigint"))
-    order = [F.col("_ts").asc_nulls_first()]
-    order += [F.col("_tb").asc_nulls_first(), F.col("_side")] if ltb else [F.col("_side"), F.col("_tb").asc_nulls_first()]
-    w_in = Window.partitionBy(*byc, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    inb = (u.withColumn("_m", F.last("_r", ignorenulls=True).over(w_in))
-           .where(F.col(lid).isNotNull()))
-
-    # last right row of every (key, bucket)
-    per_bucket = (r.withColumn("_b", F.floor(F.col("_ts") / F.lit(float(width))).cast("bigint"))
-                  .groupBy(*byc, "_b")
-                  .agg(F.max_by("_r", F.struct("_ts", "_tb")).alias("_r"))
-                  .withColumn("_side", F.lit(1)))
-    # (key, bucket) pairs of the left side; derived from the input, not from
-    # the window output, so that output is computed once and keeps its
-    # (key, bucket) partitioning for the final join
-    need = (l.select(*byc, F.floor(F.col("_ts") / F.lit(float(width))).cast("bigint").alias("_b"))
-            .distinct().withColumn("_side", F.lit(0)))
-    need = need.withColumn("_r", F.lit(None).cast(rtype))
-    w_prev = Window.partitionBy(*byc).orderBy(F.col("_b").asc_nulls_first(), "_side").rowsBetween(
-        Window.unboundedPreceding, -1)
-    prior = (need.unionByName(per_bucket)
-             .withColumn("_p", F.last("_r", ignorenulls=True).over(w_prev))
-             .where(F.col("_side") == 0)
-             .select(*byc, "_b", "_p"))
-
-    joined = inb.join(prior, [*byc, "_b"], "left")
-    best = F.coalesce(F.col("_m"), F.col("_p"))
-    return joined.select(*[F.col(f"{lid}.`{c}`").alias(c) for c in left.columns],
-                         *[best[f"{prefix}{c}"].alias(f"{prefix}{c}") for c in payload])
+        known = known & F.col(k).isNotNull()
+    u = df.select(F.struct(*[F.when(known, F.col(k)).alias(f"k{i}") for i, k in enumerate(by)]).alias("_by"), _micros(F.col(ts)).alias("_ts"),
+                  F.col(row_id).alias("_tb"), F.when(known, F.struct(*[F.col(c) for c in payload])).alias("_r"),
+                  F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_lrow"))
+    return _unpacked(_asof(u, [w[1] for w in ways], int(bucket_micros), "self"), df, list(payload), [w[0] for w in ways])
 
 
 # --------------------------------------------------------------------------- J4 / J5 interval joins
@@ -229,7 +269,7 @@ def interval_candidates(left: DataFrame, right: DataFrame, by: Sequence[str] | s
         r = r.join(heads, [*by, "_b"]).withColumn("_next", F.slice(F.concat("_own", "_carry"), 1, k))
     else:
         r = r.withColumn("_next", F.col("_own"))
-    r = stage_table(r.drop("_row", "_own", "_b", *(["_carry"] if following else [])), "interval_rows")  # the as-of reads it twice
+    r = r.drop("_row", "_own", "_b", *(["_carry"] if following else []))
     start = F.timestamp_add("MICROSECOND", F.lit(-before_micros), F.col(left_ts))
     x = asof_join(left.withColumn("_start", start), r, by, "_start", "_rts", ["_next"], right_tiebreak=["_place"], strict=False,
                   bucket_micros=max(before_micros + after_micros, 1), forward=True)
@@ -278,14 +318,14 @@ def coalesce_join(left: DataFrame, right: DataFrame, first: tuple[str, str], sec
               .groupBy(F.col(rk2).alias("_k2"))
               .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(c) for c in second_order])).alias("_b"))
               .withColumn("_hit2", F.lit(True)))
-    x = left.join(r1, F.col(lk1) == F.col("_k1"), "left")
+    x = left_join_known(left, r1, lk1, "_k1", left.columns)
     gate = F.col("_hit1").isNull()
     if needed is not None:
         gate = gate | (F.trim(F.coalesce(F.col("_a")[needed].cast("string"), F.lit(""))) == "")
     if second_when is not None:
         gate = gate & F.coalesce(second_when, F.lit(False))
     x = x.withColumn("_k2l", F.when(gate, F.col(lk2)))
-    x = x.join(firsts, F.col("_k2l") == F.col("_k2"), "left")
+    x = left_join_known(x, firsts, "_k2l", "_k2", left.columns)
     out = x.withColumns({c: F.when(F.col("_hit2").isNull(), F.col("_a")[c]).otherwise(F.col("_b")[c]) for c in cols})
     out = out.withColumn(source_col, F.when(F.col("_hit2"), F.lit("second")).when(F.col("_hit1"), F.lit("first")))
     return out.drop("_k1", "_a", "_hit1", "_k2l", "_k2", "_b", "_hit2")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fieldops import config
 from fieldops.functions.rules import micros_between
-from fieldops.operators.joins import asof_join
+from fieldops.operators.joins import neighbours
 
 
 def repeat_within(df: DataFrame, keys: Sequence[str], ts: str, row_id: str, days: float = config.REPEAT_DAYS,
@@ -19,16 +19,14 @@ def repeat_within(df: DataFrame, keys: Sequence[str], ts: str, row_id: str, days
     most ``days`` older (inclusive).  Rows with a NULL or empty key are never
     flagged and never serve as a predecessor.
 
-    The predecessor is found with the skew-safe self as-of join (time buckets
-    of ``days`` width), not a window over the whole group: one group may hold a
+    The predecessor is found with the skew-safe self as-of (time buckets
+    of ``days`` width, the table read once), not a window over the whole group: one group may hold a
     third of all rows."""
     valid = F.lit(True)
     for k in keys:
         valid = valid & F.col(k).isNotNull() & (F.col(k).cast("string") != "")
-    cand = df.where(valid).select(*keys, ts, row_id)
     width = int(days * 86_400_000_000)
-    m = asof_join(df, cand, keys, ts, ts, payload=[ts, row_id], right_tiebreak=[row_id],
-                  left_tiebreak=[row_id], bucket_micros=max(width, 1), prefix="_prev_")
+    m = neighbours(df, keys, ts, row_id, [ts, row_id], valid, (("_prev_", False),), bucket_micros=max(width, 1))
     gap = micros_between(F.col(f"_prev_{ts}"), F.col(ts))
     hit = valid & F.col(f"_prev_{row_id}").isNotNull() & F.coalesce(gap <= width, F.lit(False))
     return (m.withColumn(flag_col, F.when(hit, F.lit(config.L_REPEAT)).otherwise(F.lit("")))

@@ -1080,10 +1080,7 @@ def q_cancel_outcome(spark: SparkSession, d: str) -> DataFrame:
     sites); bounded minimum, outcome and bin."""
     inc = incidents_with_tier(spark, d).where(rules.since("ts", CUTOFF))
     pur = roles.purchases(spark, d).select("user_id", F.col("event_id").alias("pid"), F.col("ts").alias("pts"))
-    nxt = joins.asof_join(inc, pur, "user_id", "ts", "pts", ["pts"], right_tiebreak=["pid"], strict=True,
-                          forward=True, prefix="next_")
-    both = joins.asof_join(nxt, pur, "user_id", "ts", "pts", ["pts"], right_tiebreak=["pid"], strict=True,
-                           prefix="prev_")
+    both = joins.asof_around(inc, pur, "user_id", "ts", "pts", ["pts"], right_tiebreak=["pid"])
     hours = ["t_autin_1", "t_autin_2", "t_autin_3", "t_toa"]
     x = both.select(
         "event_id", "priorizacion",
@@ -1150,6 +1147,21 @@ def q_vendor_extracts(spark: SparkSession, d: str) -> DataFrame:
     return reports.vendor_extracts(consolidated(spark, d))
 
 
+@register("consolidated_delta", consolidated_sql())
+def q_consolidated_delta(spark: SparkSession, d: str) -> DataFrame:
+    """The report kept up over three drops: a first load that lacks part of
+    every feed's rows, or has earlier ones, then drops that bring them."""
+    from fieldops.plans import delta, feeds
+    from fieldops.session import scratch_path
+    root = scratch_path(spark, "report")
+    base, drops = feeds.report_drops(feeds.report_feeds(spark, d))
+    delta.build(spark, root, base, roles.TOA_DIGITS)
+    for drop in drops:
+        delta.apply_drop(spark, root, drop, roles.TOA_DIGITS)
+    delta.expire(spark, root)
+    return delta.report(spark, root)
+
+
 # Incident report -------------------------------------------------------------------------
 
 INCIDENT_CUTOFF = "1994-01-01 00:00:00"

@@ -26,15 +26,21 @@ TASK_PIVOT_COLS = [
 
 # --------------------------------------------------------------------------- W3
 
+def order_number(c: str = "Number_OS_SIOM") -> Column:
+    """The work-order number that a task refers to."""
+    return clean.canon_id(c, width=0)
+
+
 def classify_tasks(tasks: DataFrame, pauses: DataFrame, k: int = config.TASK_SLOTS,
-                   digits: tuple[int, int] = config.ORDER_DIGITS) -> DataFrame:
+                   digits: tuple[int, int] = config.ORDER_DIGITS, only: DataFrame | None = None) -> DataFrame:
     """One row per work-order reference with its best ``k`` tasks wide.
 
     tasks: Task_Id, Task_Category, Createtime, Cancel_Reason, Task_Status,
     Site_Id, Com_Level_1_Aff_Equip, Number_OS_SIOM, Reject_Counter,
     Complete_Time (one row per Task_Id -- the state table).
     pauses: Order_ID, Operation_Time, Pause_Time, Reason.
-    digits: least and greatest length of an order number; other references are left out."""
+    digits: least and greatest length of an order number; other references are left out.
+    only: with it, only these order numbers (column ``Number_OS_SIOM``, distinct) are worked out."""
     t = tasks.select("Task_Id", "Task_Category", "Createtime", "Cancel_Reason", "Task_Status", "Site_Id",
                      "Com_Level_1_Aff_Equip", "Number_OS_SIOM", "Reject_Counter", "Complete_Time")
     supply = t.where(rules.supply_task("Task_Category", "Task_Status")).select(
@@ -42,6 +48,9 @@ def classify_tasks(tasks: DataFrame, pauses: DataFrame, k: int = config.TASK_SLO
         F.col("Task_Status").alias("Task_Status_Abastecimiento"),
         F.col("Createtime").alias("Createtime_Abastecimiento"))
     t = t.where(rules.exclude_values("Cancel_Reason") & rules.eligible_task("Task_Id", "Task_Category"))
+    if only is not None:
+        t = t.withColumn("_os", order_number()).join(only.select(F.col("Number_OS_SIOM").alias("_os")), "_os", "left_semi").drop("_os")
+        supply = supply.join(t.select("Site_Id").distinct(), "Site_Id", "left_semi")
     # latest open supply task of the same site created strictly before the task
     t = joins.asof_join(t, supply, "Site_Id", "Createtime", "Createtime_Abastecimiento",
                         ["Task_Id_Abastecimiento", "Task_Status_Abastecimiento", "Createtime_Abastecimiento"],
@@ -50,7 +59,7 @@ def classify_tasks(tasks: DataFrame, pauses: DataFrame, k: int = config.TASK_SLO
     pr = pauses.select(F.col("Order_ID").alias("Task_Id"), F.col("Operation_Time").alias("Hora_PR"),
                        F.col("Pause_Time").alias("Estado_PR"), F.col("Reason").alias("Motivo_PR"))
     t = joins.enrich(t, pr, "Task_Id")  # a task with several pauses fans out (kept: slots compact later)
-    t = t.withColumn("Number_OS_SIOM", clean.canon_id("Number_OS_SIOM", width=0))
+    t = t.withColumn("Number_OS_SIOM", order_number())
     t = t.where(F.coalesce(clean.fixed_length("Number_OS_SIOM", *digits), F.lit(False)))
     t = t.withColumn("Prioridad", slots.priority("Task_Status"))
     order = [F.col("Prioridad"), F.col("Createtime").asc_nulls_last(), F.col("Task_Id"),
@@ -74,7 +83,35 @@ def consolidate(orders: DataFrame, tasks: DataFrame, pauses: DataFrame, sites: D
     sites: Codigo_Unico, Departamento, Provincia, SLA, Fecha_Fin_Swap, Fecha_TSS, ...
     confirmed_tests: Nro_TOA of confirmed test tickets.
     external: activityId, timeOfBooking."""
-    created = "Fecha_de_Registro_de_actividad_TOA"
+    # the task slots feed both the report and repeat detection: store them once
+    # in the shared folder
+    wide = stage_table(classify_tasks(tasks, pauses, digits=digits), "task_slots")
+    ext = external.select(F.col("activityId").cast("string").alias("_a"), F.col("timeOfBooking").alias("_tb"))
+    bounds = ext.agg(F.struct(F.min("_tb").alias("lo"), F.max("_tb").alias("hi"))).scalar()
+    return assemble(orders, wide, repeats(repeat_keys(orders, wide)), sites, confirmed_tests, ext.select(F.col("_a").alias("activityId")),
+                    bounds["lo"], bounds["hi"])
+
+
+CREATED = "Fecha_de_Registro_de_actividad_TOA"
+
+
+def repeat_keys(orders: DataFrame, wide: DataFrame) -> DataFrame:
+    """What repeat detection looks at, one row per order: keys from the orders and
+    their slots alone (no site or test join is evaluated for it)."""
+    o = orders.select(clean.strip(F.col("Nro_TOA").cast("string")).alias("Nro_TOA"), F.col("Código_de_Cliente").alias("Codigo_Unico"), CREATED)
+    w = wide.select(F.col("Number_OS_SIOM").alias("_os"), "Com_Level_1_Aff_Equip_1")
+    return o.join(w, F.col("Nro_TOA") == F.col("_os"), "left").drop("_os")
+
+
+def repeats(keys: DataFrame) -> DataFrame:
+    """``repeat_keys`` with Reiteradas and TOA_Reiterado."""
+    return repeat.repeat_within(keys, ["Codigo_Unico", "Com_Level_1_Aff_Equip_1"], CREATED, "Nro_TOA", days=config.REPEAT_DAYS)
+
+
+def assemble(orders: DataFrame, wide: DataFrame, repeated: DataFrame, sites: DataFrame, confirmed_tests: DataFrame, activities: DataFrame,
+             lo: Column, hi: Column) -> DataFrame:
+    """The report's rows of ``orders`` from their slots and repeats.  ``activities``:
+    activityId; ``lo`` and ``hi``: the range of booking times."""
     o = orders.withColumnRenamed("Código_de_Cliente", "Codigo_Unico")
     o = o.withColumn("Nro_TOA", clean.strip(F.col("Nro_TOA").cast("string")))
     x = joins.join_suffix(o, sites, "Codigo_Unico", suffix="_sitios")
@@ -88,28 +125,16 @@ def consolidate(orders: DataFrame, tasks: DataFrame, pauses: DataFrame, sites: D
     x = x.withColumns({
         "Proactivo": rules.proactive("Notas"),
         "Responsable": rules.responsible("Bucket_Inicial"),
-        "SWAP_dias": rules.days_since("Fecha_Fin_Swap", created),
-        "TSS_dias": rules.days_since("Fecha_TSS", created),
+        "SWAP_dias": rules.days_since("Fecha_Fin_Swap", CREATED),
+        "TSS_dias": rules.days_since("Fecha_TSS", CREATED),
     })
-    # the task slots feed both the report and repeat detection (whose as-of
-    # reads its input twice): store them once in the shared folder
-    wide = stage_table(classify_tasks(tasks, pauses, digits=digits), "task_slots").withColumnRenamed("Number_OS_SIOM", "_os")
-    x = x.join(wide, F.col("Nro_TOA") == F.col("_os"), "left").drop("_os")
-    x = x.withColumn("Tiempo_TOA_Autin", rules.minutes_between(created, "Createtime_1"))
-    # repeat detection on keys from the orders and their slots alone (no site
-    # or test join is evaluated for it), staged as its as-of reads them twice,
-    # then joined back on the (unique) order number
-    keys = (o.select("Nro_TOA", "Codigo_Unico", created)
-            .join(wide.select("_os", "Com_Level_1_Aff_Equip_1"), F.col("Nro_TOA") == F.col("_os"), "left").drop("_os"))
-    keys = stage_table(keys, "repeat_keys")
-    rep = repeat.repeat_within(keys, ["Codigo_Unico", "Com_Level_1_Aff_Equip_1"], created, "Nro_TOA",
-                               days=config.REPEAT_DAYS).select("Nro_TOA", "Reiteradas", "TOA_Reiterado")
-    x = x.join(rep, "Nro_TOA", "left")
+    x = x.join(wide.withColumnRenamed("Number_OS_SIOM", "_os"), F.col("Nro_TOA") == F.col("_os"), "left").drop("_os")
+    x = x.withColumn("Tiempo_TOA_Autin", rules.minutes_between(CREATED, "Createtime_1"))
+    # joined back on the (unique) order number
+    x = x.join(repeated.select("Nro_TOA", "Reiteradas", "TOA_Reiterado"), "Nro_TOA", "left")
     report = clean.project_as(x, config.REPORT_COLUMNS)
-    ext = external.select(F.col("activityId").cast("string").alias("_a"), F.col("timeOfBooking").alias("_tb"))
-    report = joins.flag_in(report, "ID_TOA", ext, "_a", "EN_TDE")
-    bounds = ext.agg(F.struct(F.min("_tb").alias("lo"), F.max("_tb").alias("hi"))).scalar()
-    report = report.withColumn("en_rango", rules.in_range_flag("Creacion_TOA", bounds["lo"], bounds["hi"]))
+    report = joins.flag_in(report, "ID_TOA", activities.select(F.col("activityId").cast("string").alias("_a")), "_a", "EN_TDE")
+    report = report.withColumn("en_rango", rules.in_range_flag("Creacion_TOA", lo, hi))
     return report.withColumn("Etiqueta", rules.status_conflict("Estado_TOA", "Estado_1"))
 
 
@@ -229,7 +254,7 @@ def incident_report(incidents: DataFrame, orders: DataFrame, tasks: DataFrame, s
                        *[F.col(f"{c}_{i}") for c in ("Autin_ID", "Estado", "Motivo_Cancel") for i in (1, 2, 3)])
     sl = slots.compact_slots(sl, ["Autin_ID_1", "Autin_ID_2", "Autin_ID_3"],
                              [["Estado_1", "Estado_2", "Estado_3"], ["Motivo_Cancel_1", "Motivo_Cancel_2", "Motivo_Cancel_3"]])
-    x = x.join(sl, "Nro_TOA", "left")
+    x = joins.left_join_known(x, sl.withColumnRenamed("Nro_TOA", "_sl"), "Nro_TOA", "_sl", ["_rk"]).drop("_sl")
     # one lookup of the task table for all three slots: both end times from every
     # task, field observations only from corrective (CM) tasks
     obs_cols = ["Arrive_Time", "Com_Fault_Speciality", "Com_Fault_Sub_Speciality", "Com_Fault_Cause", "Leave_Observations",
