@@ -1203,6 +1203,26 @@ def q_incremental_ingest(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, root, "events_state").select(*ev.columns)
 
 
+@register("stateful_ingest", """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id % 3 DESC, ts DESC, event_id DESC) AS rn
+  FROM events) t WHERE rn = 1""")
+def q_stateful_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """The events land as drops of three days, the middle one last; streaming
+    state keeps the newest day's row per key, and each batch rewrites the folders of
+    the keys that it changes."""
+    from fieldops.session import scratch_path
+    from fieldops.streaming.ingest import ingest_stream
+    from fieldops.sources.io import read_table
+    ev = table(spark, d, "events")
+    base = scratch_path(spark, "stateful")
+    for day in (0, 2, 1):
+        ev.where(F.col("event_id") % 3 == day).write.parquet(f"{base}/landing/{day + 1}.1.drop")
+        ingest_stream(spark, f"{base}/landing/*", ev.schema, ["user_id", "event_type"], ["ts", "event_id"], f"{base}/tables", "events_state",
+                      f"{base}/checkpoint", stateful=True, parts="user_id div 1000").awaitTermination()
+    return read_table(spark, f"{base}/tables", "events_state").select(*ev.columns)
+
+
 # State builds from landed feeds -----------
 
 @register("landing_ingest", f"""

@@ -234,7 +234,8 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Read the current version of a table (pruning and pushdown apply)."""
+    """Read the current version of a table, replaced in full or keyed
+    (pruning and pushdown apply)."""
     pointers = _pointers(spark, root, name)
     if not pointers:
         raise FileNotFoundError(f"no version of table {name} under {root}")
@@ -242,6 +243,9 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     current = spark.read.text(f"{folder}/_current/{pointers[-1]}").first()
     if current is None:
         raise OSError(f"empty pointer {pointers[-1]} of table {name}")
+    if current["value"].startswith("_manifests/"):
+        from fieldops.sources.keyed import KeyedTable
+        return KeyedTable.open(spark, root, name).read()
     return spark.read.parquet(f"{folder}/{current['value']}")
 
 
