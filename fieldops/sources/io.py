@@ -166,15 +166,12 @@ def read_with_banner(spark: SparkSession, path: str | Sequence[str], names: Sequ
     banner), records with fewer columns are filled with NULL.  ``_file`` is the
     file's name, or its folder's with ``by_folder``; ``_line`` the record's place.
 
-    A file with quoted line breaks can't be split, so each is read, and its
-    records are counted, by one task: feeds grow by files."""
-    schema = ", ".join(f"`{n}` string" for n in names)
-    raw = (spark.read.schema(schema).option("multiLine", "true").option("escape", '"').option("sep", sep)
-           .option("header", "false").option("enforceSchema", "true").csv(path if isinstance(path, str) else list(path)))
-    rows = raw.select("*", (folder_name() if by_folder else F.col("_metadata.file_name")).alias(FILE_NAME),
-                      F.col("_metadata.file_path").alias("_path"), F.monotonically_increasing_id().alias("_at"))
-    place = F.row_number().over(Window.partitionBy("_path").orderBy("_at"))
-    return rows.withColumn("_line", place.cast("bigint")).where(F.col("_line") > skip + 1).select(FILE_NAME, "_line", *names)
+    A file is read by as many tasks as it has splits (see ``sources.quoted``)."""
+    from fieldops.sources.quoted import PATH, read_quoted
+    rows = read_quoted(spark, path, names, skip + 1, sep)
+    parts = F.split(F.col(PATH), "/")
+    place = F.replace(F.element_at(parts, -2 if by_folder else -1), F.lit("+"), F.lit("%2B"))
+    return rows.select(F.url_decode(place).alias(FILE_NAME), "_line", *names)
 
 
 # --------------------------------------------------------------------------- S7 / S9 / S10 / S11
