@@ -14,13 +14,18 @@
 
 Boilerplate is dropped wherever it stands: navigation, page headers and footers,
 sidebars, notices, adverts, forms, scripts, styles, comments, by tag, role, or
-the words of class and id.
+the words of class and id.  A name of several words says less, and a wrapper may
+be named after what stands beside it, so an element is not dropped by its name
+if it holds the main, a heading of the first level with a long block, or, where its name
+says something else besides, most of the page's credited text and each article
+and main (reader comments excepted); nor is a header inside an article.
 
 Cases: null or empty html has an empty text; a null url or one without a host
 belongs to the host ''; equal votes go to the smaller path; broken markup
 (unclosed elements, comments, quotes, a cut-off page) is read as browsers do, in
 the main; repeated rows each get a row; an empty table gives an empty result;
-extra columns are ignored.
+extra columns are ignored; very long pages are parsed whole, one at a time.  Pages
+of a host that holds more than a ``HOT``-th of all are dealt over several tasks.
 """
 
 from __future__ import annotations
@@ -34,14 +39,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fieldops.llm.common import read, row_slices
+from fieldops.llm.common import read, row_slices, staged
 
 PATHS = 5  # of a host
+HOT = 1000
+DEALT = 64  # tasks for the pages of a hot host
 LONG = 40  # characters of a block that counts in full
 WORDS_OF_PATH = 24  # elements of a path, from the innermost
 #: Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp svg math".split())
+RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp svg".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                   "header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -53,11 +60,17 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}
         "tbody": ({"tbody", "thead", "tr", "td", "th"}, {"table"}), "tfoot": ({"tbody", "thead", "tr", "td", "th"}, {"table"})}
 DROP_TAGS = frozenset("head nav header footer aside form button select option menu dialog input object canvas video audio map search".split()) | RAW
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar toolbar dialog alert alertdialog".split())
-#: words of a class or id, or beginnings of them, that mark boilerplate
-DROP_WORDS = frozenset("ad ads adv advert adverts header footer menu menus nav sidebar side aside notice notices alert banner consent gdpr popup modal overlay promo "
-                       "share sharing social related recommended newsletter subscribe subscription signup login search pagination pager toolbar widget "
-                       "widgets respond reply replies disqus form masthead sponsor sponsored teaser skip hidden copyright".split())
-DROP_STARTS = ("advert", "sidebar", "comment", "cookie", "navbar", "navig", "breadcrumb", "footer", "sponsor", "notice", "topbar", "toolbar", "submenu")
+#: words that mark boilerplate wherever they stand in a class or id, or as a beginning of a word
+DROP_WORDS = frozenset("ad ads adv advert adverts footer menus nav sidebar notices consent gdpr popup modal newsletter pagination pager toolbar widget "
+                       "widgets disqus masthead sponsor sponsored signup copyright".split())
+DROP_STARTS = ("advert", "sidebar", "cookie", "navbar", "navig", "breadcrumb", "footer", "sponsor", "topbar", "toolbar", "submenu")
+#: words that do so as the whole name or its last word, and some as its first
+DROP_LAST = frozenset("header menu side aside notice alert banner overlay promo share sharing social related recommended subscribe subscription login "
+                      "search form teaser skip hidden".split())
+DROP_FIRST = frozenset("menu banner promo share sharing related recommended subscribe login search teaser skip".split())
+#: words and beginnings that mark reader comments
+TALK = ("comment", "respond", "reply", "replies", "disqus")
+BESIDE = frozenset(("no", "has", "with", "without"))  # before such a word: a page that has it, not the thing
 NEVER_BY_CLASS = frozenset(("html", "body", "main", "article"))
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>""")
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'=<>`]++)))?""")
@@ -68,24 +81,31 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(raw)} if raw and not raw.isspace() else {}
 
 
-def _dropped(tag: str, at: dict[str, str]) -> bool:
+def _dropped(tag: str, at: dict[str, str], in_article: bool) -> str:
+    """'' (stays), 'surely', or by its name alone: 'named', 'pure' if the name says nothing else, 'talk' for reader comments."""
+    if tag == "header" and in_article:
+        return ""
     if tag in DROP_TAGS:
-        return True
+        return "surely"
     if not at:
-        return False
+        return ""
     if "hidden" in at or at.get("aria-hidden") == "true" or "display:none" in at.get("style", "").replace(" ", "").lower():
-        return True
+        return "surely"
     if at.get("role", "").lower() in DROP_ROLES:
-        return True
+        return "surely"
     if tag in NEVER_BY_CLASS:
-        return False
+        return ""
+    found, said = 0, 0
     for name in f"{at.get('class', '')} {at.get('id', '')}".split():
-        words = [w.lower() for w in WORD.findall(name)]
-        if words and words[0] in ("no", "has", "with"):
-            continue
-        if any(w in DROP_WORDS or w.startswith(DROP_STARTS) for w in words):
-            return True
-    return False
+        words = [w.lower() for w in WORD.findall(name) if not w.isdigit()]
+        said += len(words)
+        for i, w in enumerate(words):
+            if i and words[i - 1] in BESIDE or w == "header" and in_article:
+                continue
+            if w.startswith(TALK):
+                return "talk"
+            found += w in DROP_WORDS or w.startswith(DROP_STARTS) or (w in DROP_LAST and i == len(words) - 1) or (w in DROP_FIRST and i == 0)
+    return "" if not found else "pure" if found == said else "named"
 
 
 def _step(tag: str, at: dict[str, str]) -> str:
@@ -103,6 +123,10 @@ class Page:
 
     def __init__(self, html: str | None):
         self.blocks: list[tuple[str, int, int, bool]] = []
+        self._named: list[list] = []  # elements dropped by name: a wrapper's name, holds main, holds h1, articles and mains in it
+        self._articles = 0  # articles and mains of the page
+        self._under: list[tuple[int, ...]] = []  # of each block
+        self._names: tuple[int, ...] = ()
         self.containers: list[tuple[str, int]] = [("", -1)]
         self._text: list[str] = []
         self._linked = 0
@@ -110,16 +134,33 @@ class Page:
         self._heading = False
         if html:
             self._parse(html)
+            self._judge()
 
     def _flush(self) -> None:
         if self._text:
             text = " ".join("".join(self._text).split())
             if text:
                 self.blocks.append((text, min(self._linked, len(text)), self._owner, self._heading))
+                self._under.append(self._names)
             self._text, self._linked = [], 0
 
+    def _judge(self) -> None:
+        """Drop the blocks of elements with a boilerplate name, but for those that hold the article."""
+        if not self._named:
+            return
+        credits = [_credit(b[0], b[1]) for b in self.blocks]
+        inside, long = [0.0] * len(self._named), [False] * len(self._named)
+        for b, c, under in zip(self.blocks, credits, self._under, strict=True):
+            for k in under:
+                inside[k] += c
+                long[k] = long[k] or (len(b[0]) >= LONG and 2 * b[1] <= len(b[0]) and not b[3])
+        whole = sum(credits)
+        gone = {k for k, (wrapper, main, h1, articles) in enumerate(self._named)
+                if not (main or (h1 and long[k]) or (wrapper and 2 * inside[k] > whole and articles == self._articles))}
+        self.blocks = [b for b, under in zip(self.blocks, self._under, strict=True) if gone.isdisjoint(under)]
+
     def _parse(self, html: str) -> None:
-        stack: list[tuple[str, str, int, bool]] = []  # name, path, container, dropped
+        stack: list[tuple[str, str, int, bool, tuple[int, ...]]] = []  # name, path, container, dropped, named elements around
         links = 0
         pos, end = 0, len(html)
 
@@ -189,19 +230,32 @@ class Page:
             if tag in RAW:
                 close = re.compile(f"</{re.escape(tag)}(?=[\\s/>])", re.I).search(html, pos)
                 after = html.find(">", close.end()) if close else -1
+                if tag == "xmp" and close:  # shown as it stands
+                    self._said(entities.escape(html[pos:close.start()]), stack, links)
+                    self._flush()
                 pos = after + 1 if after >= 0 else end
                 continue
             if tag in VOID or m[3].endswith("/") and tag not in BLOCK and tag != "a":
                 continue
             at = _attributes(m[3])
-            name, path, owner, dropped = stack[-1] if stack else ("", "", 0, False)
-            dropped = dropped or _dropped(tag, at)
+            _, path, owner, dropped, names = stack[-1] if stack else ("", "", 0, False, ())
+            if not dropped:
+                why = _dropped(tag, at, any(x[0] in ("article", "main") for x in stack))
+                dropped = why == "surely"
+                if why and not dropped:
+                    names = (*names, len(self._named))
+                    self._named.append([why == "named", False, False, 0])
+                self._articles += tag in ("article", "main")
+                for k in names if tag in ("main", "h1", "article") else ():
+                    self._named[k][1] |= tag == "main"
+                    self._named[k][2] |= tag == "h1"
+                    self._named[k][3] += tag != "h1"
             path = ">".join([*path.split(">")[-WORDS_OF_PATH + 1:], _step(tag, at)]) if path else _step(tag, at)
             if tag in CONTAINERS and not dropped:
                 self.containers.append((path, owner))
                 owner = len(self.containers) - 1
             links += tag == "a"
-            stack.append((tag, path, owner, dropped))
+            stack.append((tag, path, owner, dropped, names))
         self._flush()
 
     def _said(self, raw: str, stack: list, links: int) -> None:
@@ -211,7 +265,7 @@ class Page:
         if not self._text:
             if text.isspace():
                 return
-            self._owner = stack[-1][2] if stack else 0
+            self._owner, self._names = (stack[-1][2], stack[-1][4]) if stack else (0, ())
             self._heading = any(x[0] in HEADINGS for x in stack[-4:])
         self._text.append(text)
         if links:
@@ -299,20 +353,30 @@ def _host(url: str):
     return F.coalesce(F.regexp_extract(F.lower(F.col(url)), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit(""))
 
 
-def consensus_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+def host_votes(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """(host, path, n): votes of each host's pages for a path."""
+    return (pages.select(_host(url).alias("host"), F.col(html).alias("html")).mapInArrow(_votes, "host string, path string")
+            .groupBy("host", "path").agg(F.count(F.lit(1)).alias("n")))
+
+
+def consensus_paths(votes: DataFrame) -> DataFrame:
     """(host, paths): each host's paths by falling number of votes."""
-    votes = (pages.select(_host(url).alias("host"), F.col(html).alias("html")).mapInArrow(_votes, "host string, path string")
-             .where("path IS NOT NULL").groupBy("host", "path").agg(F.count(F.lit(1)).alias("n")))
     rank = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("n"), "path"))
-    return (votes.withColumn("r", rank).where(F.col("r") <= PATHS).groupBy("host")
+    return (votes.where("path IS NOT NULL").withColumn("r", rank).where(F.col("r") <= PATHS).groupBy("host")
             .agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "path"))), lambda x: x["path"]).alias("paths")))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
-    paths = consensus_paths(pages, url, html)
+    votes = staged(host_votes(pages, url, html), "host-votes")
+    total = votes.agg(F.sum("n")).first()[0] or 0
+    # Fewer than HOT hosts hold more than a HOT-th of all pages each, so their list may be broadcast.
+    hot = votes.groupBy("host").agg(F.sum("n").alias("n")).where(F.col("n") * HOT > total).select("host", F.lit(DEALT).alias("dealt"))
+    paths = consensus_paths(votes).join(F.broadcast(hot), "host", "left").select(
+        "host", "paths", F.explode(F.sequence(F.lit(0), F.coalesce("dealt", F.lit(1)) - 1)).alias("salt"))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), _host(url).alias("host"))
-    return rows.join(paths, "host", "left").select("page_id", "url", "html", "paths").mapInArrow(
+    rows = rows.join(F.broadcast(hot), "host", "left").withColumn("salt", F.pmod(F.xxhash64("page_id", "url", "html"), F.coalesce("dealt", F.lit(1))).cast("int"))
+    return rows.join(paths, ["host", "salt"], "left").select("page_id", "url", "html", "paths").mapInArrow(
         _texts, "page_id long, url string, text string, n_chars long")
 
 

@@ -50,3 +50,39 @@ def test_secret_beside_a_base_span_in_one_run_goes(spark):
         "é [SECRET][SECRET] ok", "[SECRET][SECRET]", "[SECRET][SECRET][SECRET]", "[SECRET]/short ok"]
     spans = [x.spans for x in markov_secrets.secret_report(mine, model=model).orderBy("doc_id").collect()]
     assert spans[0] == "access:2:22,markov:22:63" and spans[2] == "markov:0:41,access:41:61,markov:61:102"
+
+
+def _texts(spark, pages):
+    rows = [(i, f"http://h{i}.example/{n}", h) for i, h in enumerate(pages) for n in range(3)]
+    return {r.page_id: r.text for r in host_consensus.extract(spark.createDataFrame(rows, PAGES)).collect()}
+
+
+def test_wrappers_named_after_what_stands_beside_keep_the_article(spark):
+    paragraphs = [_words(30, i) for i in range(9)]
+    body = "".join(f"<p>{p}</p>" for p in paragraphs)
+    beside = f'<div class="sidebar"><p>{_words(25, 50)}</p></div><div class="footer-links"><p>{_words(20, 51)}</p></div>'
+    names = ["layout sidebar-right", "content-with-sidebar", "social-issues", "market-share-report", "has-footer", "widget-area"]
+    got = _texts(spark, [f'<body><div class="{n}"><h1>Title N</h1>{body}{beside}</div></body>' for n in names])
+    assert [got[i] for i in range(len(names))] == ["\n".join(["Title N", *paragraphs])] * len(names)
+    got = _texts(spark, [f'<body><div class="{n}"><div class="text">{body}</div>{beside}</div></body>' for n in names])
+    assert [got[i] for i in range(len(names))] == ["\n".join(paragraphs)] * len(names)
+
+
+def test_header_of_an_article_stays_and_nested_boilerplate_goes(spark):
+    lead, body = _words(15, 70), "".join(f"<p>{_words(30, i)}</p>" for i in range(9))
+    paragraphs = [_words(30, i) for i in range(9)]
+    comments = "".join(f"<li><article class=comment-body><p>{_words(60, 80 + i)}</p></article></li>" for i in range(9))
+    page = (f'<body><header><h1>Site</h1><p>Slogan</p></header><div class="site-header"><h1>Logo</h1></div><article><header class="entry-header"><h1>Title</h1>'
+            f'<p>{lead}</p></header>{body}<div class="share">Share this</div><div class="related-posts"><p>Two</p></div><footer>By me</footer></article>'
+            f'<section id="comments"><ol>{comments}</ol></section></body>')
+    assert _texts(spark, [page])[0] == "\n".join(["Title", lead, *paragraphs])
+    formula = f"<body><article>{body}<p>where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><xmp>a <b> &amp; c</xmp></article></body>"
+    assert _texts(spark, [formula])[0] == "\n".join([*paragraphs, "where x=2 holds", "a <b> &amp; c"])
+
+
+def test_hot_host_clashing_columns_and_repeated_pages(spark):
+    body = "".join(f"<p>{_words(30, i)}</p>" for i in range(9))
+    rows = [(i, "http://hot.example/x" if i % 3 else f"http://h{i}.example/", f"<body><div class=text>{body}</div></body>", "a", 1) for i in range(90)]
+    rows += [rows[1], rows[1], (None, None, None, None, None)]
+    got = host_consensus.extract(spark.createDataFrame(rows, PAGES + ", host string, salt int")).collect()
+    assert len(got) == 93 and {r.text for r in got} == {"\n".join(_words(30, i) for i in range(9)), ""}
