@@ -5,12 +5,18 @@ them go into mergeable quantile sketches per (lang, source).  A sketch is a set
 of (bin, count) rows with logarithmic bins of relative width ``2 * ACCURACY``
 (DDSketch), so sketches merge by adding counts: partial aggregation merges them
 map-side, and small groups fall back to the merged sketch of their language,
-then of the corpus.  The thresholds are outlier fences of those quantiles, and
+then of the corpus.  The thresholds come from those quantiles and
 are joined back to the documents for the verdict.
 
+Symbols, repeated lines and repeated words are 0 in most texts, so quartiles say
+nothing of them; their fence lies above what nine tenths of a group's
+texts have, by a share of a quartile of the group's values that aren't 0.  The mean
+word length has fences on both sides, by the quartile range.
+
 Cases: null text counts as empty (0 words, hence ``base_failed``); null lang or
 source form groups of their own; repeated rows each count and each get a row;
-an empty table gives an empty result; extra columns are ignored by
+an empty table gives an empty result; very long texts are counted whole; a value on
+its fence stays (ties stay together); extra columns are ignored by
 ``measure``/``judge`` and passed through by ``filter_documents``, whose working
 columns all begin with ``_q_``.
 """
@@ -33,13 +39,12 @@ WINDOW = 8
 ACCURACY = 0.01  # relative error of a quantile
 GAMMA = (1 + ACCURACY) / (1 - ACCURACY)
 MIN_GROUP = 200  # documents a group needs for thresholds of its own
-#: metric -> (lower fence too, factor on the quartile range, least quartile range, slack)
-FENCES = {
-    "sym": (False, 3.0, 0.0, 0.1),
-    "dup": (False, 3.0, 0.0, 0.35),
-    "rep": (False, 3.0, 0.0, 0.4),
-    "wlen": (True, 6.0, 0.5, 0.0),
-}
+MIN_SEEN = 20  # and values that aren't 0, where the fence rests on them
+#: metric -> (quartile of the values that aren't 0, its share, least distance): fences above the 90 % quantile
+RARE = {"sym": ("z25", 0.5, 0.05), "dup": ("z75", 1.5, 0.1), "rep": ("z75", 1.5, 0.05)}
+#: metric -> (factor on the quartile range, least quartile range): fences on both sides of the quartiles
+USUAL = {"wlen": (6.0, 0.5)}
+FENCES = [*RARE, *USUAL]
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
 
@@ -121,36 +126,47 @@ def merge(sketch: DataFrame, *keys: str) -> DataFrame:
     return sketch.groupBy(*keys, "metric", "bin").agg(F.sum("n").alias("n"))
 
 
+QUANTILES = {"q25": 0.25, "q75": 0.75, "q90": 0.9}
+QUANTILES_SEEN = {"z25": 0.25, "z75": 0.75}  # of the values that aren't 0
+
+
 def quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, metric, n, q25, q75) from sketches; a quantile is the first bin
+    """(keys, metric, n, seen, quantiles) from sketches; a quantile is the first bin
     at or over its rank, as the bin's middle value."""
     w = Window.partitionBy(*keys, "metric")
-    run = sketch.select("*", F.sum("n").over(w.orderBy(F.col("bin").asc_nulls_first())).alias("upto"), F.sum("n").over(w).alias("total"))
+    ordered = w.orderBy(F.col("bin").asc_nulls_first())
+    some = F.when(F.col("bin").isNotNull(), F.col("n")).otherwise(0)
+    run = sketch.select("*", F.sum("n").over(ordered).alias("upto"), F.sum("n").over(w).alias("total"),
+                        F.sum(some).over(ordered).alias("seen_upto"), F.sum(some).over(w).alias("seen"))
     value = F.when(F.col("bin").isNull(), F.lit(0.0)).otherwise(F.lit(2.0) * F.pow(F.lit(GAMMA), F.col("bin")) / F.lit(GAMMA + 1))
-    at = lambda q: F.min(F.when(F.col("upto") >= F.ceil(F.lit(q) * F.col("total")), value))
-    return run.groupBy(*keys, "metric").agg(F.max("total").alias("n"), at(0.25).alias("q25"), at(0.75).alias("q75"))
+    at = [F.min(F.when(F.col("upto") >= F.ceil(F.lit(q) * F.col("total")), value)).alias(k) for k, q in QUANTILES.items()]
+    at += [F.min(F.when(F.col("bin").isNotNull() & (F.col("seen_upto") >= F.ceil(F.lit(q) * F.col("seen"))), value)).alias(k) for k, q in QUANTILES_SEEN.items()]
+    return run.groupBy(*keys, "metric").agg(F.max("total").alias("n"), F.max("seen").alias("seen"), *at)
 
 
 def thresholds(counted: DataFrame) -> DataFrame:
-    """One row per (lang, source): ``<metric>_lo`` and ``<metric>_hi`` fences
-    from the narrowest of group, language and corpus that has ``MIN_GROUP``
-    documents (the corpus whatever its size)."""
-    fine = staged(sketches(counted), "quality-sketches")
+    """One row per (lang, source) of the texts that pass the base rule, and from
+    their sketches: ``<metric>_lo`` and ``<metric>_hi`` fences from the narrowest of group, language and corpus that has ``MIN_GROUP``
+    documents and ``MIN_SEEN`` values (the corpus whatever it has)."""
+    fine = staged(sketches(counted.where(~base_failed())), "quality-sketches")
     group = quantiles(fine, ["lang", "source"])
     lang = quantiles(merge(fine, "lang"), ["lang"])
     corpus = quantiles(merge(fine), [])
     g, a, c = group.alias("g"), lang.alias("a"), corpus.alias("c")
+    enough = lambda x: (F.col(f"{x}.n") >= MIN_GROUP) & (F.col("g.metric").isin(*USUAL) | (F.col(f"{x}.seen") >= MIN_SEEN))
     picked = (g.join(a, (F.col("g.lang").eqNullSafe(F.col("a.lang"))) & (F.col("g.metric") == F.col("a.metric")))
               .join(c, F.col("g.metric") == F.col("c.metric"))
               .select("g.lang", "g.source", "g.metric", *[
-                  F.when(F.col("g.n") >= MIN_GROUP, F.col(f"g.{q}")).when(F.col("a.n") >= MIN_GROUP, F.col(f"a.{q}"))
-                  .otherwise(F.col(f"c.{q}")).alias(q) for q in ("q25", "q75")]))
+                  F.when(enough("g"), F.col(f"g.{q}")).when(enough("a"), F.col(f"a.{q}"))
+                  .otherwise(F.col(f"c.{q}")).alias(q) for q in (*QUANTILES, *QUANTILES_SEEN)]))
     out = []
-    for m, (both, k, least, slack) in FENCES.items():
+    for m, (z, share, least) in RARE.items():
+        out.append(F.max(F.when(F.col("metric") == m, F.col("q90") + F.greatest(F.lit(share) * F.coalesce(z, F.lit(0.0)), F.lit(least)))).alias(f"{m}_hi"))
+        out.append(F.lit(-1.0).alias(f"{m}_lo"))
+    for m, (k, least) in USUAL.items():
         spread = F.lit(k) * F.greatest(F.col("q75") - F.col("q25"), F.lit(least))
-        mine = F.col("metric") == m
-        out.append(F.max(F.when(mine, F.col("q75") + spread + F.lit(slack))).alias(f"{m}_hi"))
-        out.append(F.max(F.when(mine, F.col("q25") - spread - F.lit(slack) if both else F.lit(-1.0))).alias(f"{m}_lo"))
+        out.append(F.max(F.when(F.col("metric") == m, F.col("q75") + spread)).alias(f"{m}_hi"))
+        out.append(F.max(F.when(F.col("metric") == m, F.col("q25") - spread)).alias(f"{m}_lo"))
     return picked.groupBy("lang", "source").agg(*out)
 
 
@@ -213,27 +229,33 @@ m AS (SELECT d.doc_id, d.lang, d.source, len(ws)::BIGINT AS n_words,
 r AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
              n_symbols::DOUBLE / greatest(n_words, 1) AS sym, n_dup_lines::DOUBLE / greatest(n_lines, 1) AS dup,
              n_repeat_words::DOUBLE / greatest(n_words, 1) AS rep, word_chars::DOUBLE / greatest(n_words, 1) AS wlen FROM m),
-v AS (SELECT lang, source, 'sym' AS metric, sym AS x FROM r UNION ALL SELECT lang, source, 'dup', dup FROM r
-      UNION ALL SELECT lang, source, 'rep', rep FROM r UNION ALL SELECT lang, source, 'wlen', wlen FROM r),
+ok AS (SELECT * FROM r WHERE NOT base_failed),
+v AS (SELECT lang, source, 'sym' AS metric, sym AS x FROM ok UNION ALL SELECT lang, source, 'dup', dup FROM ok
+      UNION ALL SELECT lang, source, 'rep', rep FROM ok UNION ALL SELECT lang, source, 'wlen', wlen FROM ok),
 b AS (SELECT *, CASE WHEN x > 0 THEN ceil(ln(x) / {lg}) END AS bin FROM v),
 g AS (SELECT lang, source, metric, 0 AS lvl, bin FROM b UNION ALL SELECT lang, NULL, metric, 1, bin FROM b UNION ALL SELECT NULL, NULL, metric, 2, bin FROM b),
 c AS (SELECT lang, source, metric, lvl, bin, count(*) AS n FROM g GROUP BY ALL),
 u AS (SELECT *, sum(n) OVER (PARTITION BY lang, source, metric, lvl ORDER BY bin NULLS FIRST) AS upto,
              sum(n) OVER (PARTITION BY lang, source, metric, lvl) AS total,
+             sum(CASE WHEN bin IS NULL THEN 0 ELSE n END) OVER (PARTITION BY lang, source, metric, lvl ORDER BY bin NULLS FIRST) AS seen_upto,
+             sum(CASE WHEN bin IS NULL THEN 0 ELSE n END) OVER (PARTITION BY lang, source, metric, lvl) AS seen,
              CASE WHEN bin IS NULL THEN 0.0 ELSE 2.0 * pow({g}, bin) / {g1} END AS val FROM c),
-q AS (SELECT lang, source, metric, lvl, max(total) AS n, min(val) FILTER (upto >= ceil(0.25 * total)) AS q25,
-             min(val) FILTER (upto >= ceil(0.75 * total)) AS q75 FROM u GROUP BY ALL),
+q AS (SELECT lang, source, metric, lvl, max(total) AS n, max(seen) AS seen, min(val) FILTER (upto >= ceil(0.25 * total)) AS q25,
+             min(val) FILTER (upto >= ceil(0.75 * total)) AS q75, min(val) FILTER (upto >= ceil(0.9 * total)) AS q90,
+             min(val) FILTER (bin IS NOT NULL AND seen_upto >= ceil(0.25 * seen)) AS z25,
+             min(val) FILTER (bin IS NOT NULL AND seen_upto >= ceil(0.75 * seen)) AS z75 FROM u GROUP BY ALL),
 p AS (SELECT a.lang, a.source, a.metric,
-             CASE WHEN a.n >= {mg} THEN a.q25 WHEN l.n >= {mg} THEN l.q25 ELSE t.q25 END AS q25,
-             CASE WHEN a.n >= {mg} THEN a.q75 WHEN l.n >= {mg} THEN l.q75 ELSE t.q75 END AS q75
+             unnest([CASE WHEN a.n >= {mg} AND (a.metric = 'wlen' OR a.seen >= {ms}) THEN struct_pack(q25 := a.q25, q75 := a.q75, q90 := a.q90, z25 := a.z25, z75 := a.z75)
+                  WHEN l.n >= {mg} AND (a.metric = 'wlen' OR l.seen >= {ms}) THEN struct_pack(q25 := l.q25, q75 := l.q75, q90 := l.q90, z25 := l.z25, z75 := l.z75)
+                  ELSE struct_pack(q25 := t.q25, q75 := t.q75, q90 := t.q90, z25 := t.z25, z75 := t.z75) END], recursive := true)
       FROM q a JOIN q l ON l.lvl = 1 AND l.metric = a.metric AND l.lang IS NOT DISTINCT FROM a.lang
                JOIN q t ON t.lvl = 2 AND t.metric = a.metric WHERE a.lvl = 0),
-h AS (SELECT lang, source, max(q75 + 3 * (q75 - q25) + 0.1) FILTER (metric = 'sym') AS sym_hi,
-             max(q75 + 3 * (q75 - q25) + 0.35) FILTER (metric = 'dup') AS dup_hi,
-             max(q75 + 3 * (q75 - q25) + 0.4) FILTER (metric = 'rep') AS rep_hi,
+h AS (SELECT lang, source, max(q90 + greatest(0.5 * coalesce(z25, 0), 0.05)) FILTER (metric = 'sym') AS sym_hi,
+             max(q90 + greatest(1.5 * coalesce(z75, 0), 0.1)) FILTER (metric = 'dup') AS dup_hi,
+             max(q90 + greatest(1.5 * coalesce(z75, 0), 0.05)) FILTER (metric = 'rep') AS rep_hi,
              max(q75 + 6 * greatest(q75 - q25, 0.5)) FILTER (metric = 'wlen') AS wlen_hi,
              max(q25 - 6 * greatest(q75 - q25, 0.5)) FILTER (metric = 'wlen') AS wlen_lo FROM p GROUP BY lang, source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, base_failed,
        NOT base_failed AND sym <= sym_hi AND dup <= dup_hi AND rep <= rep_hi AND wlen <= wlen_hi AND wlen >= wlen_lo AS kept
-FROM r JOIN h ON r.lang IS NOT DISTINCT FROM h.lang AND r.source IS NOT DISTINCT FROM h.source
-""".replace("{lg}", repr(math.log(GAMMA))).replace("{g1}", repr(GAMMA + 1)).replace("{g}", repr(GAMMA)).replace("{mg}", str(MIN_GROUP))
+FROM r LEFT JOIN h ON r.lang IS NOT DISTINCT FROM h.lang AND r.source IS NOT DISTINCT FROM h.source
+""".replace("{lg}", repr(math.log(GAMMA))).replace("{g1}", repr(GAMMA + 1)).replace("{g}", repr(GAMMA)).replace("{mg}", str(MIN_GROUP)).replace("{ms}", str(MIN_SEEN))

@@ -258,6 +258,32 @@ def test_quality_keeps_clean_and_drops_symbol_noise(spark):
     assert kept.count() == 60 and kept.columns == corpus_pipeline.COLUMNS
 
 
+def test_quality_fences_follow_the_group_and_each_rejects_a_planted_text(spark):
+    r = random.Random(6)
+    word = lambda: f"{r.choice('alpha beta gamma delta epsilon zeta eta theta'.split())}{r.randrange(10**6)}"
+    lines = lambda n=8, k=15: [" ".join(word() for _ in range(k)) for _ in range(n)]
+
+    def mild(i, much):
+        x = lines()
+        if i % 10 == 1:
+            x[0] += " ###" * much
+        if i % 10 == 2:
+            x += ["one short line"] * (1 + much)
+        if i % 10 == 3:
+            x += [" ".join(x[0].split()[:8 + much])]
+        return "\n".join(x)
+
+    rows = [(1000 * g + i, mild(i, much), lang, "s", 0) for g, (lang, much) in enumerate((("en", 1), ("fr", 3))) for i in range(300)]
+    bad = ["\n".join(x.replace(" ", "### ") for x in lines()), "\n".join([*lines(), *["one short line"] * 8]),
+           "\n".join([*(x := lines()), " ".join(x[0].split()[:15] + x[1].split()[:5])]), "\n".join(" ".join(word() * 3 for _ in range(15)) for _ in range(8))]
+    docs = frame(spark, rows + [(5000 + i, t, "en", "s", 0) for i, t in enumerate(bad)])
+    got = {x.doc_id: x for x in adaptive_quality.quality_report(docs).collect()}
+    assert not any(got[5000 + i].base_failed or got[5000 + i].kept for i in range(4))
+    assert sum(got[k].kept for k in got if k < 5000) >= 0.98 * 600
+    limits = adaptive_quality.thresholds(adaptive_quality._measured(docs, "doc_id", "text", "lang", "source")).orderBy("lang").collect()
+    assert all(limits[0][f"{m}_hi"] < limits[1][f"{m}_hi"] for m in ("sym", "dup", "rep")) and limits[1]["rep_hi"] < 0.3
+
+
 def test_toxicity_label_model_and_held_out(spark):
     r = np.random.default_rng(0)
     y = (r.random(4000) < 0.3).astype(int)
