@@ -41,7 +41,7 @@ GAMMA = (1 + ACCURACY) / (1 - ACCURACY)
 MIN_GROUP = 200  # documents a group needs for thresholds of its own
 MIN_SEEN = 20  # and values that aren't 0, where the fence rests on them
 #: metric -> (quartile of the values that aren't 0, its share, least distance): fences above the 90 % quantile
-RARE = {"sym": ("z25", 0.5, 0.05), "dup": ("z75", 1.5, 0.1), "rep": ("z75", 1.5, 0.05)}
+RARE = {"sym": ("z25", 0.5, 0.1), "dup": ("z75", 1.5, 0.1), "rep": ("z75", 1.5, 0.05)}
 #: metric -> (factor on the quartile range, least quartile range): fences on both sides of the quartiles
 USUAL = {"wlen": (6.0, 0.5)}
 FENCES = [*RARE, *USUAL]
@@ -250,7 +250,7 @@ p AS (SELECT a.lang, a.source, a.metric,
                   ELSE struct_pack(q25 := t.q25, q75 := t.q75, q90 := t.q90, z25 := t.z25, z75 := t.z75) END], recursive := true)
       FROM q a JOIN q l ON l.lvl = 1 AND l.metric = a.metric AND l.lang IS NOT DISTINCT FROM a.lang
                JOIN q t ON t.lvl = 2 AND t.metric = a.metric WHERE a.lvl = 0),
-h AS (SELECT lang, source, max(q90 + greatest(0.5 * coalesce(z25, 0), 0.05)) FILTER (metric = 'sym') AS sym_hi,
+h AS (SELECT lang, source, max(q90 + greatest(0.5 * coalesce(z25, 0), 0.1)) FILTER (metric = 'sym') AS sym_hi,
              max(q90 + greatest(1.5 * coalesce(z75, 0), 0.1)) FILTER (metric = 'dup') AS dup_hi,
              max(q90 + greatest(1.5 * coalesce(z75, 0), 0.05)) FILTER (metric = 'rep') AS rep_hi,
              max(q75 + 6 * greatest(q75 - q25, 0.5)) FILTER (metric = 'wlen') AS wlen_hi,
