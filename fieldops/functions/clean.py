@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +19,12 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once however often it is used; inlined
+    copies of a long expression grow the generated code and its time."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(c: Column | str) -> Column:
     """Trim any whitespace (tabs, line breaks, no-break spaces) at both ends."""
     return F.btrim(_col(c), F.lit(_WHITESPACE))
@@ -173,17 +179,18 @@ def canon_id(c: Column | str, width: int = 8) -> Column:
     truncated); other text passes unchanged, and so do numbers of more than 38
     digits; NULL/'' -> NULL."""
     s = _col(c).cast("string")
-    num = to_double(s)
-    exact = F.abs(num) < float(1 << 53)
-    digits = F.when(exact, num.try_cast("bigint").cast("string")).otherwise(strip(s).try_cast("decimal(38,0)").cast("string"))
-    neg = digits.startswith("-")
-    body = F.when(neg, F.substring(digits, 2, 1 << 30)).otherwise(digits)
-    fill = F.when(neg, width - 1).otherwise(width)
-    padded = F.when(F.length(body) < fill, F.lpad(body, fill, "0")).otherwise(body)
-    filled = F.when(neg, F.concat(F.lit("-"), padded)).otherwise(padded)
-    return (F.when(s.isNull() | (s == ""), F.lit(None))
-            .when(num.isNotNull() & digits.isNotNull(), filled)
-            .otherwise(s))
+
+    def digits(t: Column) -> Column:
+        """Integer text of numeric text; as a decimal only where a double isn't exact."""
+        return bind(t.try_cast("double"), lambda x: F.when(F.abs(x) < float(1 << 53), x.try_cast("bigint").cast("string"))
+                    .otherwise(t.try_cast("decimal(38,0)").cast("string")))
+
+    def filled(d: Column) -> Column:
+        fill = lambda body, n: F.lpad(body, F.greatest(F.length(body), F.lit(n)), F.lit("0"))
+        return F.when(d.startswith("-"), F.concat(F.lit("-"), fill(F.substring(d, 2, 1 << 30), width - 1))).otherwise(fill(d, width))
+
+    number = bind(bind(strip(s), digits), filled)
+    return F.when(s.isNull() | (s == ""), F.lit(None)).when(s.rlike(_NUMERIC_TEXT), F.coalesce(number, s)).otherwise(s)
 
 
 def zero_fill(c: Column | str, width: int) -> Column:

@@ -1329,7 +1329,7 @@ ev AS (SELECT e.event_id, e.user_id, o.o_custkey,
          o.o_orderdate + to_minutes(CAST(o.o_orderkey % 1440 AS BIGINT)) AS ocreated
        FROM events e LEFT JOIN orders o ON e.event_id = o.o_orderkey WHERE e.event_type = 'error'),
 inc0 AS (SELECT
-    CASE WHEN event_id % 3 = 0 THEN 'INC' || lpad(CAST(event_id AS VARCHAR), 7, '0')
+    CASE WHEN event_id % 3 = 0 THEN 'INC' || lpad(CAST(event_id AS VARCHAR), CAST(greatest(7, length(CAST(event_id AS VARCHAR))) AS INTEGER), '0')
          ELSE 'R' || CAST(event_id AS VARCHAR) END AS ID_incidencia,
     ocreated - to_minutes(CAST((event_id % 7) * 60 + 30 AS BIGINT)) AS Fecha_inicio_incidente,
     'INC | ' || CASE WHEN event_id % 4 = 0 THEN 'ac failure' ELSE 'alarma de energia' END || ' | nodo' AS Resumen,
@@ -1369,7 +1369,7 @@ ifk AS (SELECT ID_incidencia, arg_min(code, pos) AS ID_Sitio FROM iex WHERE code
 ie AS (SELECT id.*, ifk.ID_Sitio,
          coalesce(regexp_matches(Notas, 'CD\\d{{6}}|CR\\d{{5}}|Circuito:|CIRCUITO:'), false) AS corp,
          coalesce(nullif(regexp_extract(regexp_replace(regexp_extract(Notas, '(?i)(?:TOA:|SIOM:)([^\\n]*?)(?:\\n|$)', 1),
-                  {ws}), '(\\d{{8}})', 1), ''), 'sin TOA en notas') AS TOA_notas
+                  {ws}), '(\\d{{8,19}})', 1), ''), 'sin TOA en notas') AS TOA_notas
        FROM id LEFT JOIN ifk ON id.ID_incidencia = ifk.ID_incidencia),
 itoa AS (SELECT Nro_TOA, ID_del_Ticket,
            regexp_replace(trim("Número_de_Petición"), '-\\d{{2}}$', '') AS "Número_de_Petición",

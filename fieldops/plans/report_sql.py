@@ -14,8 +14,8 @@ def _phrases() -> str:
 
 
 def site_code(k: str) -> str:
-    return (f"('S' || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ', CAST(floor({k} / 100000) % 26 + 1 AS INTEGER), 1)"
-            f" || lpad(CAST({k} % 100000 AS VARCHAR), 5, '0'))")
+    return (f"(CASE WHEN {k} >= 2600000 THEN 'SZ' || CAST({k} AS VARCHAR) ELSE 'S' || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ', CAST(floor({k} / 100000) % 26 + 1 AS INTEGER), 1)"
+            f" || lpad(CAST({k} % 100000 AS VARCHAR), 5, '0') END)")
 
 
 def case_map(col: str, mapping: dict[str, str]) -> str:
@@ -79,7 +79,7 @@ wo2 AS (
       AS "Fecha_Hora_de_Cancelación",
     o_orderpriority AS Subtipo_de_Actividad,
     'PET' || CAST(o_orderkey AS VARCHAR) || '-01' AS "Número_de_Petición",
-    CASE WHEN o_orderstatus = 'F' THEN 'INC' || lpad(CAST(o_orderkey AS VARCHAR), 7, '0')
+    CASE WHEN o_orderstatus = 'F' THEN 'INC' || lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(7, length(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0')
          ELSE 'TT' || CAST(o_orderkey AS VARCHAR) END AS ID_del_Ticket,
     CASE WHEN o_orderpriority = '1-URGENT' THEN 'Mantenimiento proactivo'
          WHEN o_totalprice < 2000 THEN 'Ticket de prueba' END AS Notas,
@@ -179,7 +179,7 @@ fc AS (SELECT * REPLACE (
 fr AS (SELECT *, row_number() OVER (PARTITION BY Number_OS_SIOM
          ORDER BY CASE Task_Status WHEN 'closed' THEN 1 WHEN 'completed' THEN 2 WHEN 'canceled' THEN 4 ELSE 3 END,
                   Createtime NULLS LAST, Task_Id, Hora_PR NULLS LAST, Estado_PR NULLS LAST, Motivo_PR NULLS LAST) AS Orden
-       FROM fc WHERE coalesce(length(Number_OS_SIOM) = 8, false)),
+       FROM fc WHERE coalesce(length(Number_OS_SIOM) BETWEEN 8 AND 19, false)),
 ft AS (SELECT *, CASE WHEN Complete_Time IS NOT NULL
                       THEN date_diff('microsecond', Createtime, Complete_Time) / 3600000000.0::DOUBLE END AS Duration_hours
        FROM fr WHERE Orden <= 3),
