@@ -276,18 +276,34 @@ def stored_tables(spark: SparkSession, root: str) -> list[str]:
     return [n for n in names if _pointers(spark, root, n)]
 
 
-def inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Every stored table with its row count, as one DataFrame (one job)."""
-    parts = [read_table(spark, root, t).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows")
-             for t in stored_tables(spark, root)]
-    if not parts:
-        return spark.createDataFrame([], "table_name string, n_rows long")
+def counting_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application in which ``count(*)`` of Parquet files is
+    answered from their footers: the newer file source, with aggregates pushed down."""
+    s = spark.newSession()
+    s.conf.set("spark.sql.sources.useV1SourceList", ",".join(
+        x for x in s.conf.get("spark.sql.sources.useV1SourceList").split(",") if x.strip() != "parquet"))
+    s.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return s
+
+
+def _counts(tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
+    """(table_name, n_rows), one job."""
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows") for t, df in tables]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def inventory(spark: SparkSession, root: str) -> DataFrame:
+    """Every stored table with its row count, as one DataFrame (one job
+    that reads file footers; see ``counting_session``)."""
+    names, s = stored_tables(spark, root), counting_session(spark)
+    if not names:
+        return spark.createDataFrame([], "table_name string, n_rows long")
+    return _counts([(t, read_table(s, root, t)) for t in names])
+
+
 def export_stored(spark: SparkSession, root: str, out: str) -> list[str]:
     """Export the current version of every stored table, one Parquet
     folder each, named like the table."""
@@ -298,10 +314,7 @@ def export_stored(spark: SparkSession, root: str, out: str) -> list[str]:
 
 
 def table_counts(spark: SparkSession, sf_dir: str, tables: Sequence[str] = TABLES) -> DataFrame:
-    """Table inventory with row counts, as one DataFrame (one job)."""
-    parts = [table(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("n_rows")).select(
-        F.lit(t).alias("table_name"), "n_rows") for t in tables]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Table inventory with row counts, as one DataFrame (one job that
+    reads file footers; see ``counting_session``)."""
+    s = counting_session(spark)
+    return _counts([(t, table(s, sf_dir, t)) for t in tables])

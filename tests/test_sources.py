@@ -4,6 +4,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from fieldops.sources import io
+from fieldops.sources.keyed import KeyedTable
 from fieldops.sources.sites import build_sites, pick_feeds
 
 
@@ -131,3 +132,15 @@ def test_incident_state_judges_the_latest_row(spark):
     _write(f"{d}/c.txt", head + row("I2", "", "NOC"))
     out = incident_state(spark, f"{d}/c.txt", f"{d}/t", "inc", "1")
     assert [r.ID_incidencia for r in out.collect()] == ["I3"]
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    root = f"file:{tmp_path}"
+    io.write_table(spark.range(50).repartition(3), root, "full", "0")
+    KeyedTable.create(spark.range(70), root, "keyed", ["id"], "pmod(id, 4)").publish()
+    for df, want in ((io.inventory(spark, root), {"full": 50, "keyed": 70}), (io.table_counts(spark, "/root/testdata/sf0.001", ["orders", "labels"]), None)):
+        got = {r.table_name: r.n_rows for r in df.collect()}
+        assert want is None and got["orders"] == 1500 or got == want
+        plan = df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+        assert plan.count("PushedAggregation: [COUNT(*)]") == plan.count("Location:") == len(got)
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
