@@ -291,3 +291,12 @@ INCIDENT_DATE_FORMATS = [
     ("%d/%m/%Y %H:%M:%S", "d/M/yyyy H:m:s"), ("%d/%m/%Y %H:%M", "d/M/yyyy H:m"), ("%d/%m/%Y", "d/M/yyyy"),
     ("%Y-%m-%d %H:%M:%S", "yyyy-M-d H:m:s"), ("%Y-%m-%d %H:%M", "yyyy-M-d H:m"), ("%Y-%m-%d", "yyyy-M-d"),
 ]
+
+# Contract types of the published report's columns that aren't text.
+REPORT_CONTRACT = {
+    **dict.fromkeys(["Rechazos", "Dias_Swap", "Dias_TSS", "Dias_Abastecimiento", "Alarmas_Activas"], "INTEGER"),
+    **dict.fromkeys(["Tiempo_TOA_Autin", "Duracion_Horas"], "REAL"),
+    **dict.fromkeys(["Creacion_TOA", "Cierre_TOA", "SLA_Inicio", "SLA_Fin", "Fecha_Fin_Swap", "Fecha_TSS", "Hora_Creacion_Abastecimiento"], "DATETIME"),
+    **{f"{n}_PR{i}": "DATETIME" for n in ("Inicio", "Fin") for i in (1, 2, 3, 4)},
+    **{f"Hora_PR_{i}": "DATETIME" for i in (1, 2, 3)},
+}

@@ -169,6 +169,23 @@ def strip_literal(c: Column | str, literal: str) -> Column:
     return strip(F.replace(_col(c), F.lit(literal), F.lit("")))
 
 
+#: Spark types that already are a contract type.
+CONTRACT_TYPES = {"INTEGER": ("byte", "short", "integer", "long"), "REAL": ("float", "double"), "TEXT": ("string",), "DATE": ("date",),
+                  "DATETIME": ("timestamp", "timestamp_ntz")}
+
+
+def ensure_contract(df: DataFrame, contract: Mapping[str, str]) -> DataFrame:
+    """C4 for a table that may be typed already: casts the contract columns that
+    are of another type; a report read back from text gets its types again."""
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    cast = {c: k for c, k in contract.items() if c in kinds and kinds[c] not in CONTRACT_TYPES[k.upper()]}
+
+    def typed(c: str) -> Column:
+        return bind(F.col(f"`{c}`"), lambda v: cast_to(v, cast[c])).alias(c)
+
+    return df.select(*[typed(c) if c in cast else F.col(f"`{c}`") for c in df.columns])
+
+
 def strip_suffix(c: Column | str, pattern: str = config.RX_PETITION_SUFFIX) -> Column:
     """Trim, then drop a trailing '-dd'."""
     return F.regexp_replace(strip(_col(c)), pattern, "")

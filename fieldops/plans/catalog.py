@@ -1252,6 +1252,22 @@ def q_landing_ingest(spark: SparkSession, d: str) -> DataFrame:
                       F.col("Fecha_de_Registro_de_actividad_TOA").alias("Creacion"), F.col("Subtipo_de_Actividad").alias("Subtipo"), "origen")
 
 
+@register("pause_ingest", "WITH " + report_sql.consolidated_ctes() + """
+SELECT Order_ID, Operation_Time, Pause_Time, Reason, Order_ID || '_' || strftime(Operation_Time, '%Y-%m-%d %H:%M:%S') AS Index FROM p""")
+def q_pause_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """Pauses land as text in two drops and a file without the order's column;
+    their key is made of order and time (C12)."""
+    from fieldops.plans import feeds
+    from fieldops.plans.ingest import ingest
+    from fieldops.session import scratch_path
+    from fieldops.sources.io import list_files
+    base = scratch_path(spark, "pauses")
+    files = [f for drop in feeds.pause_drops(spark, d, f"{base}/feed") for f in list_files(spark, drop)]
+    contract = {"Order_ID": "TEXT", "Operation_Time": "DATETIME", "Pause_Time": "TEXT", "Reason": "TEXT"}
+    out, _ = ingest(spark, files, "Index", contract, f"{base}/tables", "pauses", "0", required=["Order ID"], make_key=["Order_ID", "Operation_Time"])
+    return out.select(*contract, "Index")
+
+
 @register("incident_state", """
 WITH x AS (SELECT e.*, text, event_id % 5 = 0 AS again,
              CASE WHEN event_id % 10 = 0 THEN 'FLM HUAWEI' WHEN event_id % 5 = 0 THEN 'NOC'

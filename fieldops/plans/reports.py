@@ -7,6 +7,8 @@ Catalyst prunes the many unused feed columns down to the scans."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -150,12 +152,14 @@ def vendor_extracts(report: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- W6
 
-def published_report(report: DataFrame, as_of: Column) -> DataFrame:
+def published_report(report: DataFrame, as_of: Column, contract: Mapping[str, str] = config.REPORT_CONTRACT) -> DataFrame:
     """Age of open work orders as of ``as_of`` with its colour band, and
     the attention flags the workbook highlighted (rejections, recent swap /
     TSS, paused slots) beside every column of the report, whose placeholders
     (0, NULL, 'nan', 'None') are blanked but for times, which keep their type; newest orders first (O1).
-    Cell colours themselves are presentation."""
+    Cell colours themselves are presentation.  Columns that aren't of their
+    ``contract`` type (a report read back from text) are cast first (C4)."""
+    report = clean.ensure_contract(report, contract)
     x = report.withColumn("Semaforo_horas", rules.open_age_hours("Creacion_TOA", "Estado_TOA", as_of))
     x = x.withColumn("Semaforo", rules.age_band("Semaforo_horas"))
     x = x.withColumns({

@@ -5,7 +5,8 @@ import datetime
 import duckdb
 from pyspark.sql import functions as F
 
-from fieldops.functions import text
+from fieldops import config
+from fieldops.functions import clean, text
 from fieldops.plans import catalog, reports, roles
 
 from conftest import SF_SMALL
@@ -35,3 +36,15 @@ def test_incremental_ingest_keeps_keys_with_null_times_alone(spark, tmp_path):
     db.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
     want = db.execute(f"select user_id, event_type, event_id, ts from ({catalog.ORACLE['incremental_ingest']})").fetchall()
     assert got == set(want) and len(want) == len(got) and any(r[3] is None for r in want)
+
+
+def test_published_report_of_a_report_read_back_from_text(spark, tmp_path):
+    typed = catalog.QUERIES["consolidated_report"](spark, SF_SMALL).limit(300)
+    times = [c for c, k in config.REPORT_CONTRACT.items() if k == "DATETIME"]
+    typed = typed.withColumns({c: F.date_trunc("second", c).cast("timestamp_ntz") for c in times}).persist()
+    typed.select(*[(clean.fmt_ts(c) if c in times else F.col(c).cast("string")).alias(c) for c in typed.columns]).write.option("header", "true").option("quoteAll", "true").option("escape", '"').csv(f"file:{tmp_path}/r")
+    text_only = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(f"file:{tmp_path}/r")
+    assert {f.dataType.typeName() for f in text_only.schema.fields} == {"string"}
+    as_of = F.lit(catalog.PUBLISH_AS_OF).cast("timestamp_ntz")
+    rows = lambda df: [tuple(str(v) for v in r) for r in df.collect()]
+    assert rows(reports.published_report(text_only, as_of)) == rows(reports.published_report(typed, as_of))
