@@ -1,7 +1,7 @@
 """Benchmark: every catalogue query at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is built and run once to warm up (JIT, file listing, plan caches),
-then timed ``BENCH_RUNS`` times (default 3) into a ``noop`` sink (the full plan runs, no output is
+then timed ``BENCH_RUNS`` times (default 3; once if it took over ``LONG`` seconds) into a ``noop`` sink (the full plan runs, no output is
 written); the median is reported.  Prints one JSON line.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py [query ...]
@@ -21,6 +21,9 @@ from fieldops.plans.catalog import QUERIES  # noqa: E402
 from fieldops.session import local_session  # noqa: E402
 
 
+LONG = 30
+
+
 def run_once(spark, fn, sf_dir: str) -> float:
     t0 = time.perf_counter()
     fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -39,8 +42,8 @@ def main() -> None:
     for name in names:
         samples: list[float] = []
         try:
-            run_once(spark, QUERIES[name], sf_dir)
-            samples = [run_once(spark, QUERIES[name], sf_dir) for _ in range(runs)]
+            warm = run_once(spark, QUERIES[name], sf_dir)
+            samples = [run_once(spark, QUERIES[name], sf_dir) for _ in range(1 if warm > LONG else runs)]
             times[name] = round(statistics.median(samples), 3)
         except Exception as e:  # noqa: BLE001 - report and continue with the other queries
             errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
