@@ -212,33 +212,6 @@ def neighbours(df: DataFrame, by: Sequence[str] | str, ts: str, row_id: str, pay
 
 # --------------------------------------------------------------------------- J4 / J5 interval joins
 
-def _range_pairs(left: DataFrame, right: DataFrame, by: Sequence[str], left_id: str, left_ts: str,
-                 right_ts: str, lo_micros: int, hi_micros: int, payload: Sequence[str]) -> DataFrame:
-    """Exact pairs with right_ts in [left_ts + lo, left_ts + hi] on equal keys.
-
-    Equi-join on (key, time bucket) with bucket width = window width: the left
-    row is sent to the (at most two) buckets its window touches, each right row
-    lives in exactly one bucket, so every true pair appears once; the residual
-    filter is the exact window."""
-    width = max(hi_micros - lo_micros, 1)
-    lsel = left.where(F.col(left_ts).isNotNull())
-    for k in by:
-        lsel = lsel.where(F.col(k).isNotNull())
-    lmic = _micros(F.col(left_ts))
-    b_lo = F.floor((lmic + F.lit(lo_micros)) / F.lit(float(width))).cast("bigint")
-    b_hi = F.floor((lmic + F.lit(hi_micros)) / F.lit(float(width))).cast("bigint")
-    l = lsel.select(*[F.col(k).alias(f"_by{i}") for i, k in enumerate(by)], F.col(left_id).alias("_lid"),
-                    F.col(left_ts).alias("_lts"),
-                    F.explode(F.array_distinct(F.array(b_lo, b_hi))).alias("_b"))
-    r = right.where(F.col(right_ts).isNotNull()).select(
-        *[F.col(k).alias(f"_by{i}") for i, k in enumerate(by)],
-        F.col(right_ts).alias("_rts"), _bucket(F.col(right_ts), width).alias("_b"),
-        *[F.col(c).alias(f"_p_{c}") for c in payload])
-    byc = [f"_by{i}" for i in range(len(by))]
-    gap = micros_between(F.col("_lts"), F.col("_rts"))
-    return l.join(r, [*byc, "_b"], "inner").where((gap >= lo_micros) & (gap <= hi_micros))
-
-
 def interval_candidates(left: DataFrame, right: DataFrame, by: Sequence[str] | str, left_id: str, left_ts: str,
                         right_ts: str, before_micros: int, after_micros: int, right_id: str,
                         payload: Sequence[str], k: int = 2, prefix: str = "cand") -> DataFrame:
@@ -285,20 +258,34 @@ def interval_collect(left: DataFrame, right: DataFrame, by: Sequence[str] | str,
     """Count and time-ordered id list of right rows within
     [left_ts + lo, left_ts + hi] on the same key.  No match -> (0, []);
     NULL key or time on the left -> (NULL, NULL).  The list is the result
-    itself, so it is never capped."""
+    itself, so it is never capped.
+
+    No pair rows are formed: the right side is one sorted array per (key, time
+    bucket) with buckets of the window's width, and a left row takes its part
+    of the at most two arrays that its window touches where it meets them."""
     by = _cols(by)
-    pairs = _range_pairs(left, right, by, left_id, left_ts, right_ts, lo_micros, hi_micros, [right_id])
-    agg = pairs.groupBy("_lid").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.array_sort(F.collect_list(F.struct(F.col("_rts"), F.col(f"_p_{right_id}").alias("_id")))).alias("_l"))
-    out = left.join(agg, F.col(left_id) == F.col("_lid"), "left").drop("_lid")
+    width = max(hi_micros - lo_micros, 1)
+    known = F.col(right_ts).isNotNull()
     valid = F.col(left_ts).isNotNull()
     for k in by:
-        valid = valid & F.col(k).isNotNull()
-    return (out.withColumn(count_col, F.when(valid, F.coalesce(F.col("_n"), F.lit(0)).cast("bigint")))
-            .withColumn(list_col, F.when(valid, F.coalesce(F.transform("_l", lambda s: s["_id"]),
-                                                           F.array().cast(f"array<{right.schema[right_id].dataType.simpleString()}>"))))
-            .drop("_n", "_l"))
+        known, valid = known & F.col(k).isNotNull(), valid & F.col(k).isNotNull()
+    entry = F.struct(F.col(right_ts).alias("t"), F.col(right_id).alias("id"))
+    arrays = (right.where(known).groupBy(*[F.col(k).alias(f"_by{i}") for i, k in enumerate(by)], _bucket(F.col(right_ts), width).alias("_b"))
+              .agg(F.array_sort(F.collect_list(entry)).alias("_a")))
+    arrays = arrays.withColumn("_spread0", F.pmod(F.xxhash64("_b"), F.lit(1)).cast("int"))
+    at = [F.floor((_micros(F.col(left_ts)) + F.lit(x)) / F.lit(float(width))).cast("bigint") for x in (lo_micros, hi_micros)]
+    x = left.withColumns({"_b_0": F.when(valid, at[0]), "_b_1": F.when(valid & (at[0] != at[1]), at[1])})
+    for n in (0, 1):
+        x = x.withColumn("_spread", spread_nulls(F.col(f"_b_{n}"), *[F.col(f"`{c}`") for c in left.columns]))
+        cond = (F.col(f"_b_{n}") == F.col("_b")) & (F.col("_spread") == F.col("_spread0"))
+        for i, k in enumerate(by):
+            cond = cond & (F.col(k) == F.col(f"_by{i}"))
+        gap = lambda e: micros_between(F.col(left_ts), e["t"])
+        met = F.transform(F.filter("_a", lambda e: (gap(e) >= lo_micros) & (gap(e) <= hi_micros)), lambda e: e["id"])
+        none = F.array().cast(f"array<{right.schema[right_id].dataType.simpleString()}>")
+        x = x.join(arrays, cond, "left").withColumn(f"_l_{n}", F.coalesce(met, none)).drop("_a", "_b", "_spread", "_spread0", *[f"_by{i}" for i in range(len(by))])
+    x = x.withColumn(list_col, F.when(valid, F.concat("_l_0", "_l_1")))
+    return x.withColumn(count_col, F.when(valid, F.size(list_col).cast("bigint"))).select(*[F.col(f"`{c}`") for c in left.columns], count_col, list_col)
 
 
 # --------------------------------------------------------------------------- J6 / J8

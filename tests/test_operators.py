@@ -145,3 +145,21 @@ def test_interval_candidates_equal_brute_force_on_a_dense_site(spark):
         for i, s, t in left:
             near = sorted((x[2], x[0], x[3]) for x in right if s and x[1] == s and t and x[2] and t - six <= x[2] <= t + two)[:k]
             assert got[i] == [(n[1], n[2]) for n in near] + [(None, None)] * (k - len(near)), i
+
+
+def test_interval_collect_equals_brute_force_on_a_dense_site(spark):
+    """Half of the rows at one site, ties in time, windows over bucket edges, null keys and times; no pair rows."""
+    rng = random.Random(9)
+    at = lambda m: T0 + dt.timedelta(minutes=m)
+    site = lambda i: None if i % 29 == 0 else "S0" if i % 2 else f"S{i % 7}"
+    left = [(i, site(i), None if i % 31 == 0 else at(rng.randrange(0, 600) * 10)) for i in range(300)]
+    right = [(f"r{i:03d}", site(i), None if i % 37 == 0 else at(rng.randrange(0, 600) * 10)) for i in range(400)]
+    l = spark.createDataFrame(left, "id long, site string, ts timestamp_ntz")
+    r = spark.createDataFrame(right, "rid string, site string, rts timestamp_ntz")
+    for lo, hi in ((-2, 6), (0, 48), (3, 3)):
+        out = joins.interval_collect(l, r, "site", "id", "ts", "rts", lo * HOUR, hi * HOUR, "rid")
+        got = {x.id: (x.n_matches, x.matches) for x in out.collect()}
+        assert out.columns == ["id", "site", "ts", "n_matches", "matches"] and len(got) == len(left)
+        for i, s, t in left:
+            near = [x for _, x in sorted((u, x) for x, rs, u in right if s and rs == s and t and u and dt.timedelta(hours=lo) <= u - t <= dt.timedelta(hours=hi))]
+            assert got[i] == ((len(near), near) if s and t else (None, None)), i
