@@ -18,7 +18,8 @@ a chunk needs a word; rows that share a doc_id and a chunk's number keep it in
 each of them, as they are one document; rows with a null doc_id come after all others
 as one such document; of the copies within one document the first stays; an
 empty table gives an empty result; extra columns pass through (working columns
-begin with ``_l_``).
+begin with ``_l_``), but for columns named like the counts, which these replace;
+very long texts are cut whole.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from fieldops.llm.common import documents, fixed, staged
 WINDOW = 2
 DIVISOR = 3
 LONG_LINE = 50
+RESULTS = ("n_lines", "n_chunks", "n_removed", "lines_removed")
 P1, P2, MOD = 1_000_003, 998_244_353, 2_147_483_647
 
 
@@ -113,12 +115,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
                          (F.col("_l_nl") - total(left)).cast("long").alias("lines_removed"),
                          F.when(F.col("_l_gone").isNotNull(), left).alias("_l_left"))
     key = [c.alias(f"_k{i}") for i, c in enumerate(_key(id_col, text))]
-    sizes = sizes.withColumnsRenamed({c: f"_n_{c}" for c in ("n_lines", "n_chunks", "n_removed", "lines_removed")})
+    sizes = sizes.withColumnsRenamed({c: f"_n_{c}" for c in RESULTS})
     marked = docs.select("*", *key).join(sizes, (F.col("_k0") == F.col("_l_id")) & (F.col("_k1") == F.col("_l_th")) & F.col(text).isNotNull(), "left")
     marked = fixed(marked, _l_lines=F.when(F.col("_l_left").isNotNull(), F.split(text, "\n")))
     cleaned = F.when(F.col("_l_left").isNull(), F.col(text)).otherwise(F.array_join(F.transform("_l_left", _body), "\n"))
-    return marked.select(*[(cleaned.alias(c) if c == text else F.col(f"`{c}`")) for c in docs.columns],
-                         *[F.coalesce(F.col(f"_n_{c}"), F.lit(0)).cast("long").alias(c) for c in ("n_lines", "n_chunks", "n_removed", "lines_removed")])
+    return marked.select(*[(cleaned.alias(c) if c == text else F.col(f"`{c}`")) for c in docs.columns if c not in RESULTS],
+                         *[F.coalesce(F.col(f"_n_{c}"), F.lit(0)).cast("long").alias(c) for c in RESULTS])
 
 
 def op5_line_chunks(spark, sf_dir: str) -> DataFrame:

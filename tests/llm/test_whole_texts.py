@@ -3,7 +3,7 @@
 import random
 import string
 
-from fieldops.llm import host_consensus, markov_secrets
+from fieldops.llm import host_consensus, line_chunks, markov_secrets
 
 PAGES = "page_id long, url string, html string"
 
@@ -86,3 +86,13 @@ def test_hot_host_clashing_columns_and_repeated_pages(spark):
     rows += [rows[1], rows[1], (None, None, None, None, None)]
     got = host_consensus.extract(spark.createDataFrame(rows, PAGES + ", host string, salt int")).collect()
     assert len(got) == 93 and {r.text for r in got} == {"\n".join(_words(30, i) for i in range(9)), ""}
+
+
+def test_line_counts_replace_columns_of_their_names(spark):
+    passage = "\n".join(_words(9, i) for i in range(8))
+    rows = [(i, passage, "x", -1) for i in range(3)] + [(None, None, None, None)]
+    got = line_chunks.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, n_lines string, n_removed int"))
+    assert got.columns == ["doc_id", "text", "n_lines", "n_chunks", "n_removed", "lines_removed"]
+    by_id = {r.doc_id: r for r in got.collect()}
+    assert by_id[0].text == passage and by_id[0].n_lines == 8 and by_id[None].n_lines == 0
+    assert by_id[1].n_removed > 0 and by_id[1].lines_removed > 0
