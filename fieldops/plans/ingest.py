@@ -66,8 +66,8 @@ def ingest(spark: SparkSession, files: Sequence[str], key: Sequence[str] | str,
     # only a table never published is a first load; one that cannot be read is an error
     base = read_table(spark, root, name) if table_exists(spark, root, name) else new.limit(0).drop("_drop_rank", LINE)
     keys = [key] if isinstance(key, str) else list(key)
-    merged = upsert(base, new, keys, ["_drop_rank", *order, LINE])
-    write_table(merged.drop("_drop_rank", LINE), root, name, version)
+    merged = upsert(base, new, keys, ["_drop_rank", *order, LINE], drop=["_drop_rank", LINE])
+    write_table(merged, root, name, version)
     return read_table(spark, root, name), report
 
 
@@ -84,8 +84,8 @@ def incident_state(spark: SparkSession, files: str | Sequence[str], root: str, n
     new = new.withColumns({c: clean.fmt_ts(clean.parse_ts(c, config.INCIDENT_DATE_FORMATS)) for c in dates})
     new = new.withColumnRenamed("_arrival", "_drop_rank")
     base = read_table(spark, root, name) if table_exists(spark, root, name) else new.limit(0).drop("_drop_rank", LINE)
-    merged = upsert(base, new, "ID_incidencia", ["_drop_rank", LINE])
-    write_table(merged.drop("_drop_rank", LINE).where(any_marker("Grupo_asignado", config.VENDOR_GROUPS)), root, name, version)
+    merged = upsert(base, new, "ID_incidencia", ["_drop_rank", LINE], drop=["_drop_rank", LINE])
+    write_table(merged.where(any_marker("Grupo_asignado", config.VENDOR_GROUPS)), root, name, version)
     return read_table(spark, root, name)
 
 

@@ -47,7 +47,7 @@ def upsert_batch(batch: DataFrame, epoch_id: int, root: str, name: str, key: Seq
 def last_rows(stream: DataFrame, key: Sequence[str], order: Sequence[str], rank: str) -> DataFrame:
     """The last row per key by (``rank``, ``order``), without ``rank``; of a stream, with its
     state, the keys that a batch brings (update mode)."""
-    return latest_by_key(stream, key, [rank, *order]).drop(rank)
+    return latest_by_key(stream, key, [rank, *order], [rank])
 
 
 def ingest_stream(spark: SparkSession, source: str, schema: StructType, key: Sequence[str], order: Sequence[str],
